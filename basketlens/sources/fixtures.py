@@ -1,0 +1,130 @@
+"""Prediction logs, catalogue and scoring requests as views over the given tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from basketlens.operators.churn import training_frame
+from basketlens.operators.enrich import enrich
+from basketlens.operators.profiles import rule_cluster, rule_label
+from basketlens.operators.rfm import latest_date, rfm_features, rfm_wide
+from basketlens.operators.similarity import product_catalogue
+from basketlens.sources.star import retail_transactions, table
+
+VERSIONS = (1, 2, 3)
+
+
+def transactions(spark: SparkSession, folder: str) -> DataFrame:
+    return retail_transactions(spark, folder)
+
+
+def enriched(spark: SparkSession, folder: str) -> DataFrame:
+    return transactions(spark, folder).transform(enrich)
+
+
+def features(spark: SparkSession, folder: str) -> DataFrame:
+    return rfm_features(enriched(spark, folder))
+
+
+def features_wide(spark: SparkSession, folder: str) -> DataFrame:
+    return rfm_wide(enriched(spark, folder))
+
+
+def churn_training_frame(spark: SparkSession, folder: str) -> DataFrame:
+    return training_frame(enriched(spark, folder))
+
+
+def _number() -> Column:
+    return F.col("customer_id").cast("long")
+
+
+def prediction_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Every customer scored once by each of three model versions."""
+    base = transactions(spark, folder)
+    label = rule_label(F.col("recency"), F.col("frequency"), F.col("avg_order_value"))
+    version = F.col("version")
+    scored = rule_cluster(rfm_features(base.transform(enrich)))
+    return (
+        scored.withColumn("version", F.explode(F.array(*[F.lit(v) for v in VERSIONS])))
+        .withColumn("latest", latest_date(base))
+        .select(
+            F.md5(F.concat_ws("_", "customer_id", version.cast("string"))).alias("request_id"),
+            "customer_id",
+            F.col("recency").cast("double").alias("recency"),
+            "frequency",
+            "avg_order_value",
+            "cluster",
+            label.alias("label"),
+            version.cast("string").alias("model_version"),
+            F.lit("rfm_v1").alias("feature_version"),
+            ((_number() * version) % 97 + F.lit(0.5)).alias("response_time_ms"),
+            F.timestamp_add("MINUTE", -((_number() % 1000) * version).cast("int"), F.col("latest")).alias(
+                "created_at"
+            ),
+        )
+    )
+
+
+def churn_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores for most customers; those with a number divisible by ten have none."""
+    base = transactions(spark, folder)
+    probability = F.least(F.lit(1.0), F.col("recency") / F.lit(365.0))
+    return (
+        rfm_features(base.transform(enrich))
+        .where(_number() % 10 != 0)
+        .withColumn("version", F.explode(F.array(*[F.lit(v) for v in VERSIONS])))
+        .withColumn("latest", latest_date(base))
+        .select(
+            F.md5(F.concat_ws("_", F.lit("churn"), "customer_id", F.col("version").cast("string"))).alias(
+                "request_id"
+            ),
+            "customer_id",
+            F.col("recency").cast("double").alias("recency"),
+            "frequency",
+            "avg_order_value",
+            "spending_velocity",
+            "cancellation_rate",
+            "preferred_shopping_hour",
+            (probability / F.col("version")).alias("churn_probability"),
+            (probability / F.col("version") >= 0.5).cast("int").alias("is_churn"),
+            F.col("version").cast("string").alias("model_version"),
+            F.lit("rfm_v1").alias("feature_version"),
+            ((_number() * F.col("version")) % 97 + F.lit(0.5)).alias("response_time_ms"),
+            F.timestamp_add(
+                "MINUTE", -((_number() % 1000) * F.col("version")).cast("int"), F.col("latest")
+            ).alias("created_at"),
+        )
+    )
+
+
+def catalogue(spark: SparkSession, folder: str) -> DataFrame:
+    """The product catalogue; the r-th description by text has the vector with id r."""
+    place = Window.orderBy("description")  # over at most 1,000 catalogue rows
+    products = product_catalogue(transactions(spark, folder)).withColumn(
+        "vec_id", (F.row_number().over(place) - 1).cast("long")
+    )
+    vectors = table(spark, folder, "embeddings").select(
+        "vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("embedding")
+    )
+    return products.join(vectors, "vec_id").select("stock_code", "description", "unit_price", "embedding")
+
+
+def scoring_requests(spark: SparkSession, folder: str) -> DataFrame:
+    """Untyped scoring requests: account data stands in for features, some of it unfit.
+
+    Balances may be negative, segments are no numbers, and some values are absent.
+    """
+    number = F.col("c_custkey")
+    balance = F.round("c_acctbal", 0).cast("long").cast("string")
+    return table(spark, folder, "customer").select(
+        F.when(number % 9 != 0, number.cast("string")).alias("customer_id"),
+        balance.alias("recency"),
+        F.when(number % 7 == 0, F.col("c_mktsegment"))
+        .otherwise(F.col("c_nationkey").cast("string"))
+        .alias("frequency"),
+        F.when(number % 11 != 0, number.cast("string")).alias("avg_order_value"),
+        F.lit("1.0").alias("spending_velocity"),
+        F.lit("0.25").alias("cancellation_rate"),
+        (number % 24).cast("string").alias("preferred_shopping_hour"),
+    )
