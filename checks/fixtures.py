@@ -116,7 +116,7 @@ def scoring_requests(spark: SparkSession, folder: str) -> DataFrame:
     Balances may be negative, segments are no numbers, and some values are absent.
     """
     number = F.col("c_custkey")
-    balance = F.round("c_acctbal", 0).cast("long").cast("string")
+    balance = F.floor("c_acctbal").cast("long").cast("string")
     return table(spark, folder, "customer").select(
         F.when(number % 9 != 0, number.cast("string")).alias("customer_id"),
         balance.alias("recency"),
