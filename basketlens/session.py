@@ -30,6 +30,7 @@ def local_session(threads: int | str = "*", shuffle_partitions: int = 8, **conf:
         .appName("basketlens")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", conf.pop("driver_memory", "12g"))
     )
     for key, value in conf.items():
