@@ -24,7 +24,7 @@ from basketlens.session import materialize
 
 MAX_ITERATIONS = 300
 TOLERANCE = 0.01  # stop when no centre moves further; squared, 1e-4 of a unit variance
-PARALLEL_FITS = 4  # fits share one cached frame, so their small jobs can overlap
+PARALLEL_FITS = 4  # fits read the same stored frame, so their small jobs can overlap
 
 
 @dataclass
@@ -70,12 +70,8 @@ def fit_segmentation(
 ) -> PipelineModel:
     """Select, log-scale, centre and cluster; ``starts`` seeds are tried."""
     stages = fit_scaling(features, columns, LOG_SCALED_FEATURES)
-    scaled = scale(features, stages).select(VECTOR).persist()
-    try:
-        best = _best_of(scaled, k, range(seed, seed + starts))
-    finally:
-        scaled.unpersist()
-    return PipelineModel(stages=[*stages, best])
+    scaled = materialize(scale(features, stages).select(VECTOR), "scaled")
+    return PipelineModel(stages=[*stages, _best_of(scaled, k, range(seed, seed + starts))])
 
 
 def assign_clusters(df: DataFrame, model: PipelineModel) -> DataFrame:
@@ -109,18 +105,15 @@ def choose_k(
     different numbers.
     """
     stages = fit_scaling(train, columns, LOG_SCALED_FEATURES)
-    scaled = scale(train, stages).select(VECTOR).persist()
+    scaled = materialize(scale(train, stages).select(VECTOR), "scaled")
     best = FittedSegmentation(PipelineModel(stages=stages), 0, -1.0)
     scores = []
-    try:
-        for k in ks:
-            fitted = _best_of(scaled, k, range(seed, seed + starts))
-            score = _silhouette(fitted.transform(scaled), columns, metric)
-            scores.append((k, score))
-            if score > best.silhouette:
-                best = FittedSegmentation(PipelineModel(stages=[*stages, fitted]), k, score)
-    finally:
-        scaled.unpersist()
+    for k in ks:
+        fitted = _best_of(scaled, k, range(seed, seed + starts))
+        score = _silhouette(fitted.transform(scaled), columns, metric)
+        scores.append((k, score))
+        if score > best.silhouette:
+            best = FittedSegmentation(PipelineModel(stages=[*stages, fitted]), k, score)
     best.scores = scores
     return best
 
@@ -142,19 +135,14 @@ def elbow(
     seed: int = SPLIT_SEED,
 ) -> DataFrame:
     """Inertia by number of clusters, on scaled columns without the log step."""
-    stages = fit_scaling(features, columns)
-    scaled = scale(features, stages).persist()
-    try:
-        several = [k for k in ks if k > 1]
-        rows = [
-            (k, float(fit.summary.trainingCost))
-            for k, fit in zip(several, _fit_each(scaled, [(k, seed) for k in several]))
-        ]
-        if 1 in ks:
-            total = total_inertia(scaled, [f"_scaled_{name}" for name in columns])
-            rows.insert(0, (1, float(total.first()[0])))
-    finally:
-        scaled.unpersist()
+    scaled_names = [f"_scaled_{name}" for name in columns]
+    scaled = scale(features, fit_scaling(features, columns)).select(*scaled_names, VECTOR)
+    scaled = materialize(scaled, "scaled")
+    several = [k for k in ks if k > 1]
+    fits = _fit_each(scaled, [(k, seed) for k in several])
+    rows = [(k, float(fit.summary.trainingCost)) for k, fit in zip(several, fits)]
+    if 1 in ks:
+        rows.insert(0, (1, float(total_inertia(scaled, scaled_names).first()[0])))
     return features.sparkSession.createDataFrame(rows, "k int, inertia double")
 
 

@@ -111,13 +111,17 @@ def catalogue(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def scoring_requests(spark: SparkSession, folder: str) -> DataFrame:
+    return requests_from(table(spark, folder, "customer"))
+
+
+def requests_from(customers: DataFrame) -> DataFrame:
     """Untyped scoring requests: account data stands in for features, some of it unfit.
 
     Balances may be negative, segments are no numbers, and some values are absent.
     """
     number = F.col("c_custkey")
     balance = F.floor("c_acctbal").cast("long").cast("string")
-    return table(spark, folder, "customer").select(
+    return customers.select(
         F.when(number % 9 != 0, number.cast("string")).alias("customer_id"),
         balance.alias("recency"),
         F.when(number % 7 == 0, F.col("c_mktsegment"))
