@@ -65,12 +65,15 @@ def training_frames(transactions: DataFrame, cutoffs: Sequence[int] = (CUTOFF_DA
     cutoff, not from the cutoff itself. Label and features share one aggregate:
     a customer with a row before the cutoff has churned when its last row of
     all is before the cutoff too.
+
+    The lines are summed up and stored once; the dates and every cutoff are
+    then worked out from the stored invoices.
     """
     moment = F.col("invoice_date")
-    latest = rfm.latest_date(transactions)
+    moments = rfm.stored_moments(transactions)
+    latest = rfm.latest_date(moments)
     anchors = (
-        transactions.select("invoice_date")
-        .agg(
+        moments.agg(
             F.struct(
                 *[
                     F.max(F.when(moment < days_before(latest, days), moment)).alias(f"past_{days}")
@@ -90,17 +93,14 @@ def training_frames(transactions: DataFrame, cutoffs: Sequence[int] = (CUTOFF_DA
             for days in cutoffs
         ]
     )
-    lines = (
-        rfm.prepare_lines(transactions)
-        .where(F.col("customer_id").isNotNull())
+    rows = (
+        moments.where(F.col("customer_id").isNotNull())
         .withColumns({"latest": latest, "anchors": anchors})
-        .withColumn("window", F.explode(windows))
-        .select("*", "window.*")
-        .drop("window", "latest", "anchors")
+        .select(*moments.columns, F.inline(windows))
         .withColumn("past", moment < F.col("cutoff"))
     )
     keys = ["cutoff_days", "cutoff", "customer_id"]
-    invoices = rfm.invoice_measures(lines, keys, F.col("anchor_date"), F.col("past"))
+    invoices = rfm.invoice_measures(rows, keys, F.col("anchor_date"), F.col("past"))
     wide = rfm.customer_measures(invoices, keys).where(F.col("last_seen").isNotNull())
     return rfm.finish_features(wide).select(
         "cutoff_days",

@@ -24,6 +24,7 @@ from basketlens.constants import (
 from basketlens.functions.numeric import number_or_zero, ratio, round_half_even
 from basketlens.functions.temporal import days_before, whole_days_between
 from basketlens.functions.text import invoice_text, is_cancellation
+from basketlens.session import materialize
 
 _HOURS = [f"hour_{hour:02d}" for hour in range(24)]
 
@@ -34,40 +35,56 @@ def latest_date(transactions: DataFrame) -> Column:
 
 
 def prepare_lines(transactions: DataFrame) -> DataFrame:
-    """Only the columns the features need, with null invoices and bad values settled."""
-    value = (
-        number_or_zero(F.col("order_value"))
+    """What the features need of a line, with null invoices and bad values settled."""
+    given = (
+        F.col("order_value")
         if "order_value" in transactions.columns
-        else number_or_zero(F.col("quantity") * F.col("unit_price"))
+        else F.col("quantity") * F.col("unit_price")
     )
+    sold = F.coalesce(F.col("quantity") > 0, F.lit(False))
     return transactions.select(
         "customer_id",
         invoice_text(F.col("invoice_no")).alias("invoice_no"),
         "invoice_date",
-        "quantity",
-        value.alias("order_value"),
+        F.lit(1).cast("long").alias("lines"),
+        sold.alias("sold"),
+        F.when(sold, number_or_zero(given)).alias("value"),
+    )
+
+
+def invoice_moments(lines: DataFrame) -> DataFrame:
+    """Lines summed up per customer, invoice and time, in the same columns.
+
+    Nothing here depends on the dates one looks back from, so the result serves
+    any number of cutoffs. Store it when several are needed: it has about a row
+    per invoice, and the latest dates come from it instead of from the lines.
+    """
+    return lines.groupBy("customer_id", "invoice_no", "invoice_date").agg(
+        F.sum("lines").alias("lines"), F.bool_or("sold").alias("sold"), F.sum("value").alias("value")
     )
 
 
 def invoice_measures(
     lines: DataFrame, keys: Sequence[str], anchor: Column, within: Column | None = None
 ) -> DataFrame:
-    """Sum lines up per key and invoice; ``within`` limits the measures, not the rows."""
+    """Sum lines or moments up per key and invoice; ``within`` limits the measures, not the rows."""
     within = F.lit(True) if within is None else within
     moment = F.col("invoice_date")
-    sale = within & F.coalesce(F.col("quantity") > 0, F.lit(False))
-    value = F.when(sale, F.col("order_value"))
+    value = F.when(within, F.col("value"))
     hour = F.when(within, F.hour(moment))
     return lines.groupBy(*keys, "invoice_no").agg(
         F.max(anchor).alias("anchor"),
         F.max(moment).alias("last_any"),
         F.max(F.when(within, moment)).alias("last_seen"),
         F.bool_or(within).alias("counted"),
-        F.bool_or(sale).alias("sold"),
+        F.bool_or(within & F.col("sold")).alias("sold"),
         F.sum(value).alias("monetary"),
         F.sum(F.when(moment >= days_before(anchor, SHORT_WINDOW_DAYS), value)).alias("monetary_30"),
         F.sum(F.when(moment >= days_before(anchor, LONG_WINDOW_DAYS), value)).alias("monetary_90"),
-        *[F.count_if(hour == index).alias(name) for index, name in enumerate(_HOURS)],
+        *[
+            F.sum(F.when(hour == index, F.col("lines")).otherwise(0)).alias(name)
+            for index, name in enumerate(_HOURS)
+        ],
     )
 
 
@@ -118,34 +135,50 @@ def finish_features(wide: DataFrame) -> DataFrame:
 WIDE_COLUMNS = [*RFM_COLUMNS, "monetary", "monetary_30", "monetary_90", "cancelled_orders", "total_orders"]
 
 
-def rfm_wide(transactions: DataFrame, as_of: Column | None = None) -> DataFrame:
+def stored_moments(transactions: DataFrame) -> DataFrame:
+    """Invoice moments of all rows, with or without a customer, written to the shared folder."""
+    return materialize(invoice_moments(prepare_lines(transactions)), "moments")
+
+
+def rfm_wide_from(rows: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """Features plus the sums behind them, from prepared lines or from moments."""
+    anchor = latest_date(rows) if as_of is None else as_of
+    known = rows.where(F.col("customer_id").isNotNull()).withColumn("anchor_date", anchor)
+    invoices = invoice_measures(known, ["customer_id"], F.col("anchor_date"))
+    return finish_features(customer_measures(invoices, ["customer_id"])).select(*WIDE_COLUMNS)
+
+
+def rfm_wide(
+    transactions: DataFrame, as_of: Column | None = None, store_invoices: bool = False
+) -> DataFrame:
     """Features plus the sums behind them.
 
     ``as_of`` is the moment recency and the trailing windows look back from.
-    Left out, it is the latest date of the table, which costs one more scan of
-    the date column; pass a literal where the caller knows the date.
+    Left out, it is the latest date of all rows. For a stored table that is one
+    more scan of the date column. Where the transactions are a join or another
+    costly plan, ``store_invoices`` runs that plan once and takes both the date
+    and the features from the stored invoice moments.
     """
-    anchor = latest_date(transactions) if as_of is None else as_of
-    lines = (
-        prepare_lines(transactions).where(F.col("customer_id").isNotNull()).withColumn("anchor_date", anchor)
+    return rfm_wide_from(
+        stored_moments(transactions) if store_invoices else prepare_lines(transactions), as_of
     )
-    invoices = invoice_measures(lines, ["customer_id"], F.col("anchor_date"))
-    return finish_features(customer_measures(invoices, ["customer_id"])).select(*WIDE_COLUMNS)
 
 
-def rfm_features(transactions: DataFrame, as_of: Column | None = None) -> DataFrame:
+def rfm_features(
+    transactions: DataFrame, as_of: Column | None = None, store_invoices: bool = False
+) -> DataFrame:
     """The seven-column feature table, one row per customer."""
-    return rfm_wide(transactions, as_of).select(*RFM_COLUMNS)
+    return rfm_wide(transactions, as_of, store_invoices).select(*RFM_COLUMNS)
 
 
 def sales_metrics(transactions: DataFrame) -> DataFrame:
     """Distinct sale invoices and sale value per customer that has a sale."""
-    sales = prepare_lines(transactions).where((F.col("quantity") > 0) & F.col("customer_id").isNotNull())
+    sales = prepare_lines(transactions).where(F.col("sold") & F.col("customer_id").isNotNull())
     return (
         sales.groupBy("customer_id", "invoice_no")
-        .agg(F.sum("order_value").alias("order_value"))
+        .agg(F.sum("value").alias("value"))
         .groupBy("customer_id")
-        .agg(F.count(F.lit(1)).alias("frequency"), F.sum("order_value").alias("monetary"))
+        .agg(F.count(F.lit(1)).alias("frequency"), F.sum("value").alias("monetary"))
     )
 
 

@@ -1,7 +1,7 @@
 """Feature table kept current by micro-batches.
 
-Two tables hold the state. ``lines`` has the columns of the feed that features
-need, in folders by customer bucket and batch; ``features`` has, per batch, the
+Two tables hold the state. ``lines`` has the feed summed up per customer,
+invoice and moment, in folders by customer bucket and batch; ``features`` has, per batch, the
 time-independent sums of the customers that batch touched. Recency and the trailing windows depend on
 the latest date of all rows, which moves with every batch, so they are derived
 when the table is read.
@@ -42,7 +42,7 @@ def refresh_batch(base: str):
     def write(transactions: DataFrame, batch: int) -> None:
         spark = transactions.sparkSession
         known = transactions.where(F.col("customer_id").isNotNull())
-        _write_lines(rfm.prepare_lines(known), batch, f"{base}/lines")
+        _write_lines(rfm.invoice_moments(rfm.prepare_lines(known)), batch, f"{base}/lines")
         lines = spark.read.parquet(f"{base}/lines")
         touched = lines.where(F.col(BATCH) == batch).select("customer_id", "bucket").distinct()
         theirs = lines.join(touched, ["bucket", "customer_id"], "left_semi")
@@ -66,17 +66,16 @@ def current_features(spark: SparkSession, base: str) -> DataFrame:
     """The seven-column feature table as of the latest row seen."""
     latest = spark.read.parquet(f"{base}/latest").agg(F.max("latest").alias("latest")).scalar()
     state = read_current(spark, f"{base}/features", ["customer_id"])
-    sale = F.col("quantity") > 0
     recent = (
         spark.read.parquet(f"{base}/lines")
         .withColumn("anchor", latest)
-        .where(sale & (F.col("invoice_date") >= days_before(F.col("anchor"), LONG_WINDOW_DAYS)))
+        .where(F.col("sold") & (F.col("invoice_date") >= days_before(F.col("anchor"), LONG_WINDOW_DAYS)))
         .groupBy("customer_id")
         .agg(
-            F.sum(F.when(F.col("invoice_date") >= days_before(F.col("anchor"), SHORT_WINDOW_DAYS), F.col("order_value"))).alias(
+            F.sum(F.when(F.col("invoice_date") >= days_before(F.col("anchor"), SHORT_WINDOW_DAYS), F.col("value"))).alias(
                 "monetary_30"
             ),
-            F.sum("order_value").alias("monetary_90"),
+            F.sum("value").alias("monetary_90"),
         )
     )
     wide = (

@@ -82,9 +82,8 @@ def _asked(spark, folder):
 
 
 def _profiles(spark, folder):
-    return campaign.customer_profiles(
-        fx.features(spark, folder), fx.transactions(spark, folder), fx.churn_log(spark, folder)
-    )
+    features, log = fx.features_and_churn_log(spark, folder)
+    return campaign.customer_profiles(features, fx.transactions(spark, folder), log)
 
 
 def _asked_profiles(spark, folder):
@@ -255,13 +254,9 @@ ON o.customer_id = r.customer_id""",
 
 
 def _campaigns(spark, folder):
-    return campaign.campaigns(
-        _asked(spark, folder),
-        fx.features(spark, folder),
-        fx.transactions(spark, folder),
-        fx.churn_log(spark, folder),
-        fx.catalogue(spark, folder),
-    )
+    features, log = fx.features_and_churn_log(spark, folder)
+    catalogue = fx.catalogue(spark, folder)
+    return campaign.campaigns(_asked(spark, folder), features, fx.transactions(spark, folder), log, catalogue)
 
 
 @query("j8_campaign_text", sql("SELECT customer_id, campaign_draft FROM drafts", "drafts"))

@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from basketlens.constants import RFM_COLUMNS
 from basketlens.operators.churn import training_frame
 from basketlens.operators.enrich import enrich
 from basketlens.operators.profiles import rule_cluster, rule_label
-from basketlens.operators.rfm import latest_date, rfm_features, rfm_wide
+from basketlens.operators.rfm import latest_date, rfm_wide, rfm_wide_from, stored_moments
 from basketlens.operators.similarity import product_catalogue
+from basketlens.schemas import CHURN_LOG, PREDICTION_LOG
+from basketlens.session import materialize
 from basketlens.sources.star import retail_transactions, table
 
 VERSIONS = (1, 2, 3)
@@ -23,81 +26,82 @@ def enriched(spark: SparkSession, folder: str) -> DataFrame:
     return transactions(spark, folder).transform(enrich)
 
 
-def features(spark: SparkSession, folder: str) -> DataFrame:
-    return rfm_features(enriched(spark, folder))
+def features_wide(spark: SparkSession, folder: str) -> DataFrame:
+    """The transactions are a join here, so it is run once and its invoices are stored."""
+    return rfm_wide(transactions(spark, folder), store_invoices=True)
 
 
-def features_wide(spark: SparkSession, folder: str) -> DataFrame:
-    return rfm_wide(enriched(spark, folder))
+def features(spark: SparkSession, folder: str) -> DataFrame:
+    return features_wide(spark, folder).select(*RFM_COLUMNS)
 
 
 def churn_training_frame(spark: SparkSession, folder: str) -> DataFrame:
-    return training_frame(enriched(spark, folder))
+    return training_frame(transactions(spark, folder))
 
 
 def _number() -> Column:
     return F.col("customer_id").cast("long")
 
 
+def _versions(rfm: DataFrame, moments: DataFrame) -> DataFrame:
+    """Every row once per model version, scored some minutes before the latest sale."""
+    version = F.col("version")
+    back = -((_number() % 1000) * version).cast("int")
+    return (
+        rfm.withColumn("version", F.explode(F.array(*[F.lit(v) for v in VERSIONS])))
+        .withColumn("latest", latest_date(moments))
+        .withColumns(
+            {
+                "recency": F.col("recency").cast("double"),
+                "model_version": version.cast("string"),
+                "feature_version": F.lit("rfm_v1"),
+                "response_time_ms": (_number() * version) % 97 + F.lit(0.5),
+                "created_at": F.timestamp_add("MINUTE", back, F.col("latest")),
+            }
+        )
+    )
+
+
 def prediction_log(spark: SparkSession, folder: str) -> DataFrame:
     """Every customer scored once by each of three model versions."""
-    base = transactions(spark, folder)
+    moments = stored_moments(transactions(spark, folder))
     label = rule_label(F.col("recency"), F.col("frequency"), F.col("avg_order_value"))
-    version = F.col("version")
-    scored = rule_cluster(rfm_features(base.transform(enrich)))
+    scored = rule_cluster(rfm_wide_from(moments)).withColumn("label", label)
     return (
-        scored.withColumn("version", F.explode(F.array(*[F.lit(v) for v in VERSIONS])))
-        .withColumn("latest", latest_date(base))
-        .select(
-            F.md5(F.concat_ws("_", "customer_id", version.cast("string"))).alias("request_id"),
-            "customer_id",
-            F.col("recency").cast("double").alias("recency"),
-            "frequency",
-            "avg_order_value",
-            "cluster",
-            label.alias("label"),
-            version.cast("string").alias("model_version"),
-            F.lit("rfm_v1").alias("feature_version"),
-            ((_number() * version) % 97 + F.lit(0.5)).alias("response_time_ms"),
-            F.timestamp_add("MINUTE", -((_number() % 1000) * version).cast("int"), F.col("latest")).alias(
-                "created_at"
-            ),
-        )
+        _versions(scored, moments)
+        .withColumn("request_id", F.md5(F.concat_ws("_", "customer_id", "model_version")))
+        .select(*PREDICTION_LOG.names)
     )
 
 
-def churn_log(spark: SparkSession, folder: str) -> DataFrame:
+def churn_log_of(rfm: DataFrame, moments: DataFrame) -> DataFrame:
     """Scores for most customers; those with a number divisible by ten have none."""
-    base = transactions(spark, folder)
-    probability = F.least(F.lit(1.0), F.col("recency") / F.lit(365.0))
+    probability = F.least(F.lit(1.0), F.col("recency") / F.lit(365.0)) / F.col("version")
     return (
-        rfm_features(base.transform(enrich))
-        .where(_number() % 10 != 0)
-        .withColumn("version", F.explode(F.array(*[F.lit(v) for v in VERSIONS])))
-        .withColumn("latest", latest_date(base))
-        .select(
-            F.md5(F.concat_ws("_", F.lit("churn"), "customer_id", F.col("version").cast("string"))).alias(
-                "request_id"
-            ),
-            "customer_id",
-            F.col("recency").cast("double").alias("recency"),
-            "frequency",
-            "avg_order_value",
-            "spending_velocity",
-            "cancellation_rate",
-            "preferred_shopping_hour",
-            (probability / F.col("version")).alias("churn_probability"),
-            (probability / F.col("version") >= 0.5).cast("int").alias("is_churn"),
-            F.col("version").cast("string").alias("model_version"),
-            F.lit("rfm_v1").alias("feature_version"),
-            ((_number() * F.col("version")) % 97 + F.lit(0.5)).alias("response_time_ms"),
-            F.timestamp_add(
-                "MINUTE", -((_number() % 1000) * F.col("version")).cast("int"), F.col("latest")
-            ).alias("created_at"),
+        _versions(rfm.where(_number() % 10 != 0), moments)
+        .withColumns(
+            {
+                "request_id": F.md5(F.concat_ws("_", F.lit("churn"), "customer_id", "model_version")),
+                "churn_probability": probability,
+                "is_churn": (probability >= 0.5).cast("int"),
+            }
         )
+        .select(*CHURN_LOG.names)
     )
 
 
+def churn_log(spark: SparkSession, folder: str) -> DataFrame:
+    moments = stored_moments(transactions(spark, folder))
+    return churn_log_of(rfm_wide_from(moments), moments)
+
+
+def features_and_churn_log(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Both from one pass over the transactions, the features stored as any later stage reads them."""
+    moments = stored_moments(transactions(spark, folder))
+    stored = materialize(rfm_wide_from(moments).select(*RFM_COLUMNS), "features")
+    return stored, churn_log_of(stored, moments)
+
+
 def catalogue(spark: SparkSession, folder: str) -> DataFrame:
     """The product catalogue; the r-th description by text has the vector with id r."""
     place = Window.orderBy("description")  # over at most 1,000 catalogue rows
