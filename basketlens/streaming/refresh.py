@@ -29,6 +29,7 @@ def _bucket() -> Column:
 def _write_lines(rows: DataFrame, batch: int, path: str) -> None:
     (
         rows.withColumns({"bucket": _bucket(), BATCH: F.lit(batch).cast("long")})
+        .hint("rebalance", "bucket")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("bucket", BATCH)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from basketlens.constants import DEFAULT_SHOPPING_HOUR
 from basketlens.functions.text import is_cancellation
+from basketlens.streaming.feed import distinct_rows
 
 _HOURS = [f"hour_{hour:02d}" for hour in range(24)]
 
@@ -43,10 +44,11 @@ def customer_totals(stream: DataFrame) -> DataFrame:
 
 def customer_frequency(stream: DataFrame) -> DataFrame:
     """Exact number of distinct sale invoices per customer: repeated invoices are removed, the rest counted."""
+    invoices = stream.where((F.col("quantity") > 0) & F.col("customer_id").isNotNull()).select(
+        "customer_id", "invoice_no"
+    )
     return (
-        stream.where((F.col("quantity") > 0) & F.col("customer_id").isNotNull())
-        .select("customer_id", "invoice_no")
-        .dropDuplicates(["customer_id", "invoice_no"])
+        distinct_rows(invoices, ["customer_id", "invoice_no"], within_watermark=False)
         .groupBy("customer_id")
         .agg(F.count(F.lit(1)).alias("frequency"))
     )

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from basketlens import constants as C
-from basketlens.functions.numeric import round_half_even
 from basketlens.operators import campaign, similarity
 from basketlens.sources import star
 import checks.reporting  # noqa: F401  defines last_product and last_score

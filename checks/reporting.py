@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from basketlens import constants as C
-from basketlens.functions.numeric import round_half_even
 from basketlens.operators import campaign, churn, profiles, ranking, reports, rfm, scoring
 from basketlens.sources import star
 from checks import fixtures as fx
