@@ -47,12 +47,10 @@ def churned_customers(past: DataFrame, future: DataFrame) -> DataFrame:
 
 def churn_target_at(transactions: DataFrame, days: int = CUTOFF_DAYS) -> DataFrame:
     """The same label for a cutoff in one table: first and last date decide, so no join."""
-    cutoff = cutoff_date(transactions, days)
+    dates = rfm.customer_dates(transactions)
     return (
-        transactions.where(F.col("customer_id").isNotNull())
-        .groupBy("customer_id")
-        .agg(F.min("invoice_date").alias("first_seen"), F.max("invoice_date").alias("last_seen"))
-        .withColumn("cutoff", cutoff)
+        dates.where(F.col("customer_id").isNotNull())
+        .withColumn("cutoff", days_before(rfm.latest_of(dates), days))
         .where(F.col("first_seen") < F.col("cutoff"))
         .select("customer_id", (F.col("last_seen") < F.col("cutoff")).cast("int").alias("churn"))
     )

@@ -182,16 +182,27 @@ def sales_metrics(transactions: DataFrame) -> DataFrame:
     )
 
 
+def customer_dates(transactions: DataFrame) -> DataFrame:
+    """First and last date per customer, written to the shared folder.
+
+    Rows without a customer keep a row of their own, so the latest date of all
+    rows can be read off here as well, without another scan of the lines.
+    """
+    dates = transactions.groupBy("customer_id").agg(
+        F.min("invoice_date").alias("first_seen"), F.max("invoice_date").alias("last_seen")
+    )
+    return materialize(dates, "dates")
+
+
+def latest_of(dates: DataFrame) -> Column:
+    return dates.agg(F.max("last_seen").alias("latest")).scalar()
+
+
 def recency(transactions: DataFrame) -> DataFrame:
     """Days since the last row of each customer, cancellations included."""
-    return (
-        transactions.where(F.col("customer_id").isNotNull())
-        .groupBy("customer_id")
-        .agg(F.max("invoice_date").alias("last_seen"))
-        .select(
-            "customer_id",
-            whole_days_between(F.col("last_seen"), latest_date(transactions)).alias("recency"),
-        )
+    dates = customer_dates(transactions)
+    return dates.where(F.col("customer_id").isNotNull()).select(
+        "customer_id", whole_days_between(F.col("last_seen"), latest_of(dates)).alias("recency")
     )
 
 

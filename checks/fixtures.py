@@ -35,6 +35,15 @@ def features(spark: SparkSession, folder: str) -> DataFrame:
     return features_wide(spark, folder).select(*RFM_COLUMNS)
 
 
+def stored_features(spark: SparkSession, folder: str) -> DataFrame:
+    """The wide feature table as a stored table, for queries that read it several times."""
+    return materialize(features_wide(spark, folder), "features")
+
+
+def stored_training_frame(spark: SparkSession, folder: str) -> DataFrame:
+    return materialize(churn_training_frame(spark, folder), "training")
+
+
 def churn_training_frame(spark: SparkSession, folder: str) -> DataFrame:
     return training_frame(transactions(spark, folder))
 
@@ -103,7 +112,7 @@ def features_and_churn_log(spark: SparkSession, folder: str) -> tuple[DataFrame,
 
 
 def catalogue(spark: SparkSession, folder: str) -> DataFrame:
-    """The product catalogue; the r-th description by text has the vector with id r."""
+    """The stored product catalogue; the r-th description by text has the vector with id r."""
     place = Window.orderBy("description")  # over at most 1,000 catalogue rows
     products = product_catalogue(transactions(spark, folder)).withColumn(
         "vec_id", (F.row_number().over(place) - 1).cast("long")
@@ -111,7 +120,8 @@ def catalogue(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings").select(
         "vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("embedding")
     )
-    return products.join(vectors, "vec_id").select("stock_code", "description", "unit_price", "embedding")
+    rows = products.join(vectors, "vec_id").select("stock_code", "description", "unit_price", "embedding")
+    return materialize(rows, "catalogue")
 
 
 def scoring_requests(spark: SparkSession, folder: str) -> DataFrame:

@@ -41,7 +41,7 @@ define(
 
 
 def _scaled(spark, folder):
-    clustered = profiles.rule_cluster(fx.features(spark, folder))
+    clustered = profiles.rule_cluster(fx.stored_features(spark, folder))
     logged = matrix.log_scaled(clustered.select("customer_id", "cluster", *_SEG), C.LOG_SCALED_FEATURES)
     return matrix.standard_scaled(logged, _SEG)
 
@@ -60,14 +60,14 @@ def i1(spark, folder):
 
 @query("i2_segmentation_fit")
 def i2(spark, folder):
-    features = fx.features(spark, folder)
+    features = fx.stored_features(spark, folder)
     model = segmentation.fit_segmentation(features, k=4)
     return profiles.cluster_profile(segmentation.assign_clusters(features, model))
 
 
 @query("i3_choose_k")
 def i3(spark, folder):
-    fitted = segmentation.choose_k(fx.features(spark, folder), range(3, 7))
+    fitted = segmentation.choose_k(fx.stored_features(spark, folder), range(3, 7))
     return segmentation.scores_frame(spark, fitted.scores).withColumn("best_k", F.lit(fitted.k))
 
 
@@ -111,7 +111,7 @@ def i5(spark, folder):
 
 @query("i5_assign_clusters")
 def i5_model(spark, folder):
-    features = fx.features(spark, folder)
+    features = fx.stored_features(spark, folder)
     model = segmentation.fit_segmentation(features, starts=1)
     return segmentation.assign_clusters(features, model).select("customer_id", "cluster")
 
@@ -132,12 +132,12 @@ def i6_one(spark, folder):
 
 @query("i6_elbow")
 def i6(spark, folder):
-    return segmentation.elbow(fx.features_wide(spark, folder))
+    return segmentation.elbow(fx.stored_features(spark, folder))
 
 
 @query("i7_principal_components")
 def i7(spark, folder):
-    projected, shares = segmentation.principal_components(fx.features(spark, folder))
+    projected, shares = segmentation.principal_components(fx.stored_features(spark, folder))
     return projected.select(
         "customer_id",
         "pc1",

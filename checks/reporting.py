@@ -236,7 +236,7 @@ _DESCRIBED = [*C.CHURN_FEATURES, "monetary"]
     ),
 )
 def d27(spark, folder):
-    described = reports.describe_features(fx.features_wide(spark, folder), _DESCRIBED)
+    described = reports.describe_features(fx.stored_features(spark, folder), _DESCRIBED)
     return reports.rounded(described, 6, "mean", "std", "q25", "q50", "q75")
 
 
@@ -253,7 +253,7 @@ LEFT JOIN (SELECT least(49, floor((monetary - low) / width)) AS bin, count(*) AS
     ),
 )
 def d28(spark, folder):
-    return reports.rounded(reports.histogram(fx.features_wide(spark, folder), "monetary"), 6, "lower", "upper")
+    return reports.rounded(reports.histogram(fx.stored_features(spark, folder), "monetary"), 6, "lower", "upper")
 
 
 @query(
@@ -273,7 +273,7 @@ GROUP BY churn, q1, q2, q3"""
     ),
 )
 def d29(spark, folder):
-    stats = reports.box_stats(fx.churn_training_frame(spark, folder), "churn", C.SEGMENTATION_FEATURES)
+    stats = reports.box_stats(fx.stored_training_frame(spark, folder), "churn", C.SEGMENTATION_FEATURES)
     return reports.rounded(stats, 6, "q1", "median", "q3")
 
 
@@ -335,19 +335,19 @@ _TEXT = "CAST(r_score AS VARCHAR) || CAST(f_score AS VARCHAR) || CAST(m_score AS
 
 @query("e1_frequency_rank", sql("SELECT customer_id, frequency, frequency_rank FROM ranked", "ranked"))
 def e1(spark, folder):
-    return scoring.frequency_rank(fx.features(spark, folder)).select(
+    return scoring.frequency_rank(fx.stored_features(spark, folder)).select(
         "customer_id", "frequency", "frequency_rank"
     )
 
 
 @query("e2_rfm_quartiles", sql(f"SELECT {_SCORES} FROM scores", "scores"))
 def e2(spark, folder):
-    return scoring.quartile_scores(fx.features_wide(spark, folder))
+    return scoring.quartile_scores(fx.stored_features(spark, folder))
 
 
 @query("e3_rfm_score", sql(f"SELECT {_SCORES}, {_TEXT} AS rfm_score FROM scores", "scores"))
 def e3(spark, folder):
-    return scoring.with_rfm_score(scoring.quartile_scores(fx.features_wide(spark, folder)))
+    return scoring.with_rfm_score(scoring.quartile_scores(fx.stored_features(spark, folder)))
 
 
 @query(
@@ -360,7 +360,7 @@ FROM scores""",
     ),
 )
 def e4(spark, folder):
-    scored = scoring.with_rfm_score(scoring.quartile_scores(fx.features_wide(spark, folder)))
+    scored = scoring.with_rfm_score(scoring.quartile_scores(fx.stored_features(spark, folder)))
     both = scoring.with_score_segment(scored, champions_last=True).withColumnRenamed(
         "segment", "segment_champions_last"
     )

@@ -156,7 +156,7 @@ def _valid(fields: list[str]) -> str:
     ),
 )
 def k7(spark, folder):
-    features = fx.features(spark, folder)
+    features = fx.stored_features(spark, folder)
     model = segmentation.fit_segmentation(features, starts=1)
     _, profile = profiles.segment_customers(segmentation.assign_clusters(features, model))
     base = working_path(spark, "scores")
@@ -183,7 +183,7 @@ def k7(spark, folder):
     ),
 )
 def k7_churn(spark, folder):
-    model = churn_models.fit(churn_models.LOGISTIC, fx.churn_training_frame(spark, folder))
+    model = churn_models.fit(churn_models.LOGISTIC, fx.stored_training_frame(spark, folder))
     base = working_path(spark, "churn-scores")
     requests = fx.requests_from(_source(spark, folder, "customer"))
     changelog.start(requests, f"{base}/checkpoint", scoring.score_churn(model, "1", base)).awaitTermination()
