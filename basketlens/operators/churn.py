@@ -98,8 +98,8 @@ def training_frames(transactions: DataFrame, cutoffs: Sequence[int] = (CUTOFF_DA
         .withColumn("past", moment < F.col("cutoff"))
     )
     keys = ["cutoff_days", "cutoff", "customer_id"]
-    invoices = rfm.invoice_measures(rows, keys, F.col("anchor_date"), F.col("past"))
-    wide = rfm.customer_measures(invoices, keys).where(F.col("last_seen").isNotNull())
+    wide = rfm.wide_measures(rows, keys, F.col("anchor_date"), F.col("past"))
+    wide = wide.where(F.col("last_seen").isNotNull())
     return rfm.finish_features(wide).select(
         "cutoff_days",
         "customer_id",

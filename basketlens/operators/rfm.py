@@ -1,11 +1,12 @@
 """Customer features: recency, frequency, value, velocity, cancellations, shopping hour.
 
-All measures come out of one pass. Lines are first summed up per (customer,
-invoice) and then per customer, so distinct invoice counts turn into plain
-counts: no ``count(distinct)``, no row expansion, no join of partial results.
-Both levels combine before they shuffle; a customer with a third of all lines
-is spread over its invoices first and reaches the second shuffle as one partial
-row per partition.
+Lines are first summed up per (customer, invoice) and then per customer, so
+distinct invoice counts turn into plain counts: no ``count(distinct)`` and no
+row expansion. Both levels combine before they shuffle; a customer with a third
+of all lines is spread over its invoices first and reaches the second shuffle as
+one partial row per partition. The shopping hour has two levels of its own, per
+(customer, hour) and per customer, and meets the rest on the customer, by which
+both are then partitioned already.
 """
 
 from __future__ import annotations
@@ -26,9 +27,6 @@ from basketlens.functions.temporal import days_before, whole_days_between
 from basketlens.functions.text import invoice_text, is_cancellation
 from basketlens.session import materialize
 
-_HOURS = [f"hour_{hour:02d}" for hour in range(24)]
-
-
 def latest_date(transactions: DataFrame) -> Column:
     """Largest invoice date over all rows, with or without a customer, as a scalar subquery."""
     return transactions.agg(F.max("invoice_date").alias("latest")).scalar()
@@ -71,7 +69,6 @@ def invoice_measures(
     within = F.lit(True) if within is None else within
     moment = F.col("invoice_date")
     value = F.when(within, F.col("value"))
-    hour = F.when(within, F.hour(moment))
     return lines.groupBy(*keys, "invoice_no").agg(
         F.max(anchor).alias("anchor"),
         F.max(moment).alias("last_any"),
@@ -81,17 +78,13 @@ def invoice_measures(
         F.sum(value).alias("monetary"),
         F.sum(F.when(moment >= days_before(anchor, SHORT_WINDOW_DAYS), value)).alias("monetary_30"),
         F.sum(F.when(moment >= days_before(anchor, LONG_WINDOW_DAYS), value)).alias("monetary_90"),
-        *[
-            F.sum(F.when(hour == index, F.col("lines")).otherwise(0)).alias(name)
-            for index, name in enumerate(_HOURS)
-        ],
     )
 
 
 def customer_measures(invoices: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """From invoice sums to one wide row per key."""
+    """From invoice sums to one row per key."""
     cancelled = F.col("counted") & is_cancellation(F.col("invoice_no"))
-    summed = invoices.groupBy(*keys).agg(
+    return invoices.groupBy(*keys).agg(
         F.max("anchor").alias("anchor"),
         F.max("last_any").alias("last_any"),
         F.max("last_seen").alias("last_seen"),
@@ -102,17 +95,34 @@ def customer_measures(invoices: DataFrame, keys: Sequence[str]) -> DataFrame:
         ],
         F.count_if(cancelled).alias("cancelled_orders"),
         F.count_if("counted").alias("total_orders"),
-        *[F.sum(name).alias(name) for name in _HOURS],
     )
-    return summed.withColumn("preferred_shopping_hour", _busiest_hour()).drop(*_HOURS)
 
 
-def _busiest_hour() -> Column:
-    """Most frequent hour, the earliest on ties: the counters are in hour order."""
-    counts = F.array(*[F.col(name) for name in _HOURS])
-    most = F.array_max(counts)
-    found = F.when(most > 0, F.array_position(counts, most) - 1)
-    return F.coalesce(found, F.lit(DEFAULT_SHOPPING_HOUR)).cast("int")
+def preferred_hours(lines: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Hour with the most lines per key, the earliest on ties.
+
+    Count and hour are packed into one number, larger for the earlier of two
+    hours, so that the choice is a plain maximum.
+    """
+    counts = (
+        lines.where(F.col("invoice_date").isNotNull())
+        .groupBy(*keys, F.hour("invoice_date").alias("hour"))
+        .agg(F.sum("lines").alias("lines"))
+    )
+    packed = F.max(F.col("lines") * 32 + (31 - F.col("hour")))
+    return counts.groupBy(*keys).agg((31 - packed % 32).cast("int").alias("preferred_shopping_hour"))
+
+
+def wide_measures(
+    lines: DataFrame, keys: Sequence[str], anchor: Column, within: Column | None = None
+) -> DataFrame:
+    """All sums per key from lines or moments; keys without a counted row have no ``last_seen``."""
+    counted = lines if within is None else lines.where(within)
+    sums = customer_measures(invoice_measures(lines, keys, anchor, within), keys)
+    hour = F.coalesce("preferred_shopping_hour", F.lit(DEFAULT_SHOPPING_HOUR))
+    return sums.join(preferred_hours(counted, keys), list(keys), "left").withColumn(
+        "preferred_shopping_hour", hour
+    )
 
 
 def finish_features(wide: DataFrame) -> DataFrame:
@@ -144,8 +154,8 @@ def rfm_wide_from(rows: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Features plus the sums behind them, from prepared lines or from moments."""
     anchor = latest_date(rows) if as_of is None else as_of
     known = rows.where(F.col("customer_id").isNotNull()).withColumn("anchor_date", anchor)
-    invoices = invoice_measures(known, ["customer_id"], F.col("anchor_date"))
-    return finish_features(customer_measures(invoices, ["customer_id"])).select(*WIDE_COLUMNS)
+    wide = wide_measures(known, ["customer_id"], F.col("anchor_date"))
+    return finish_features(wide).select(*WIDE_COLUMNS)
 
 
 def rfm_wide(
@@ -155,9 +165,9 @@ def rfm_wide(
 
     ``as_of`` is the moment recency and the trailing windows look back from.
     Left out, it is the latest date of all rows. For a stored table that is one
-    more scan of the date column. Where the transactions are a join or another
-    costly plan, ``store_invoices`` runs that plan once and takes both the date
-    and the features from the stored invoice moments.
+    more scan of the date column, and the shopping hour is one of two columns.
+    Where the transactions are a join or another costly plan, ``store_invoices``
+    runs that plan once and takes everything from the stored invoice moments.
     """
     return rfm_wide_from(
         stored_moments(transactions) if store_invoices else prepare_lines(transactions), as_of

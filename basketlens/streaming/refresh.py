@@ -47,12 +47,8 @@ def refresh_batch(base: str):
         lines = spark.read.parquet(f"{base}/lines")
         touched = lines.where(F.col(BATCH) == batch).select("customer_id", "bucket").distinct()
         theirs = lines.join(touched, ["bucket", "customer_id"], "left_semi")
-        invoices = rfm.invoice_measures(theirs, ["customer_id"], F.col("invoice_date"))
-        write_batch(
-            rfm.customer_measures(invoices, ["customer_id"]).select("customer_id", *_STATE),
-            batch,
-            f"{base}/features",
-        )
+        wide = rfm.wide_measures(theirs, ["customer_id"], F.col("invoice_date"))
+        write_batch(wide.select("customer_id", *_STATE), batch, f"{base}/features")
         latest = transactions.agg(F.max("invoice_date").alias("latest"))
         write_batch(latest, batch, f"{base}/latest")
 

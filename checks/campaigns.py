@@ -105,7 +105,7 @@ FROM (SELECT e.vec_id, list_cosine_similarity(c.embedding, CAST(e.embedding AS D
 )
 def c9(spark, folder):
     """Every vector against every product of the bounded catalogue."""
-    scored = similarity.similar_products(_vectors(spark, folder), fx.catalogue(spark, folder), C.CATALOGUE_SIZE)
+    scored = similarity.similar_products(_vectors(spark, folder), fx.catalogue_rows(spark, folder), C.CATALOGUE_SIZE)
     return scored.groupBy("query_id").agg(
         F.count(F.lit(1)).alias("compared"),
         F.round(F.max("similarity"), 6).alias("best"),
@@ -164,7 +164,7 @@ FROM (SELECT e.vec_id AS query_id, c.*, row_number() OVER (PARTITION BY e.vec_id
     ),
 )
 def j3(spark, folder):
-    matches = similarity.similar_products(_vectors(spark, folder), fx.catalogue(spark, folder))
+    matches = similarity.similar_products(_vectors(spark, folder), fx.catalogue_rows(spark, folder))
     return matches.withColumn("similarity", F.round("similarity", 6))
 
 

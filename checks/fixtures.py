@@ -111,8 +111,8 @@ def features_and_churn_log(spark: SparkSession, folder: str) -> tuple[DataFrame,
     return stored, churn_log_of(stored, moments)
 
 
-def catalogue(spark: SparkSession, folder: str) -> DataFrame:
-    """The stored product catalogue; the r-th description by text has the vector with id r."""
+def catalogue_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The product catalogue; the r-th description by text has the vector with id r."""
     place = Window.orderBy("description")  # over at most 1,000 catalogue rows
     products = product_catalogue(transactions(spark, folder)).withColumn(
         "vec_id", (F.row_number().over(place) - 1).cast("long")
@@ -120,8 +120,12 @@ def catalogue(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings").select(
         "vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("embedding")
     )
-    rows = products.join(vectors, "vec_id").select("stock_code", "description", "unit_price", "embedding")
-    return materialize(rows, "catalogue")
+    return products.join(vectors, "vec_id").select("stock_code", "description", "unit_price", "embedding")
+
+
+def catalogue(spark: SparkSession, folder: str) -> DataFrame:
+    """The catalogue as a stored table, for queries that read it several times."""
+    return materialize(catalogue_rows(spark, folder), "catalogue")
 
 
 def scoring_requests(spark: SparkSession, folder: str) -> DataFrame:

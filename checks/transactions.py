@@ -124,7 +124,7 @@ def a7(spark, folder):
 def a8(spark, folder):
     path = working_path(spark, "catalogue")
     for _ in range(2):  # the second load replaces the first
-        logs.replace_catalogue(fx.catalogue(spark, folder), path)
+        logs.replace_catalogue(fx.catalogue_rows(spark, folder), path)
     return logs.read_catalogue(spark, path).select(
         "stock_code",
         "description",
