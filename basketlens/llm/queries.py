@@ -6,9 +6,10 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import bpe, langid, quality, secrets
+from basketlens.llm import bpe, langid, mixing, neardup, pii, quality, secrets, sharding, sketches
 from basketlens.llm import sql as oracles
 from basketlens.llm.frames import documents
+from basketlens.session import materialize
 from checks.registry import query
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -68,3 +69,51 @@ def language(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder)
     model = langid.fit(docs.where(~F.coalesce(_held_out(), F.lit(False))))
     return langid.identify(docs, model).withColumn("held_out", F.coalesce(_held_out(), F.lit(False)))
+
+
+@query("op2_personal_data", oracles.PERSONAL)
+def personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find(documents(spark, folder))
+    base = F.filter("spans", lambda s: s["kind"] != "term")
+    return found.select(
+        "doc_id",
+        *[_number_of(F.col("spans"), kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(_listed(base), 256).alias("base_sha256"),
+        _listed(F.col("spans")).alias("spans"),
+    )
+
+
+@query("op4_shards")
+def shards(spark: SparkSession, folder: str) -> DataFrame:
+    placed = sharding.shards_by_bytes(documents(spark, folder))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+@query("op6_mix")
+def mix(spark: SparkSession, folder: str) -> DataFrame:
+    rows = materialize(mixing.sizes(documents(spark, folder)), "sizes")
+    return mixing.copies(rows).select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source", "copies"
+    )
+
+
+@query("op9_fingerprints")
+def fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    pairs = sketches.edited_pairs(documents(spark, folder))
+    sketch, edited, following = F.col("sketch"), F.col("edited_sketch"), F.col("next_sketch")
+    return pairs.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        sketches.as_text(sketch).alias("fingerprint"),
+        sketches.as_text(edited).alias("edited_fingerprint"),
+        sketches.resemblance(sketch, edited).alias("near_edited"),
+        sketches.resemblance(sketch, following).alias("near_next"),
+    )
+
+
+@query("op10_near_duplicates", oracles.NEAR)
+def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.groups(documents(spark, folder))

@@ -2,3 +2,5 @@
 
 QUALITY = None
 SECRETS = None
+PERSONAL = None
+NEAR = None
