@@ -181,7 +181,8 @@ def encode(docs: DataFrame, ranks_file: str, tokenizer_file: str, text: str = "t
 
     def joined(batch: pa.RecordBatch):
         encoder = codec(ranks_file, tokenizer_file)
-        for at, parts in enumerate(batch.column("parts").to_pylist()):
+        for at in range(len(batch)):
+            parts = batch.column("parts").slice(at, 1).to_pylist()[0]
             one = {p["part"]: p for p in parts}  # equal rows bring the same parts
             lists = [(np.frombuffer(one[i]["ids"], "<u4").tolist(), one[i]["sure"]) for i in range(len(one))]
             ids, again = tree(encoder, lists), len(parts) // len(one)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,20 +24,34 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 def map_batches(
     df: DataFrame, function: Callable[[pa.RecordBatch], Iterable[dict[str, object]]], schema: str
 ) -> DataFrame:
-    """``mapInArrow`` over a function from one record batch to column dictionaries."""
+    """``mapInArrow`` over a function from a record batch to column dictionaries.
+
+    The function gets slices with about ``RUN_BYTES`` of text, so what it builds
+    from them is bounded; only a longer row makes a larger slice.
+    """
     names = df.sparkSession.createDataFrame([], schema).schema
     fields = pa.schema([(f.name, _arrow_type(f.dataType.typeName(), f.dataType)) for f in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for columns in function(batch):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(columns[f.name], f.type) for f in fields], schema=fields
-                )
+            for low, high in runs(_lengths(batch)):
+                for columns in function(batch.slice(low, high - low)):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(columns[f.name], f.type) for f in fields], schema=fields
+                    )
 
     return df.mapInArrow(run, schema)
 
 
+def _lengths(batch: pa.RecordBatch) -> list[int]:
+    """Bytes of text and binary values of every row, and a little for the row itself."""
+    total = pa.array([16] * len(batch), pa.int64())
+    for column in batch.columns:
+        if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+            total = pc.add(total, pc.fill_null(pc.cast(pc.binary_length(column), pa.int64()), 0))
+    return total.to_pylist()
+
+
 def _arrow_type(name: str, kind) -> pa.DataType:
     if name == "array":
         return pa.list_(_arrow_type(kind.elementType.typeName(), kind.elementType))
