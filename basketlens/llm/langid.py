@@ -166,12 +166,8 @@ def _scores(rows: list, languages: list[str]) -> dict[str, np.ndarray]:
     return scores
 
 
-def identify(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep``, ``lang_pred`` and ``score`` of every row; reads the text column alone.
-
-    A null text, or one without a letter, is ``und`` with score 0, as is every
-    text when the model has no language. Rows stay where they are.
-    """
+def _predicted(docs: DataFrame, model: Model, text: str, keep: list[str]) -> DataFrame:
+    """``keep`` as ``_k0``, ``_k1``, ... with ``lang_pred`` and ``score``."""
     keys = [f"_k{i}" for i in range(len(keep))]
     base = docs.select(*[F.col(c).alias(k) for k, c in zip(keys, keep)], F.col(text).alias("_text"))
     kinds = ", ".join(f"{k} {docs.schema[c].dataType.simpleString()}" for k, c in zip(keys, keep))
@@ -185,5 +181,20 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str,
             "score": [score for _, score in found],
         }
 
-    out = map_batches(base, predicted, f"{kinds}, lang_pred string, score double")
-    return out.select(*[F.col(k).alias(c) for k, c in zip(keys, keep)], "lang_pred", "score")
+    return map_batches(base, predicted, f"{kinds}, lang_pred string, score double")
+
+
+def identify(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``keep``, ``lang_pred`` and ``score`` of every row; reads the text column alone.
+
+    A null text, or one without a letter, is ``und`` with score 0, as is every
+    text when the model has no language. Rows stay where they are.
+    """
+    found = _predicted(docs, model, text, list(keep))
+    return found.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)], "lang_pred", "score")
+
+
+def accepted(docs: DataFrame, model: Model, min_score: float, text: str = "text") -> DataFrame:
+    """Rows of ``docs`` with a known language of at least ``min_score``, with the columns of ``docs``."""
+    found = _predicted(docs, model, text, docs.columns).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score))
+    return found.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(docs.columns)])

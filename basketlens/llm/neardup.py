@@ -305,3 +305,22 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
         .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), own))
         .select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
     )
+
+
+def first_of_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` with one document of every group, with the columns of ``docs``.
+
+    The smallest doc_id of a group stays. Of several rows with one doc_id one
+    stays; rows without doc_id stay.
+    """
+    found = materialize(groups(docs, key, text).where(F.col("doc_id").isNotNull()), "groups")
+    gone = materialize(found.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    left = docs.join(gone, F.col(key).cast("long") == F.col("_gone"), "left_anti")
+    again = found.where("kept").groupBy(F.col("doc_id").alias("_again")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    again = materialize(again.select("_again"), "again")
+    if again.isEmpty():
+        return left
+    same = F.col(key).cast("long") == F.col("_again")
+    order = Window.partitionBy(F.col(key)).orderBy(F.xxhash64(*docs.columns))
+    one = left.join(again, same, "left_semi").select(F.struct(*docs.columns).alias("_row"), F.row_number().over(order).alias("_place"))
+    return left.join(again, same, "left_anti").unionByName(one.where("_place = 1").select("_row.*"))

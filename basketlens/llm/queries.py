@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import bpe, langid, mixing, neardup, pii, quality, secrets, sharding, sketches
+from basketlens.llm import bpe, langid, mixing, neardup, pii, quality, repeats, secrets, sharding, sketches
 from basketlens.llm import sql as oracles
 from basketlens.llm.frames import documents
 from basketlens.session import materialize
@@ -83,6 +83,18 @@ def personal_data(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op3_repeated_strings")
+def repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
+    cut = repeats.without_repeats(documents(spark, folder), stored=materialize)
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        F.aggregate("lengths", F.lit(0).cast("long"), lambda total, n: total + n).alias("n_removed"),
+        F.size("lengths").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query("op4_shards")
 def shards(spark: SparkSession, folder: str) -> DataFrame:
     placed = sharding.shards_by_bytes(documents(spark, folder))
