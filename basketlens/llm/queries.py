@@ -34,7 +34,7 @@ def _number_of(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
 
-@query("op5_secret_scan", oracles.SECRETS)
+@query("op5_secret_scan")
 def secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = secrets.scan(documents(spark, folder))
     spans = F.zip_with(
@@ -71,7 +71,7 @@ def language(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(docs, model).withColumn("held_out", F.coalesce(_held_out(), F.lit(False)))
 
 
-@query("op2_personal_data", oracles.PERSONAL)
+@query("op2_personal_data")
 def personal_data(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.find(documents(spark, folder))
     base = F.filter("spans", lambda s: s["kind"] != "term")
@@ -83,7 +83,7 @@ def personal_data(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("op3_repeated_strings")
+@query("op3_repeated_strings", oracles.REPEATS)
 def repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
     cut = repeats.without_repeats(documents(spark, folder), stored=materialize)
     return cut.select(
