@@ -9,7 +9,7 @@ common prefix of at least ``LEAST`` hashes.
 
 A region with more rows than neighbours looked at, in which classes are still in
 different components afterwards, is finished exactly: classes with similarity
-t share one of their ``floor((1 - t) * n) + 1`` smallest hashes.
+t share one of the ``floor((1 - t) * n) + 1`` hashes that come first in a common order.
 """
 
 from __future__ import annotations
@@ -226,30 +226,41 @@ def _crowded(pairs: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFra
 
 
 def _rest(crowded: DataFrame, bodies: DataFrame) -> DataFrame:
-    """``a, b``: all pairs of crowded nodes in different components that can be similar enough."""
-    base = crowded.join(bodies, "node").select("node", "component", F.col("text").alias("_text"))
+    """``a, b``: all pairs of crowded nodes in different components that can be similar enough.
 
-    def smallest(batch: pa.RecordBatch):
-        for low, high in _slices(batch.column("_text")):
-            part = batch.slice(low, high - low)
-            hashes, starts = _sets(part.column("_text"))
-            n = np.diff(starts)
-            take = n - -(-n * SIMILAR[0] // SIMILAR[1]) + 1
-            row = np.repeat(np.arange(len(part)), take)
-            place = np.arange(len(row)) - np.repeat(np.cumsum(take) - take, take)
-            yield {
-                "node": part.column("node").to_numpy()[row],
-                "component": part.column("component").to_numpy()[row],
-                "hash": hashes[starts[:-1][row] + place].astype(np.int64),
-                "n": n[row],
-                "place": place,
-            }
+    A node's hashes are ordered by how many crowded nodes have them. Two similar
+    sets share one of their first hashes in any common order; in this one, what
+    only one of two copies has comes first, so unlike pairs fail on the place of
+    the first hash they share and are never made.
+    """
+    base = crowded.join(bodies, "node").select("node", "component", F.col("text").alias("_text"))
 
-    rows = materialize(map_batches(base, smallest, "node bigint, component bigint, hash bigint, n bigint, place bigint"), "prefixes")
-    mixed = rows.groupBy("hash").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    rows = rows.join(mixed.select("hash"), "hash", "left_semi")
-    one, two = (rows.select("hash", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "component", "n", "place")]) for s in ("a", "b"))
-    # the shared hash is the first that both have, so what can still be shared is what follows it
+    def hashed(batch: pa.RecordBatch):
+        hashes, starts = _sets(batch.column("_text"))
+        n = np.diff(starts)
+        row = np.repeat(np.arange(len(batch)), n)
+        yield {
+            "node": batch.column("node").to_numpy()[row],
+            "component": batch.column("component").to_numpy()[row],
+            "hash": hashes.astype(np.int64),
+            "n": n[row],
+        }
+
+    rows = materialize(map_batches(base, hashed, "node bigint, component bigint, hash bigint, n bigint"), "hashes")
+    seen = rows.groupBy("hash").agg(
+        F.count(F.lit(1)).alias("seen"), F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    order = Window.partitionBy("node").orderBy("seen", "hash")
+    first = (
+        rows.join(seen, "hash")
+        .withColumn("place", F.row_number().over(order) - 1)
+        .where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * SIMILAR[0] / SIMILAR[1]))
+        .where("low <> high")
+        .select("hash", "node", "component", "n", "place")
+    )
+    first = materialize(first, "prefixes")
+    one, two = (first.select("hash", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "component", "n", "place")]) for s in ("a", "b"))
+    # a shared hash at these places leaves at most what follows it to be shared
     most = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
     enough = (SIMILAR[0] + SIMILAR[1]) * most >= SIMILAR[0] * (F.col("n_a") + F.col("n_b"))
     return (
@@ -292,6 +303,7 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     crowded = materialize(_crowded(pairs, classes, labels), "crowded")
     if not crowded.isEmpty():
         left = _rest(crowded, bodies).join(likely.unionByName(first.select("a", "b")), ["a", "b"], "left_anti")
+        left = materialize(_likely(left, classes), "left")
         more = materialize(_compared(left, bodies), "links")
         if not more.isEmpty():
             labels = materialize(components(links.unionByName(more)), "labels")
