@@ -138,26 +138,34 @@ def _near(found: DataFrame) -> DataFrame:
 def disclosing_terms(keyed: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame] | None:
     """(``term, disclosure``; ``doc_id, mark, term``): terms over ``GENERALISE`` and the rows they occur in.
 
-    Counts are of distinct texts, over all texts of the corpus. Texts are read
-    once more, and only words that stand near an entity in ``MIN_TEXTS`` texts
-    leave their task. None when there is no such word.
+    Counts are of distinct texts, over all texts of the corpus. A term can only
+    pass if few texts have it, so a first pass counts texts per term by sketches
+    and leaves out terms at over twice the largest number that could pass, which
+    is a hundred standard errors away; the others are counted exactly in a
+    second one. None when no word stands near an entity in ``MIN_TEXTS`` texts.
     """
     near = materialize(_near(found), "near")
     together = near.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")).where(F.col("n_both") >= MIN_TEXTS)
-    together = materialize(together, "together")
-    if together.isEmpty():
-        return None
     alone = found.select(F.concat_ws(":", "kind", F.lower("value")).alias("entity"), "mark").distinct()
     alone = alone.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    terms = materialize(together.select("term").distinct(), "terms")
+    together = materialize(together.join(alone, "entity"), "together")
+    if together.isEmpty():
+        return None
+    texts = F.lit(float(keyed.select("mark").distinct().count()))
+    most = F.max(F.col("n_both") * F.pow(texts / F.col("n_entity"), F.lit(1 - GENERALISE)))
+    terms = materialize(together.groupBy("term").agg(most.alias("most")), "terms")
     each = keyed.select("doc_id", "mark", F.explode(F.array_distinct(F.transform(_words(F.col("text")), _term))).alias("term"))
-    where = materialize(each.join(terms, "term", "left_semi"), "occurrences")
+    rough = each.join(terms, "term").groupBy("term", "most").agg(F.approx_count_distinct("mark", 0.01).alias("n"))
+    rare = materialize(rough.where(F.col("n") <= 2 * F.col("most")).select("term"), "rare")
+    where = materialize(each.join(rare, "term", "left_semi"), "occurrences")
     seen = where.select("mark", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    texts = keyed.select("mark").distinct().count()
-    counted = together.join(alone, "entity").join(seen, "term")
-    share = F.log(F.col("n_both") * F.lit(float(texts)) / (F.col("n_entity") * F.col("n_term")))
-    most = F.log(F.lit(float(texts)) / F.col("n_entity"))
-    told = counted.where(F.col("n_entity") < texts).groupBy("term").agg(F.max(share / most).alias("disclosure"))
+    share = F.log(F.col("n_both") * texts / (F.col("n_entity") * F.col("n_term")))
+    told = (
+        together.join(seen, "term")
+        .where(F.col("n_entity") < texts)
+        .groupBy("term")
+        .agg(F.max(share / F.log(texts / F.col("n_entity"))).alias("disclosure"))
+    )
     return told.where(F.col("disclosure") >= GENERALISE), where
 
 
