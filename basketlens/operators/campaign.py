@@ -12,7 +12,6 @@ from basketlens.constants import (
     APOLOGY_CANCELLATION_OVER,
     APOLOGY_TEXT,
     CAMPAIGN_TEXT,
-    CATALOGUE_SIZE,
     DEFAULT_PROFILE,
     DEFAULT_RECOMMENDATIONS,
     FALLBACK_AT_RISK,
@@ -116,20 +115,21 @@ def _as_list(recommendations: DataFrame, key: Sequence[str]) -> DataFrame:
     return recommendations.groupBy(*key).agg(F.sort_array(F.collect_list(item)).alias("items"))
 
 
-def recommend(
-    profiles: DataFrame, catalogue: DataFrame, k: int = TOP_K, inline_rows: int = CATALOGUE_SIZE
-) -> DataFrame:
+def recommend(profiles: DataFrame, catalogue: DataFrame, vectors: DataFrame, k: int = TOP_K) -> DataFrame:
     """Profiles with ``items``: what resembles the last product, or the standard list.
 
-    Similarity depends on the product only, so it is computed once per
-    catalogue product and looked up by customers; a product sold to a third of
-    the customers costs as much as any other. The lookup has one row per
-    catalogue product and Spark broadcasts it when it is small enough.
+    ``vectors`` has ``description`` and ``embedding`` of products, in the
+    catalogue or not; only a last product without a vector gets the standard
+    list. Similarity depends on the product only, so it is computed once per
+    distinct last product and looked up by customers; a product sold to a third
+    of the customers costs as much as any other.
     """
-    asked = catalogue.select(
+    last = profiles.select(F.col("last_purchased").alias("description")).distinct()
+    known = vectors.where(F.col("embedding").isNotNull()).dropDuplicates(["description"])
+    asked = last.join(known, "description").select(
         F.col("description").alias("query_id"), F.col("description").alias("query_text"), "embedding"
     )
-    found = _as_list(similar_products(asked, catalogue, k, inline_rows), ["query_id"])
+    found = _as_list(similar_products(asked, catalogue, k), ["query_id"])
     standard = _as_list(default_recommendations(profiles.sparkSession, k), [])
     return (
         profiles.join(found, F.col("last_purchased") == F.col("query_id"), "left")
@@ -197,8 +197,9 @@ def campaigns(
     transactions: DataFrame,
     churn_log: DataFrame,
     catalogue: DataFrame,
+    vectors: DataFrame,
     k: int = TOP_K,
 ) -> DataFrame:
     """One campaign per requested customer id."""
     profiles = profiles_or_default(ids, customer_profiles(rfm, transactions, churn_log))
-    return profiles.transform(recommend, catalogue, k).transform(with_offers).transform(with_campaign_text)
+    return profiles.transform(recommend, catalogue, vectors, k).transform(with_offers).transform(with_campaign_text)

@@ -37,6 +37,8 @@ CHURN_REQUEST = SEGMENTATION_REQUEST | {
     "preferred_shopping_hour": "int",
 }
 
+_LARGEST = 1.7976931348623157e308  # NaN sorts after every number, so it is not in this range either
+
 
 def _complaint(name: str, kind: str) -> Column:
     given = F.col(name)
@@ -44,6 +46,7 @@ def _complaint(name: str, kind: str) -> Column:
     return (
         F.when(given.isNull(), F.lit(f"{name}: missing"))
         .when(parsed.isNull(), F.lit(f"{name}: not a number"))
+        .when(~parsed.cast("double").between(-_LARGEST, _LARGEST), F.lit(f"{name}: not finite"))
         .when(parsed < 0, F.lit(f"{name}: negative"))
     )
 
@@ -51,7 +54,7 @@ def _complaint(name: str, kind: str) -> Column:
 def check_requests(requests: DataFrame, rules: dict[str, str]) -> DataFrame:
     """Add ``reasons``: one text per broken rule, an empty array for a valid row.
 
-    Every ruled field must be present, numeric and not negative. A field that
+    Every ruled field must be present, a finite number and not negative. A field that
     is not a column of ``requests`` is missing in every row.
     """
     absent = {name: F.lit(None).cast("string") for name in rules if name not in requests.columns}

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketlens.functions.numeric import ratio
-from basketlens.session import materialize
 
 
 def accuracy(df: DataFrame, label: str, prediction: str) -> DataFrame:
@@ -150,66 +149,3 @@ def silhouette_squared(points: DataFrame, features: Sequence[str], cluster: str
     scored = frame.select(inner.alias("a"), outer.alias("b"))
     value = _safe(F.col("b") - F.col("a"), F.greatest("a", "b"))
     return scored.agg(F.avg(F.when(F.col("a").isNull(), 0.0).otherwise(value)).alias("silhouette"))
-
-
-def silhouette_euclidean(
-    points: DataFrame, features: Sequence[str], cluster: str = "cluster", block_rows: int = 4096
-) -> DataFrame:
-    """Mean silhouette under Euclidean distance, which has no linear form.
-
-    Every pair of points counts, so the work is quadratic whatever is done;
-    here it is cut into (block, block) tasks of bounded size that each return
-    one distance sum per point and cluster, never the pairs. Meant for customer
-    tables of moderate size; :func:`silhouette_squared` is the one that scales.
-    """
-    names = list(features)
-    n = points.count()
-    blocks = max(1, -(-n // block_rows))
-    numbered = points.select(
-        F.monotonically_increasing_id().alias("point"),
-        F.col(cluster).cast("int").alias("cluster"),
-        *[F.col(name).cast("double").alias(name) for name in names],
-    )
-    stored = materialize(numbered, "silhouette").withColumn(
-        "block", F.pmod(F.xxhash64("point"), F.lit(blocks)).cast("int")
-    )
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    left = stored.withColumn("other", every)
-    right = stored.withColumnRenamed("block", "other").withColumn("block", every)
-
-    def distance_sums(ours, theirs):
-        import numpy as np
-        import pandas as pd
-
-        x, y = ours[names].to_numpy(), theirs[names].to_numpy()
-        groups = theirs["cluster"].to_numpy()
-        far = np.sqrt(((x[:, None, :] - y[None, :, :]) ** 2).sum(axis=2))
-        parts = [
-            pd.DataFrame(
-                {
-                    "point": ours["point"],
-                    "own": ours["cluster"],
-                    "cluster": np.int32(group),
-                    "total": far[:, groups == group].sum(axis=1),
-                    "n": np.int64((groups == group).sum()),
-                }
-            )
-            for group in np.unique(groups)
-        ]
-        empty = pd.DataFrame({"point": [], "own": [], "cluster": [], "total": [], "n": []})
-        return pd.concat(parts) if parts else empty
-
-    sums = (
-        left.groupBy("block", "other")
-        .cogroup(right.groupBy("block", "other"))
-        .applyInPandas(distance_sums, "point long, own int, cluster int, total double, n long")
-        .groupBy("point", "own", "cluster")
-        .agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
-    )
-    own = F.col("cluster") == F.col("own")
-    scored = sums.groupBy("point").agg(
-        F.max(F.when(own, ratio(F.col("total"), F.col("n") - 1))).alias("a"),
-        F.min(F.when(~own, F.col("total") / F.col("n"))).alias("b"),
-    )
-    value = _safe(F.col("b") - F.col("a"), F.greatest("a", "b"))
-    return scored.agg(F.avg(F.when(F.col("a").isNull(), 0.0).otherwise(value)).alias("silhouette"))

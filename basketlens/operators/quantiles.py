@@ -1,9 +1,11 @@
 """Exact quantiles without gathering a column in one task.
 
-A sketch brackets each quantile first; its rank error is bounded, so the exact
-value is sure to lie inside the bracket. The second pass counts the rows below
-the bracket and the distinct values inside it, which is a small, fixed share of
-the rows. The result is the linear interpolation between order statistics.
+A sketch brackets each quantile first; its rank error is bounded. The second
+pass joins the brackets to the rows before anything is moved: rows below and
+above a bracket become a count and the value next to it, one row per task, and
+only the distinct values inside, a small, fixed share, are shuffled. The result
+is the linear interpolation between order statistics; an order statistic that a
+bracket does not hold is an error, never a guess.
 """
 
 from __future__ import annotations
@@ -14,7 +16,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _ACCURACY = 10_000  # sketch ranks are off by at most n / _ACCURACY
-_WHOLE_BELOW = 10_000  # groups this small are bracketed by their minimum and maximum
 _SLACK = 3 / _ACCURACY
 
 
@@ -27,25 +28,33 @@ def to_long(df: DataFrame, keys: Sequence[str], features: Sequence[str]) -> Data
 def exact_quantiles(long: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """Per key: row count ``n`` and ``quantiles``, an array in the order of ``probs``.
 
-    ``keys`` are meant to be few (features, classes): their brackets are broadcast.
+    Any number of keys; every key has one bracket per probability.
     """
     keys = list(keys)
     present = long.where(F.col("value").isNotNull()).select(*keys, "value")
     brackets = _brackets(present, keys, probs)
-    weighted = present.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("weight"))
-    inside = (
-        weighted.join(F.broadcast(brackets), keys)
-        .where(F.col("value") <= F.col("high"))
-        .withColumn("value", F.when(F.col("value") >= F.col("low"), F.col("value")))
-        .groupBy(*keys, "item", "prob", "n", "value")
-        .agg(F.sum("weight").alias("weight"))
+    side = F.when(F.col("value") < F.col("low"), -1).when(F.col("value") > F.col("high"), 1).otherwise(0)
+    point = F.when(F.col("side") == 0, F.col("value"))
+    counted = (
+        present.join(brackets, keys)
+        .withColumn("side", side)
+        .groupBy(*keys, "item", "prob", "n", "side", point.alias("point"))
+        .agg(F.count(F.lit(1)).alias("weight"), F.min("value").alias("least"), F.max("value").alias("most"))
+        .withColumn("value", F.when(F.col("side") == -1, F.col("most")).otherwise(F.col("least")))
     )
-    upto = Window.partitionBy(*keys, "item").orderBy(F.col("value").asc_nulls_first())
+    upto = Window.partitionBy(*keys, "item").orderBy("value")
     position = (F.col("n") - 1) * F.col("prob")
-    ranked = inside.withColumn("upto", F.sum("weight").over(upto))
+    ranked = counted.withColumn("upto", F.sum("weight").over(upto))
 
     def at(rank: Column) -> Column:
-        return F.min(F.when(F.col("upto") > rank, F.col("value")))
+        # of the rows outside, only the one next to the bracket is known by value
+        known = (
+            (F.col("side") == 0)
+            | (F.col("side") == -1) & (rank == F.col("upto") - 1)
+            | (F.col("side") == 1) & (rank == F.col("upto") - F.col("weight"))
+        )
+        first = F.min(F.when(F.col("upto") > rank, F.struct("upto", "value", known.alias("known"))))
+        return F.when(first["known"], first["value"]).otherwise(F.raise_error(F.lit("a quantile lies outside its bracket")))
 
     picked = ranked.groupBy(*keys, "item", "prob", "n").agg(
         at(F.floor(position)).alias("lower"), at(F.ceil(position)).alias("upper")
@@ -63,19 +72,16 @@ def _brackets(present: DataFrame, keys: list[str], probs: Sequence[float]) -> Da
     highs = F.array(*[F.lit(min(p + _SLACK, 1.0)) for p in probs])
     summary = present.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
-        F.min("value").alias("least"),
-        F.max("value").alias("most"),
         F.percentile_approx("value", lows, _ACCURACY).alias("lows"),
         F.percentile_approx("value", highs, _ACCURACY).alias("highs"),
     )
-    small = F.col("n") <= _WHOLE_BELOW
     items = F.array(
         *[
             F.struct(
                 F.lit(index).alias("item"),
                 F.lit(float(prob)).alias("prob"),
-                F.when(small, F.col("least")).otherwise(F.col("lows")[index]).alias("low"),
-                F.when(small, F.col("most")).otherwise(F.col("highs")[index]).alias("high"),
+                F.col("lows")[index].alias("low"),
+                F.col("highs")[index].alias("high"),
             )
             for index, prob in enumerate(probs)
         ]

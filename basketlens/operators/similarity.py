@@ -15,6 +15,10 @@ from basketlens.constants import CATALOGUE_SIZE, EMBED_BATCH, TOP_K
 from basketlens.operators.reports import product_rollup
 from basketlens.session import materialize
 
+# Rows of a block: a pair of blocks is a matrix of 16 MB.
+QUERY_ROWS = 2_000
+PRODUCT_ROWS = 1_000
+
 
 def product_catalogue(transactions: DataFrame, n: int = CATALOGUE_SIZE) -> DataFrame:
     """The ``n`` products with the most sales lines."""
@@ -59,46 +63,114 @@ def embed_by_terms(df: DataFrame, text: str = "description", dimensions: int = 6
     )
 
 
-def similar_products(
-    queries: DataFrame, catalogue: DataFrame, k: int = TOP_K, inline_rows: int = CATALOGUE_SIZE
-) -> DataFrame:
+def similar_products(queries: DataFrame, catalogue: DataFrame, k: int = TOP_K) -> DataFrame:
     """The ``k`` catalogue products most similar to each query by cosine, best first.
 
     ``queries`` has ``query_id``, ``query_text`` (null matches no description)
     and ``embedding``. A product described like the query is left out. A zero
     vector has no similarity and comes last; equal similarities go by description.
 
-    A catalogue of at most ``inline_rows`` rows travels to the tasks as one
-    matrix, so queries never shuffle. Its size is checked by a capped read; a
-    larger one is compared block by block, see :func:`_similar_by_block`.
+    Both sides are cut into blocks of bounded size and each pair of blocks is
+    one group, so no group grows with the data. A pair returns at most ``k``
+    rows per query; the best ``k`` of those are kept.
     """
+    pairs, queries = _by_block(queries, catalogue, _matcher(k), _match_fields())
+    best = Window.partitionBy("query").orderBy(
+        F.round("similarity", 12).desc_nulls_last(), "description", "stock_code"
+    )
+    top = pairs.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return top.join(queries, "query").select("query_id", *[field.name for field in _match_fields()])
+
+
+def similarity_range(queries: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """Per query: products ``compared``, and the ``best`` and ``worst`` similarity.
+
+    Summed up inside each pair of blocks, so no query meets its products as rows.
+    """
+    fields = [
+        T.StructField("compared", T.LongType()),
+        T.StructField("best", T.DoubleType()),
+        T.StructField("worst", T.DoubleType()),
+    ]
+
+    def summarise(frame, products):
+        import numpy as np
+        import pandas as pd
+
+        similarity, same = _similarities(frame, products)
+        similarity = np.where(same, np.nan, similarity)
+        with np.errstate(all="ignore"):
+            best, worst = pd.DataFrame(similarity).max(axis=1), pd.DataFrame(similarity).min(axis=1)
+        return pd.DataFrame(
+            {"query": frame["query"].to_numpy(), "compared": (~same).sum(axis=1), "best": best, "worst": worst}
+        )
+
+    parts, queries = _by_block(queries, catalogue, summarise, fields)
+    summed = parts.groupBy("query").agg(
+        F.sum("compared").alias("compared"), F.max("best").alias("best"), F.min("worst").alias("worst")
+    )
+    return summed.join(queries, "query").select("query_id", "compared", "best", "worst")
+
+
+def _by_block(
+    queries: DataFrame, catalogue: DataFrame, function: Callable, fields: list[T.StructField]
+) -> tuple[DataFrame, DataFrame]:
+    """``function`` of every pair of blocks, and the ``query`` numbers with their ids."""
     asked = queries.select("query_id", "query_text", "embedding").where(F.col("embedding").isNotNull())
     offered = catalogue.select("stock_code", "description", "unit_price", "embedding").where(
         F.col("embedding").isNotNull()
     )
-    products = offered.limit(inline_rows + 1).toPandas()
-    if len(products) > inline_rows:
-        return _similar_by_block(asked, offered, k, inline_rows)
-    match = _matcher(k)
+    asked = materialize(asked.withColumn("query", F.monotonically_increasing_id()), "queries")
+    offered = materialize(offered.withColumn("product", F.monotonically_increasing_id()), "products")
+    query_blocks = max(1, -(-asked.count() // QUERY_ROWS))
+    product_blocks = max(1, -(-offered.count() // PRODUCT_ROWS))
 
-    def match_all(frames: Iterator) -> Iterator:
-        for frame in frames:
-            yield match(frame, products)
+    def block(name: str, count: int):
+        return F.pmod(F.xxhash64(name), F.lit(count)).cast("int")
 
-    return asked.mapInPandas(match_all, _match_schema(queries))
+    def every(count: int):
+        return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
 
+    left = asked.select("query", "query_text", "embedding", block("query", query_blocks).alias("_q"), every(product_blocks).alias("_p"))
+    right = offered.select("*", block("product", product_blocks).alias("_p"), every(query_blocks).alias("_q"))
+    schema = T.StructType([T.StructField("query", T.LongType()), *fields])
+    names = [field.name for field in schema]
 
-def _match_schema(queries: DataFrame) -> T.StructType:
-    return T.StructType(
-        [
-            T.StructField("query_id", queries.schema["query_id"].dataType),
-            T.StructField("rank", T.IntegerType()),
-            T.StructField("stock_code", T.StringType()),
-            T.StructField("description", T.StringType()),
-            T.StructField("unit_price", T.DoubleType()),
-            T.StructField("similarity", T.DoubleType()),
-        ]
-    )
+    def meet(frame, products):
+        import pandas as pd
+
+        if not len(frame) or not len(products):
+            return pd.DataFrame({name: [] for name in names})
+        products = products.sort_values(["description", "stock_code"], kind="stable", ignore_index=True)
+        return function(frame, products)
+
+    pairs = left.groupBy("_q", "_p").cogroup(right.groupBy("_q", "_p")).applyInPandas(meet, schema)
+    return pairs, asked.select("query", "query_id")
+
+
+def _match_fields() -> list[T.StructField]:
+    return [
+        T.StructField("rank", T.IntegerType()),
+        T.StructField("stock_code", T.StringType()),
+        T.StructField("description", T.StringType()),
+        T.StructField("unit_price", T.DoubleType()),
+        T.StructField("similarity", T.DoubleType()),
+    ]
+
+
+def _similarities(frame, products):
+    """(cosines, whether the texts are the same) of every query and product of a pair of blocks."""
+    import numpy as np
+    import pandas as pd
+
+    asked = np.stack(frame["embedding"].to_list()).astype("float64")
+    offered = np.stack(products["embedding"].to_list()).astype("float64")
+    lengths = np.linalg.norm(asked, axis=1)[:, None] * np.linalg.norm(offered, axis=1)[None, :]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        similarity = np.where(lengths == 0, np.nan, asked @ offered.T / lengths)
+    codes, _ = pd.factorize(pd.concat([products["description"].str.lower(), frame["query_text"].astype("object").str.lower()]))
+    names, texts = codes[: len(products)], codes[len(products) :]  # no text has the code -1
+    return similarity, (names[None, :] == texts[:, None]) & (texts >= 0)[:, None]
 
 
 def _matcher(k: int) -> Callable:
@@ -108,30 +180,23 @@ def _matcher(k: int) -> Callable:
         import numpy as np
         import pandas as pd
 
-        columns = ["query_id", "rank", "stock_code", "description", "unit_price", "similarity"]
-        if not len(frame) or not len(products):
-            return pd.DataFrame({name: [] for name in columns})
-        products = products.sort_values(["description", "stock_code"], kind="stable", ignore_index=True)
-        asked = np.stack(frame["embedding"].to_list()).astype("float64")
-        offered = np.stack(products["embedding"].to_list()).astype("float64")
-        lengths = np.linalg.norm(asked, axis=1)[:, None] * np.linalg.norm(offered, axis=1)[None, :]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            similarity = np.where(lengths == 0, np.nan, asked @ offered.T / lengths)
-        names = products["description"].str.lower().to_numpy()
-        texts = frame["query_text"].str.lower().to_numpy()
-        same = (names[None, :] == texts[:, None]) & frame["query_text"].notna().to_numpy()[:, None]
+        similarity, same = _similarities(frame, products)
         # Rounded for the order only, so that equal vectors keep the order of the descriptions.
         distance = np.where(np.isnan(similarity), 2.0, -np.round(similarity, 12))
         distance[same] = np.inf
-        order = np.argsort(distance, axis=1, kind="stable")[:, :k]
-        rows = np.repeat(np.arange(len(frame)), order.shape[1])
-        picked, ranks = order.ravel(), np.tile(np.arange(1, order.shape[1] + 1), len(frame))
-        keep = ~same[rows, picked]
+        few = min(k, distance.shape[1])
+        # everything up to the k-th distance, ties with it included, is then sorted
+        limit = np.partition(distance, few - 1, axis=1)[:, few - 1 : few]
+        rows, picked = np.nonzero((distance <= limit) & ~same)
+        order = np.lexsort((picked, distance[rows, picked], rows))
+        rows, picked = rows[order], picked[order]
+        ranks = np.arange(len(rows)) - np.searchsorted(rows, rows) + 1
+        keep = ranks <= k
         rows, picked, ranks = rows[keep], picked[keep], ranks[keep]
         found = products.iloc[picked]
         return pd.DataFrame(
             {
-                "query_id": frame["query_id"].to_numpy()[rows],
+                "query": frame["query"].to_numpy()[rows],
                 "rank": ranks.astype("int32"),
                 "stock_code": found["stock_code"].to_numpy(),
                 "description": found["description"].to_numpy(),
@@ -141,45 +206,3 @@ def _matcher(k: int) -> Callable:
         )
 
     return match
-
-
-def _similar_by_block(
-    asked: DataFrame, offered: DataFrame, k: int, block_rows: int, query_rows: int = 10_000
-) -> DataFrame:
-    """Exact top-k for a catalogue of any size.
-
-    Both sides are cut into blocks of bounded size and each pair of blocks is
-    one group, so no group grows with the data. A pair returns at most ``k``
-    rows per query; the best ``k`` of those are kept.
-    """
-    queries = materialize(asked.withColumn("_id", F.monotonically_increasing_id()), "queries")
-    products = materialize(offered.withColumn("_id", F.monotonically_increasing_id()), "products")
-    query_blocks = max(1, -(-queries.count() // query_rows))
-    product_blocks = max(1, -(-products.count() // block_rows))
-
-    def block(count: int):
-        return F.pmod(F.xxhash64("_id"), F.lit(count)).cast("int")
-
-    def every(count: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-
-    left = queries.select("*", block(query_blocks).alias("_q"), every(product_blocks).alias("_p"))
-    right = products.select("*", block(product_blocks).alias("_p"), every(query_blocks).alias("_q"))
-    match = _matcher(k)
-
-    def match_blocks(frame, offered_block):
-        keyed = frame.assign(query_id=frame["_id"])
-        return match(keyed, offered_block)
-
-    schema = _match_schema(queries)
-    by_row = T.StructType([T.StructField("query_id", T.LongType()), *schema.fields[1:]])
-    pairs = left.groupBy("_q", "_p").cogroup(right.groupBy("_q", "_p")).applyInPandas(match_blocks, by_row)
-    best = Window.partitionBy("query_id").orderBy(
-        F.round("similarity", 12).desc_nulls_last(), "description", "stock_code"
-    )
-    top = pairs.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    names = queries.select(F.col("_id"), F.col("query_id").alias("_name"))
-    return (
-        top.join(names, F.col("query_id") == F.col("_id"))
-        .select(F.col("_name").alias("query_id"), *[F.col(field.name) for field in schema.fields[1:]])
-    )

@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketlens.constants import LOG_SCALED_FEATURES, SEGMENTATION_FEATURES, SPLIT_SEED
-from basketlens.operators.metrics import silhouette_euclidean
 from basketlens.operators.profiles import segment_customers, with_segment
 from basketlens.operators.splits import exact_split, train_test
 from basketlens.plans.scaling import VECTOR, drop_working_columns, fit_scaling, scale
@@ -78,13 +77,9 @@ def assign_clusters(df: DataFrame, model: PipelineModel) -> DataFrame:
     return drop_working_columns(model.transform(df))
 
 
-def _silhouette(clustered: DataFrame, columns: Sequence[str], metric: str) -> float:
+def _silhouette(clustered: DataFrame) -> float:
     if clustered.select("cluster").distinct().count() < 2:
         return -1.0  # not defined for a single cluster
-    if metric == "euclidean":
-        values = vector_to_array(VECTOR)
-        points = clustered.select("cluster", *[values[i].alias(f"x{i}") for i in range(len(columns))])
-        return silhouette_euclidean(points, [f"x{i}" for i in range(len(columns))]).first()[0]
     return ClusteringEvaluator(
         featuresCol=VECTOR, predictionCol="cluster", distanceMeasure="squaredEuclidean"
     ).evaluate(clustered)
@@ -95,14 +90,11 @@ def choose_k(
     ks: Iterable[int],
     columns: Sequence[str] = tuple(SEGMENTATION_FEATURES),
     seed: int = SPLIT_SEED,
-    metric: str = "squaredEuclidean",
     starts: int = 1,
 ) -> FittedSegmentation:
     """Fit every k on one scaled frame and keep the best silhouette, the first k on ties.
 
-    ``squaredEuclidean`` needs one linear pass per k. ``euclidean`` compares all
-    pairs of customers, so it suits moderate tables only; the two give
-    different numbers.
+    The silhouette is the squared Euclidean one, which needs one linear pass per k.
     """
     stages = fit_scaling(train, columns, LOG_SCALED_FEATURES)
     scaled = materialize(scale(train, stages).select(VECTOR), "scaled")
@@ -110,7 +102,7 @@ def choose_k(
     scores = []
     for k in ks:
         fitted = _best_of(scaled, k, range(seed, seed + starts))
-        score = _silhouette(fitted.transform(scaled), columns, metric)
+        score = _silhouette(fitted.transform(scaled))
         scores.append((k, score))
         if score > best.silhouette:
             best = FittedSegmentation(PipelineModel(stages=[*stages, fitted]), k, score)
@@ -168,7 +160,6 @@ def segmentation_job(
     columns: Sequence[str] = tuple(SEGMENTATION_FEATURES),
     seed: int = SPLIT_SEED,
     output: str | None = None,
-    metric: str = "squaredEuclidean",
 ) -> tuple[FittedSegmentation, DataFrame, DataFrame, DataFrame]:
     """Split, choose k, assign both sides, profile and label the training side.
 
@@ -178,7 +169,7 @@ def segmentation_job(
     model is never read with the labels of another.
     """
     train, test = train_test(materialize(exact_split(features, seed=seed), "split"))
-    fitted = choose_k(train, ks, columns, seed, metric)
+    fitted = choose_k(train, ks, columns, seed)
     segmented, profile = segment_customers(assign_clusters(train, fitted.model))
     assigned = with_segment(assign_clusters(test, fitted.model), profile)
     if output:

@@ -12,19 +12,33 @@ from basketlens.schemas import CORRUPT, RFM, TRANSACTIONS
 
 _CSV = {
     "header": "true",
+    "quote": '"',
+    "escape": '"',  # a quote inside quotes is doubled
     "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss",
     "timestampFormat": "yyyy-MM-dd HH:mm:ss",
 }
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, keep_corrupt: bool = False) -> DataFrame:
-    """CSV with a fixed schema, one pass; malformed rows are kept in a column of their own on request."""
-    if keep_corrupt:
-        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    reader = spark.read.schema(schema).options(**_CSV).option("mode", "PERMISSIVE")
-    if keep_corrupt:
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-    return reader.csv(path)
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType, keep_corrupt: bool = False, multi_line: bool = False
+) -> DataFrame:
+    """CSV with a fixed schema, one pass.
+
+    A malformed row is an error unless ``keep_corrupt`` asks for it in a column
+    of its own, see :func:`split_corrupt`; no row is filled with nulls unseen.
+    Line breaks inside quotes need ``multi_line``, which reads a file as one piece.
+    """
+    reader = spark.read.options(**_CSV).option("multiLine", multi_line)
+    if not keep_corrupt:
+        return reader.schema(schema).option("mode", "FAILFAST").csv(path)
+    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    return reader.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+
+
+def split_corrupt(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Good rows, and the text of malformed ones for a quarantine that can be counted."""
+    good = rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return good, rows.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 
 from basketlens.schemas import CATALOGUE, CHURN_LOG, PREDICTION_LOG
 
+JOB = "job"  # every job owns the folder job=<name> of a log
+
 
 def request_id(*parts: Column) -> Column:
     """Repeatable id: the same request gets the same id when a batch is written again."""
@@ -22,16 +24,23 @@ def log_rows(scored: DataFrame, schema: T.StructType, created_at: Column | None
     return frame.select(*[F.col(field.name).cast(field.dataType).alias(field.name) for field in schema.fields])
 
 
-def append_predictions(scored: DataFrame, path: str) -> None:
-    _append(log_rows(scored, PREDICTION_LOG), path)
+def append_predictions(scored: DataFrame, path: str, job: str) -> None:
+    """Add the rows of ``job``; a job that is repeated replaces its own rows and no others."""
+    _append(log_rows(scored, PREDICTION_LOG), path, job)
 
 
-def append_churn_predictions(scored: DataFrame, path: str) -> None:
-    _append(log_rows(scored, CHURN_LOG), path)
+def append_churn_predictions(scored: DataFrame, path: str, job: str) -> None:
+    _append(log_rows(scored, CHURN_LOG), path, job)
 
 
-def _append(rows: DataFrame, path: str) -> None:
-    rows.write.mode("append").partitionBy("model_version").parquet(path)
+def _append(rows: DataFrame, path: str, job: str) -> None:
+    (
+        rows.withColumn(JOB, F.lit(job))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(JOB)
+        .parquet(path)
+    )
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -53,6 +54,42 @@ def run(stream: DataFrame, base: str, mode: str = "append") -> str:
     return path
 
 
+def collect(stream: DataFrame, base: str, partial: Callable[[DataFrame], DataFrame]) -> str:
+    """Run a stream to its end into ``base/rows``: every batch adds its own partial sums.
+
+    Sums are put together when they are read, so a row counts in whatever order
+    it comes, and a batch costs what it brings, not what came before.
+    """
+    path = f"{base}/rows"
+    start(stream, f"{base}/checkpoint", lambda rows, batch: write_batch(partial(rows), batch, path)).awaitTermination()
+    return path
+
+
+def compact(spark: SparkSession, path: str, combine: Callable[[DataFrame], DataFrame]) -> None:
+    """Combine all batches so far into one table beside ``path``; later reads start from it.
+
+    The combined table names the last batch it holds. It counts from the moment
+    it is written as a whole, so readers see a batch once at any time.
+    """
+    upto = spark.read.parquet(path).agg(F.max(BATCH)).first()[0]
+    if upto is not None:
+        combine(read_partials(spark, path)).withColumn("upto", F.lit(upto).cast("long")).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy("upto").parquet(f"{path}-compact")
+
+
+def read_partials(spark: SparkSession, path: str) -> DataFrame:
+    """Partial sums of all batches: the newest combined table and the batches after it."""
+    later = spark.read.parquet(path)
+    try:
+        combined = spark.read.parquet(f"{path}-compact")
+    except AnalysisException:  # nothing was combined so far
+        return later.drop(BATCH)
+    upto = combined.agg(F.max("upto")).first()[0]
+    rest = later.where(F.col(BATCH) > upto).drop(BATCH)
+    return combined.where(F.col("upto") == upto).drop("upto").select(*rest.columns).unionByName(rest)
+
+
 def read_rows(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop(BATCH)
 

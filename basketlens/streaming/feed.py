@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketlens.operators.cleaning import clean_keep_returns
+from basketlens.streaming.changelog import BATCH, write_batch
 
 # Fields that tell two sales lines apart; the feed has no row ids of its own.
 SALTS = 16
+DAY = "invoice_day"
 LINE_KEYS = ["invoice_no", "stock_code", "customer_id", "invoice_date", "quantity", "unit_price"]
 
 
@@ -32,28 +37,56 @@ def ingest(stream: DataFrame) -> DataFrame:
     return clean_keep_returns(stream)
 
 
-def distinct_rows(stream: DataFrame, keys: Sequence[str], within_watermark: bool, salts: int = SALTS) -> DataFrame:
-    """Keep the first row per key, in two steps.
+def _without_copies(lines: DataFrame) -> DataFrame:
+    """One row per line, in two steps: copies are reduced in each part first, so they need not all meet."""
+    salted = lines.withColumn("_salt", F.spark_partition_id() % SALTS)
+    return salted.dropDuplicates([*LINE_KEYS, "_salt"]).drop("_salt").dropDuplicates(LINE_KEYS)
 
-    Removing duplicates has no partial step before its shuffle, so all copies of
-    one row would meet in one task. They are therefore reduced to one per salt
-    first, in many tasks, and only those meet; ``salts=1`` leaves that step out
-    for feeds known to repeat little.
-    """
-
-    def reduced(df: DataFrame, by: list[str]) -> DataFrame:
-        return df.dropDuplicatesWithinWatermark(by) if within_watermark else df.dropDuplicates(by)
-
-    if salts > 1:
-        salted = stream.withColumn("_salt", F.spark_partition_id() % salts)
-        stream = reduced(salted, [*keys, "_salt"]).drop("_salt")
-    return reduced(stream, list(keys))
 
+def without_replays(base: str) -> Callable[[DataFrame, int], None]:
+    """Batch writer: lines that were not stored before go to ``base/lines``, by day and batch.
 
-def without_replays(stream: DataFrame, delay: str = "1 day", salts: int = SALTS) -> DataFrame:
-    """Drop repeated lines. The state of a line is dropped once the watermark has passed it.
-
-    A line that comes again later than that is behind the watermark and is
-    dropped as late, so it is not let through a second time either.
+    A batch is compared with the stored lines of its own days, however long ago
+    they came, so nothing is dropped for being late. Lines without a date can
+    not be compared and go to ``base/quarantine``. ``base/counts`` has, per
+    batch, the rows that came, were kept, were repeated and were set aside.
     """
-    return distinct_rows(stream.withWatermark("invoice_date", delay), LINE_KEYS, True, salts)
+
+    def write(lines: DataFrame, batch: int) -> None:
+        spark = lines.sparkSession
+        lines.persist()
+        dated = lines.where(F.col("invoice_date").isNotNull()).withColumn(DAY, F.to_date("invoice_date"))
+        fresh = _without_copies(dated)
+        stored = _stored(spark, base, batch, [r[0] for r in dated.select(DAY).distinct().collect()])
+        if stored is not None:
+            known = stored.select(*[F.col(name).alias(f"_{name}") for name in LINE_KEYS])
+            same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in LINE_KEYS]
+            fresh = fresh.join(known, reduce(and_, same), "left_anti")
+        (
+            fresh.withColumn(BATCH, F.lit(batch).cast("long"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(DAY, BATCH)
+            .parquet(f"{base}/lines")
+        )
+        write_batch(lines.where(F.col("invoice_date").isNull()), batch, f"{base}/quarantine")
+        kept = spark.read.parquet(f"{base}/lines").where(F.col(BATCH) == batch).count() if dated.take(1) else 0
+        total, aside = lines.count(), lines.where(F.col("invoice_date").isNull()).count()
+        counts = spark.createDataFrame([(total, kept, total - kept - aside, aside)], "rows long, kept long, repeated long, aside long")
+        write_batch(counts, batch, f"{base}/counts")
+        lines.unpersist()
+
+    return write
+
+
+def _stored(spark: SparkSession, base: str, batch: int, days: list) -> DataFrame | None:
+    """Stored lines of the given days from batches before this one."""
+    try:
+        lines = spark.read.parquet(f"{base}/lines")
+    except AnalysisException:  # the first batch
+        return None
+    return lines.where(F.col(DAY).isin(days) & (F.col(BATCH) < batch))
+
+
+def stored_lines(spark: SparkSession, base: str) -> DataFrame:
+    return spark.read.parquet(f"{base}/lines").drop(DAY, BATCH)

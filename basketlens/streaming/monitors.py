@@ -1,4 +1,8 @@
-"""Drift monitors over event-time windows."""
+"""Drift monitors over event-time windows.
+
+A micro-batch adds its counts per window; the counts of all batches are summed
+when the monitor is read. No row is too late, so there is no watermark.
+"""
 
 from __future__ import annotations
 
@@ -13,48 +17,66 @@ from basketlens.functions.text import is_cancellation
 ALERT_ABOVE = (BASELINE_CANCEL_RATE + DRIFT_CANCEL_RATE) / 2
 
 
-def cancellation_rate(
-    stream: DataFrame, width: str = "1 day", delay: str = "1 day", alert_above: float = ALERT_ABOVE
-) -> DataFrame:
-    """Share of cancelled rows per tumbling window, with an alert flag."""
+def cancellation_counts(lines: DataFrame, width: str = "1 day") -> DataFrame:
+    """Rows and cancelled rows of one batch per tumbling window; rows without a date have none."""
     cancelled = F.count_if(is_cancellation(F.col("invoice_no")))
     return (
-        stream.withWatermark("invoice_date", delay)
-        .groupBy(F.window("invoice_date", width))
+        lines.groupBy(F.window("invoice_date", width).alias("window"))
         .agg(F.count(F.lit(1)).alias("rows"), cancelled.alias("cancelled"))
-        .select(
-            F.col("window.start").alias("window_start"),
-            "rows",
-            "cancelled",
-            round_half_even(F.col("cancelled") / F.col("rows"), 4).alias("cancellation_rate"),
-            (F.col("cancelled") / F.col("rows") > alert_above).alias("alert"),
-        )
+        .select(F.col("window.start").alias("window_start"), "rows", "cancelled")
     )
 
 
-def volume_drift(stream: DataFrame, width: str = "7 days", slide: str = "1 day", delay: str = "1 day") -> DataFrame:
-    """Size and price of sales per sliding window.
+def combined_counts(counts: DataFrame) -> DataFrame:
+    return counts.groupBy("window_start").agg(F.sum("rows").alias("rows"), F.sum("cancelled").alias("cancelled"))
 
-    Sums are kept as decimals, so they do not depend on the order of arrival.
-    """
-    price = F.col("unit_price").cast("decimal(18,2)")
+
+def cancellation_rate(counts: DataFrame, alert_above: float = ALERT_ABOVE) -> DataFrame:
+    """Share of cancelled rows per window over all batches, with an alert flag."""
+    rate = F.col("cancelled") / F.col("rows")
+    return combined_counts(counts).select(
+        "window_start",
+        "rows",
+        "cancelled",
+        round_half_even(rate, 4).alias("cancellation_rate"),
+        (rate > alert_above).alias("alert"),
+    )
+
+
+def sales_sums(lines: DataFrame, width: str = "7 days", slide: str = "1 day") -> DataFrame:
+    """Sums over the sales of one batch per sliding window; prices are summed as decimals."""
+    price = F.col("unit_price").cast("decimal(20,6)")
     return (
-        stream.where(F.col("quantity") > 0)
-        .withWatermark("invoice_date", delay)
-        .groupBy(F.window("invoice_date", width, slide))
+        lines.where(F.col("quantity") > 0)
+        .groupBy(F.window("invoice_date", width, slide).alias("window"))
         .agg(
             F.count(F.lit(1)).alias("sales"),
             F.sum("quantity").alias("units"),
             F.max("quantity").alias("largest"),
-            F.sum(price).alias("price_sum"),
+            F.sum(price).cast("decimal(38,6)").alias("price_sum"),
             F.max(price).alias("highest"),
         )
-        .select(
-            F.col("window.start").alias("window_start"),
-            "sales",
-            round_half_even(F.col("units") / F.col("sales"), 4).alias("mean_quantity"),
-            F.col("largest").alias("max_quantity"),
-            round_half_even(F.col("price_sum").cast("double") / F.col("sales"), 4).alias("mean_price"),
-            F.col("highest").cast("double").alias("max_price"),
-        )
+        .select(F.col("window.start").alias("window_start"), "sales", "units", "largest", "price_sum", "highest")
+    )
+
+
+def combined_sums(sums: DataFrame) -> DataFrame:
+    return sums.groupBy("window_start").agg(
+        F.sum("sales").alias("sales"),
+        F.sum("units").alias("units"),
+        F.max("largest").alias("largest"),
+        F.sum("price_sum").cast("decimal(38,6)").alias("price_sum"),
+        F.max("highest").alias("highest"),
+    )
+
+
+def volume_drift(sums: DataFrame) -> DataFrame:
+    """Size and price of sales per window over all batches."""
+    return combined_sums(sums).select(
+        "window_start",
+        "sales",
+        round_half_even(F.col("units") / F.col("sales"), 4).alias("mean_quantity"),
+        F.col("largest").alias("max_quantity"),
+        round_half_even(F.col("price_sum").cast("double") / F.col("sales"), 4).alias("mean_price"),
+        F.col("highest").cast("double").alias("max_price"),
     )

@@ -1,83 +1,42 @@
 """Feature table kept current by micro-batches.
 
-Two tables hold the state. ``lines`` has the feed summed up per customer,
-invoice and moment, in folders by customer bucket and batch; ``features`` has, per batch, the
-time-independent sums of the customers that batch touched. Recency and the trailing windows depend on
-the latest date of all rows, which moves with every batch, so they are derived
-when the table is read.
+A batch adds its own sums per customer, invoice and moment and touches nothing
+that came before, so its cost does not grow with the number of batches. Recency
+and the trailing windows depend on the latest date of all rows, which moves with
+every batch, and an invoice may go on in a later one; both are put together when
+the table is read. ``compact`` keeps the number of files a read opens small.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.constants import LONG_WINDOW_DAYS, RFM_COLUMNS, SHORT_WINDOW_DAYS
-from basketlens.functions.temporal import days_before
+from basketlens.constants import RFM_COLUMNS
 from basketlens.operators import rfm
-from basketlens.streaming.changelog import BATCH, read_current, start, write_batch
+from basketlens.streaming import changelog
 
-BUCKETS = 64  # customers are kept in this many folders, so a batch reads only those it touches
+_MONEY = "decimal(38,6)"  # sums of decimals do not depend on the order of arrival
 
-_STATE = ["last_seen", "frequency", "monetary", "cancelled_orders", "total_orders", "preferred_shopping_hour"]
 
+def batch_moments(transactions: DataFrame) -> DataFrame:
+    """Invoice moments of one batch, with or without a customer."""
+    return combined_moments(rfm.prepare_lines(transactions).withColumn("value", F.col("value").cast(_MONEY)))
 
-def _bucket() -> Column:
-    return F.pmod(F.crc32("customer_id"), F.lit(BUCKETS)).cast("int")
 
+def combined_moments(moments: DataFrame) -> DataFrame:
+    return rfm.invoice_moments(moments).withColumn("value", F.col("value").cast(_MONEY))
 
-def _write_lines(rows: DataFrame, batch: int, path: str) -> None:
-    (
-        rows.withColumns({"bucket": _bucket(), BATCH: F.lit(batch).cast("long")})
-        .hint("rebalance", "bucket")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("bucket", BATCH)
-        .parquet(path)
-    )
 
-
-def refresh_batch(base: str):
-    """Batch writer: add the batch to ``lines``, then recompute its customers' sums from there."""
-
-    def write(transactions: DataFrame, batch: int) -> None:
-        spark = transactions.sparkSession
-        known = transactions.where(F.col("customer_id").isNotNull())
-        _write_lines(rfm.invoice_moments(rfm.prepare_lines(known)), batch, f"{base}/lines")
-        lines = spark.read.parquet(f"{base}/lines")
-        touched = lines.where(F.col(BATCH) == batch).select("customer_id", "bucket").distinct()
-        theirs = lines.join(touched, ["bucket", "customer_id"], "left_semi")
-        wide = rfm.wide_measures(theirs, ["customer_id"], F.col("invoice_date"))
-        write_batch(wide.select("customer_id", *_STATE), batch, f"{base}/features")
-        latest = transactions.agg(F.max("invoice_date").alias("latest"))
-        write_batch(latest, batch, f"{base}/latest")
-
-    return write
+def run_refresh(stream: DataFrame, base: str) -> None:
+    changelog.collect(stream, base, batch_moments)
 
 
-def run_refresh(stream: DataFrame, base: str) -> None:
-    start(stream, f"{base}/checkpoint", refresh_batch(base)).awaitTermination()
+def compact(spark: SparkSession, base: str) -> None:
+    changelog.compact(spark, f"{base}/rows", combined_moments)
 
 
 def current_features(spark: SparkSession, base: str) -> DataFrame:
     """The seven-column feature table as of the latest row seen."""
-    latest = spark.read.parquet(f"{base}/latest").agg(F.max("latest").alias("latest")).scalar()
-    state = read_current(spark, f"{base}/features", ["customer_id"])
-    recent = (
-        spark.read.parquet(f"{base}/lines")
-        .withColumn("anchor", latest)
-        .where(F.col("sold") & (F.col("invoice_date") >= days_before(F.col("anchor"), LONG_WINDOW_DAYS)))
-        .groupBy("customer_id")
-        .agg(
-            F.sum(F.when(F.col("invoice_date") >= days_before(F.col("anchor"), SHORT_WINDOW_DAYS), F.col("value"))).alias(
-                "monetary_30"
-            ),
-            F.sum("value").alias("monetary_90"),
-        )
-    )
-    wide = (
-        state.join(recent, "customer_id", "left")
-        .na.fill(0.0, ["monetary_30", "monetary_90"])
-        .withColumn("anchor", latest)
-    )
-    return rfm.finish_features(wide).select(*RFM_COLUMNS)
+    moments = combined_moments(changelog.read_partials(spark, f"{base}/rows"))
+    return rfm.rfm_wide_from(moments).select(*RFM_COLUMNS)

@@ -4,23 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from basketlens import constants as C
-from basketlens.operators import campaign, similarity
+from basketlens.operators import campaign, profiles, similarity
 from basketlens.sources import star
 import checks.reporting  # noqa: F401  defines last_product and last_score
 from checks import fixtures as fx
 from checks.registry import query
 from checks.sql import define, label, sql
 
-PROFILE = "customer_id, " + ", ".join(C.DEFAULT_PROFILE)
-_DEFAULT_ROWS = ", ".join(
-    f"({place}, '{code}', '{name}', {price}::DOUBLE, {score}::DOUBLE)"
-    for place, (code, name, price, score) in enumerate(C.DEFAULT_RECOMMENDATIONS, start=1)
-)
-
-
-def _literal(value) -> str:
-    return f"'{value}'" if isinstance(value, str) else f"{value}::DOUBLE" if isinstance(value, float) else str(value)
+_DEFAULT_ROWS = """(1, '85123A', 'WHITE HANGING HEART T-LIGHT HOLDER', 2.55::DOUBLE, 0.85::DOUBLE),
+  (2, '22423', 'REGENCY CAKESTAND 3 TIER', 12.75::DOUBLE, 0.72::DOUBLE), (3, '47566', 'PARTY BUNTING', 4.95::DOUBLE, 0.68::DOUBLE)"""
+_STANDARD = {
+    "recency": "30",
+    "frequency": "5",
+    "avg_order_value": "100.0::DOUBLE",
+    "spending_velocity": "1.0::DOUBLE",
+    "cancellation_rate": "0.0::DOUBLE",
+    "preferred_shopping_hour": "12",
+    "segment": "'Medium Customers'",
+    "last_purchased": "'RED RETROSPOT WRAP'",
+    "churn_probability": "0.15::DOUBLE",
+    "is_churn": "0",
+}
+PROFILE = "customer_id, " + ", ".join(_STANDARD)
 
 
 define(
@@ -42,8 +47,8 @@ define(
     "asked_profiles",
     "SELECT asked.customer_id, "
     + ", ".join(
-        f"CASE WHEN p.customer_id IS NULL THEN {_literal(value)} ELSE p.{name} END AS {name}"
-        for name, value in C.DEFAULT_PROFILE.items()
+        f"CASE WHEN p.customer_id IS NULL THEN {value} ELSE p.{name} END AS {name}"
+        for name, value in _STANDARD.items()
     )
     + " FROM asked LEFT JOIN profiles p ON asked.customer_id = p.customer_id",
     "asked",
@@ -53,10 +58,11 @@ define(
     "product_matches",
     """SELECT * FROM (SELECT q.description AS query_id, c.*, row_number() OVER (PARTITION BY q.description
     ORDER BY c.score DESC, c.description) AS place
-  FROM (SELECT description, embedding FROM catalogue) q,
+  FROM vectors q,
   LATERAL (SELECT stock_code, description, unit_price, list_cosine_similarity(embedding, q.embedding) AS score
     FROM catalogue WHERE lower(description) <> lower(q.description)) c) WHERE place <= 3""",
     "catalogue",
+    "vectors",
 )
 define(
     "recommended",
@@ -105,11 +111,9 @@ FROM (SELECT e.vec_id, list_cosine_similarity(c.embedding, CAST(e.embedding AS D
 )
 def c9(spark, folder):
     """Every vector against every product of the bounded catalogue."""
-    scored = similarity.similar_products(_vectors(spark, folder), fx.catalogue_rows(spark, folder), C.CATALOGUE_SIZE)
-    return scored.groupBy("query_id").agg(
-        F.count(F.lit(1)).alias("compared"),
-        F.round(F.max("similarity"), 6).alias("best"),
-        F.round(F.min("similarity"), 6).alias("worst"),
+    scored = similarity.similarity_range(_vectors(spark, folder), fx.catalogue_rows(spark, folder))
+    return scored.select(
+        "query_id", "compared", F.round("best", 6).alias("best"), F.round("worst", 6).alias("worst")
     )
 
 
@@ -177,16 +181,22 @@ FROM product_matches""",
     ),
 )
 def j3_products(spark, folder):
-    catalogue = fx.catalogue(spark, folder)
-    asked = catalogue.select(
+    vectors = fx.product_vectors(spark, folder)
+    catalogue = fx.catalogue(spark, folder, vectors)
+    asked = vectors.select(
         F.col("description").alias("query_id"), F.col("description").alias("query_text"), "embedding"
     )
     return similarity.similar_products(asked, catalogue).withColumn("similarity", F.round("similarity", 6))
 
 
-@query("j4_customer_profile", sql(f"SELECT {PROFILE} FROM profiles WHERE is_churn = 1", "profiles"))
+@query("j4_customer_profile", sql(f"SELECT {PROFILE} FROM profiles", "profiles"))
 def j4(spark, folder):
-    return _profiles(spark, folder).where("is_churn = 1")
+    """Profiles whose segment comes with the features, here by the same rules the SQL has."""
+    features, log = fx.features_and_churn_log(spark, folder)
+    labelled = features.withColumn(
+        "segment", profiles.rule_label(F.col("recency"), F.col("frequency"), F.col("avg_order_value"))
+    )
+    return campaign.customer_profiles(labelled, fx.transactions(spark, folder), log)
 
 
 @query("j5_profile_or_default", sql(f"SELECT {PROFILE} FROM asked_profiles", "asked_profiles"))
@@ -203,15 +213,38 @@ def j5(spark, folder):
     ),
 )
 def j6(spark, folder):
-    recommended = campaign.recommend(_asked_profiles(spark, folder), fx.catalogue(spark, folder))
+    vectors = fx.product_vectors(spark, folder)
+    recommended = campaign.recommend(_asked_profiles(spark, folder), fx.catalogue(spark, folder, vectors), vectors)
     return campaign.recommendation_rows(recommended).withColumn("similarity", F.round("similarity", 6))
 
 
+_APOLOGY = (
+    "We noticed some of your recent orders were cancelled. We'd love to make things right "
+    "and guarantee a smooth checkout next time!"
+)
+_CAMPAIGN = """# Subject: Special Offer: Inspired by your recent purchase!
+
+Dear Customer {customer_id},
+
+We hope you are having a wonderful day! {apology} We noticed you recently purchased the **"{last_purchased}"** and loved it. 
+
+Based on your taste, we thought you might enjoy these top recommendations from our collection:
+{recommendations}
+
+Because you are a valued customer, we'd like to offer you a special benefit: **{offer}**!
+
+Enter the code at checkout. We hope to see you again soon!
+
+Best regards,  
+*Your E-Commerce Marketing Team*
+
+**Delivery Meta:** [Schedule Delivery for {hour}:00]
+"""
 _WINBACK = "(is_churn = 1 OR spending_velocity < 0.8)"
 define(
     "offers",
     f"""SELECT *, CASE WHEN {_WINBACK} THEN '20% off with code WINBACK20' ELSE 'early access with code LOYALTYVIP' END AS offer,
-  CASE WHEN cancellation_rate > 0.15 THEN $${C.APOLOGY_TEXT}$$ ELSE '' END AS apology,
+  CASE WHEN cancellation_rate > 0.15 THEN $${_APOLOGY}$$ ELSE '' END AS apology,
   CASE WHEN {_WINBACK} THEN 'WINBACK20' ELSE 'LOYALTYVIP' END
     || CASE WHEN cancellation_rate > 0.15 THEN ',SHIPSAFE' ELSE '' END AS offer_codes,
   preferred_shopping_hour AS send_hour FROM asked_profiles""",
@@ -227,7 +260,7 @@ def j7(spark, folder):
 
 
 def _draft() -> str:
-    text = C.CAMPAIGN_TEXT
+    text = _CAMPAIGN
     fields = {
         "customer_id": "o.customer_id",
         "apology": "apology",
@@ -254,8 +287,9 @@ ON o.customer_id = r.customer_id""",
 
 def _campaigns(spark, folder):
     features, log = fx.features_and_churn_log(spark, folder)
-    catalogue = fx.catalogue(spark, folder)
-    return campaign.campaigns(_asked(spark, folder), features, fx.transactions(spark, folder), log, catalogue)
+    vectors = fx.product_vectors(spark, folder)
+    catalogue = fx.catalogue(spark, folder, vectors)
+    return campaign.campaigns(_asked(spark, folder), features, fx.transactions(spark, folder), log, catalogue, vectors)
 
 
 @query("j8_campaign_text", sql("SELECT customer_id, campaign_draft FROM drafts", "drafts"))

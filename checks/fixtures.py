@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketlens.constants import RFM_COLUMNS
 from basketlens.operators.churn import training_frame
 from basketlens.operators.enrich import enrich
 from basketlens.operators.profiles import rule_cluster, rule_label
+from basketlens.operators.ranking import global_row_number
+from basketlens.operators.reports import product_rollup
 from basketlens.operators.rfm import latest_date, rfm_wide, rfm_wide_from, stored_moments
 from basketlens.operators.similarity import product_catalogue
 from basketlens.schemas import CHURN_LOG, PREDICTION_LOG
@@ -111,21 +113,28 @@ def features_and_churn_log(spark: SparkSession, folder: str) -> tuple[DataFrame,
     return stored, churn_log_of(stored, moments)
 
 
-def catalogue_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """The product catalogue; the r-th description by text has the vector with id r."""
-    place = Window.orderBy("description")  # over at most 1,000 catalogue rows
-    products = product_catalogue(transactions(spark, folder)).withColumn(
-        "vec_id", (F.row_number().over(place) - 1).cast("long")
-    )
+CATALOGUE_ROWS = 40  # fewer than there are products, so some last products are outside
+
+
+def product_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """``description, embedding`` of every product; the r-th description by text has the vector with id r."""
+    products = product_rollup(transactions(spark, folder)).select("description").distinct()
+    ranked = global_row_number(products, ["description"]).select("description", (F.col("rank") - 1).alias("vec_id"))
     vectors = table(spark, folder, "embeddings").select(
         "vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("embedding")
     )
-    return products.join(vectors, "vec_id").select("stock_code", "description", "unit_price", "embedding")
+    return materialize(ranked.join(vectors, "vec_id").select("description", "embedding"), "vectors")
+
+
+def catalogue_rows(spark: SparkSession, folder: str, vectors: DataFrame | None = None) -> DataFrame:
+    vectors = product_vectors(spark, folder) if vectors is None else vectors
+    products = product_catalogue(transactions(spark, folder), CATALOGUE_ROWS)
+    return products.join(vectors, "description", "left").select("stock_code", "description", "unit_price", "embedding")
 
 
-def catalogue(spark: SparkSession, folder: str) -> DataFrame:
+def catalogue(spark: SparkSession, folder: str, vectors: DataFrame | None = None) -> DataFrame:
     """The catalogue as a stored table, for queries that read it several times."""
-    return materialize(catalogue_rows(spark, folder), "catalogue")
+    return materialize(catalogue_rows(spark, folder, vectors), "catalogue")
 
 
 def scoring_requests(spark: SparkSession, folder: str) -> DataFrame:
@@ -135,7 +144,7 @@ def scoring_requests(spark: SparkSession, folder: str) -> DataFrame:
 def requests_from(customers: DataFrame) -> DataFrame:
     """Untyped scoring requests: account data stands in for features, some of it unfit.
 
-    Balances may be negative, segments are no numbers, and some values are absent.
+    Balances may be negative, segments are no numbers, some numbers are not finite, and some values are absent.
     """
     number = F.col("c_custkey")
     balance = F.floor("c_acctbal").cast("long").cast("string")
@@ -143,6 +152,9 @@ def requests_from(customers: DataFrame) -> DataFrame:
         F.when(number % 9 != 0, number.cast("string")).alias("customer_id"),
         balance.alias("recency"),
         F.when(number % 7 == 0, F.col("c_mktsegment"))
+        .when(number % 13 == 1, F.lit("NaN"))
+        .when(number % 13 == 2, F.lit("Infinity"))
+        .when(number % 13 == 3, F.lit("-Infinity"))
         .otherwise(F.col("c_nationkey").cast("string"))
         .alias("frequency"),
         F.when(number % 11 != 0, number.cast("string")).alias("avg_order_value"),

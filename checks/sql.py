@@ -187,17 +187,26 @@ FROM tx WHERE description IS NOT NULL GROUP BY description""",
     "tx",
 )
 define("top_products", "SELECT * FROM products ORDER BY sales_volume DESC, description LIMIT 1000", "products")
+define(
+    "vectors",
+    """SELECT description, CAST(embedding AS DOUBLE[]) AS embedding
+FROM (SELECT description, row_number() OVER (ORDER BY description) - 1 AS vec_id FROM (SELECT DISTINCT description FROM products))
+JOIN embeddings USING (vec_id)""",
+    "products",
+)
 define(
     "catalogue",
-    """SELECT stock_code, description, unit_price, vec_id, CAST(embedding AS DOUBLE[]) AS embedding
-FROM (SELECT *, row_number() OVER (ORDER BY description) - 1 AS vec_id FROM top_products) JOIN embeddings USING (vec_id)""",
-    "top_products",
+    """SELECT stock_code, description, unit_price, embedding
+FROM (SELECT * FROM products ORDER BY sales_volume DESC, description LIMIT 40) JOIN vectors USING (description)""",
+    "products",
+    "vectors",
 )
 define(
     "requests",
     """SELECT CASE WHEN c_custkey % 9 <> 0 THEN CAST(c_custkey AS VARCHAR) END AS customer_id,
   CAST(CAST(floor(c_acctbal) AS BIGINT) AS VARCHAR) AS recency,
-  CASE WHEN c_custkey % 7 = 0 THEN c_mktsegment ELSE CAST(c_nationkey AS VARCHAR) END AS frequency,
+  CASE WHEN c_custkey % 7 = 0 THEN c_mktsegment WHEN c_custkey % 13 = 1 THEN 'NaN' WHEN c_custkey % 13 = 2 THEN 'Infinity'
+    WHEN c_custkey % 13 = 3 THEN '-Infinity' ELSE CAST(c_nationkey AS VARCHAR) END AS frequency,
   CASE WHEN c_custkey % 11 <> 0 THEN CAST(c_custkey AS VARCHAR) END AS avg_order_value,
   '1.0' AS spending_velocity, '0.25' AS cancellation_rate,
   CAST(c_custkey % 24 AS VARCHAR) AS preferred_shopping_hour FROM customer""",

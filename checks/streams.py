@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import functions as F
 
 from basketlens import constants as C
 from basketlens.plans import churn_models, segmentation
-from basketlens.operators import profiles
+from basketlens.operators import cleaning, profiles
 from basketlens.session import working_path
 from basketlens.sources import star
 from basketlens.streaming import changelog, feed, monitors, refresh, scoring, state
@@ -23,11 +26,11 @@ def _source(spark, folder, name="events"):
 
 
 def _arriving(spark, folder, copies=1):
-    """The event table as files that arrive one per micro-batch, each row ``copies`` times."""
+    """The event table as six files per copy, dealt out by a hash, so in no order of time, one per micro-batch."""
     events = star.table(spark, folder, "events")
     path = working_path(spark, "arriving")
     for _ in range(copies):
-        events.repartition(2).write.mode("append").parquet(path)
+        events.repartition(6, F.xxhash64(*events.columns)).write.mode("append").parquet(path)
     return feed.read_stream(spark, path, events.schema, files_per_batch=1)
 
 
@@ -45,9 +48,10 @@ def k1(spark, folder):
 @query("k2_without_replays", sql(f"SELECT {TX_COLUMNS} FROM feed", "feed"))
 def k2(spark, folder):
     """Every event arrives twice and is kept once."""
-    rows = feed.without_replays(star.purchase_events(_arriving(spark, folder, copies=2)), delay="60 days")
-    path = changelog.run(rows, working_path(spark, "replays"))
-    return _plain_time(changelog.read_rows(spark, path))
+    base = working_path(spark, "replays")
+    rows = star.purchase_events(_arriving(spark, folder, copies=2))
+    changelog.start(rows, f"{base}/checkpoint", feed.without_replays(base)).awaitTermination()
+    return _plain_time(feed.stored_lines(spark, base))
 
 
 @query(
@@ -60,26 +64,27 @@ FROM (SELECT date_trunc('day', invoice_date)::TIMESTAMP AS window_start, count(*
     ),
 )
 def k3(spark, folder):
-    rates = monitors.cancellation_rate(star.purchase_events(_source(spark, folder)))
-    path = changelog.run(rates, working_path(spark, "rates"), "update")
-    return _plain_time(changelog.read_current(spark, path, ["window_start"]), "window_start")
+    base = working_path(spark, "rates")
+    path = changelog.collect(star.purchase_events(_arriving(spark, folder)), base, monitors.cancellation_counts)
+    return _plain_time(monitors.cancellation_rate(changelog.read_partials(spark, path)), "window_start")
 
 
 @query(
     "k4_volume_drift",
     sql(
         f"""SELECT window_start, count(*) AS sales, {even('sum(quantity)::DOUBLE / count(*)', 4)} AS mean_quantity,
-  max(quantity) AS max_quantity, {even('CAST(sum(CAST(unit_price AS DECIMAL(18,2))) AS DOUBLE) / count(*)', 4)} AS mean_price,
-  CAST(max(CAST(unit_price AS DECIMAL(18,2))) AS DOUBLE) AS max_price
+  max(quantity) AS max_quantity, {even('CAST(sum(CAST(unit_price AS DECIMAL(18,6))) AS DOUBLE) / count(*)', 4)} AS mean_price,
+  CAST(max(CAST(unit_price AS DECIMAL(18,6))) AS DOUBLE) AS max_price
 FROM (SELECT *, date_trunc('day', invoice_date)::TIMESTAMP - INTERVAL 1 DAY * back AS window_start
   FROM feed, range(7) AS r(back) WHERE quantity > 0) GROUP BY window_start""",
         "feed",
     ),
 )
 def k4(spark, folder):
-    drift = monitors.volume_drift(star.purchase_events(_source(spark, folder)))
-    path = changelog.run(drift, working_path(spark, "drift"), "update")
-    return _plain_time(changelog.read_current(spark, path, ["window_start"]), "window_start")
+    base = working_path(spark, "drift")
+    path = changelog.collect(star.purchase_events(_arriving(spark, folder)), base, monitors.sales_sums)
+    changelog.compact(spark, path, monitors.combined_sums)
+    return _plain_time(monitors.volume_drift(changelog.read_partials(spark, path)), "window_start")
 
 
 define(
@@ -96,7 +101,7 @@ define(
     sql(
         """SELECT customer_id, max(invoice_date) AS last_seen, count(*) AS "rows",
   count(*) FILTER (starts_with(invoice_no, 'C')) AS cancelled,
-  CAST(coalesce(sum(CAST(CASE WHEN quantity > 0 THEN quantity * unit_price END AS DECIMAL(18,2))), 0) AS DOUBLE) AS monetary,
+  CAST(round(coalesce(sum(CASE WHEN quantity > 0 THEN quantity * CAST(unit_price AS DECIMAL(18,6)) END), 0), 2) AS DOUBLE) AS monetary,
   any_value(preferred_shopping_hour) AS preferred_shopping_hour
 FROM feed JOIN feed_hours USING (customer_id) GROUP BY customer_id""",
         "feed",
@@ -104,9 +109,9 @@ FROM feed JOIN feed_hours USING (customer_id) GROUP BY customer_id""",
     ),
 )
 def k5(spark, folder):
-    totals = state.customer_totals(star.purchase_events(_arriving(spark, folder)))
-    path = changelog.run(totals, working_path(spark, "totals"), "update")
-    return _plain_time(changelog.read_current(spark, path, ["customer_id"]), "last_seen")
+    path = changelog.collect(star.purchase_events(_arriving(spark, folder)), working_path(spark, "totals"), state.customer_sums)
+    changelog.compact(spark, path, state.combined_sums)
+    return _plain_time(state.customer_totals(changelog.read_partials(spark, path)), "last_seen")
 
 
 @query(
@@ -117,14 +122,14 @@ def k5(spark, folder):
     ),
 )
 def k5_frequency(spark, folder):
-    counts = state.customer_frequency(star.purchase_events(_arriving(spark, folder, copies=2)))
-    path = changelog.run(counts, working_path(spark, "frequency"), "update")
-    return changelog.read_current(spark, path, ["customer_id"])
+    rows = star.purchase_events(_arriving(spark, folder, copies=2))
+    path = changelog.collect(rows, working_path(spark, "frequency"), state.sale_invoices)
+    return state.customer_frequency(changelog.read_partials(spark, path))
 
 
 define(
     "feed_lines",
-    """SELECT * REPLACE (floor(unit_price * 4) / 4 AS unit_price), quantity * (floor(unit_price * 4) / 4) AS order_value,
+    """SELECT *, CAST(quantity * unit_price AS DECIMAL(18,6)) AS order_value,
   CAST(hour(invoice_date) AS INTEGER) AS invoice_hour, (SELECT max(invoice_date) FROM feed) AS anchor_date FROM feed""",
     "feed",
 )
@@ -133,17 +138,26 @@ define_features("feed_wide", "feed_lines", "customer_id", "anchor_date", "feed_l
 
 @query("k6_refreshed_features", sql(f"SELECT customer_id, {FEATURES} FROM feed_wide", "feed_wide"))
 def k6(spark, folder):
-    """Prices are cut to quarters, so that sums are exact in any order."""
+    """Six batches in no order of time, the first ones combined before the last are read."""
     base = working_path(spark, "refresh")
-    stream = star.purchase_events(_arriving(spark, folder)).withColumn(
-        "unit_price", F.floor(F.col("unit_price") * 4) / 4
-    )
-    refresh.run_refresh(stream, base)
+    refresh.run_refresh(star.purchase_events(_arriving(spark, folder)), base)
+    refresh.compact(spark, base)
     return refresh.current_features(spark, base)
 
 
+def _against_batch(found, batch, fields, predicted):
+    """Streamed rows with whether the same model, applied to the same requests at once, says the same."""
+    known = F.coalesce(F.col("customer_id").cast("string"), F.lit(""))
+    once = batch.withColumn("customer_id", known).groupBy(*fields).agg(F.first(F.struct(*predicted)).alias("wanted"))
+    once = once.select(*[F.col(name).alias(f"_{name}") for name in fields], "wanted")
+    same = [F.col(name).cast("double") == F.col(f"_{name}").cast("double") for name in fields[1:]]
+    joined = found.join(once, reduce(and_, same, F.col("customer_id") == F.col("_customer_id")), "left")
+    equal = reduce(and_, [F.col(name).eqNullSafe(F.col(f"wanted.{name}")) for name in predicted])
+    return joined.select(*fields, "model_version", equal.alias("as_in_batch"))
+
+
 def _valid(fields: list[str]) -> str:
-    return " AND ".join(f"TRY_CAST({name} AS DOUBLE) >= 0" for name in fields)
+    return " AND ".join(f"TRY_CAST({name} AS DOUBLE) >= 0 AND isfinite(TRY_CAST({name} AS DOUBLE))" for name in fields)
 
 
 @query(
@@ -151,7 +165,7 @@ def _valid(fields: list[str]) -> str:
     sql(
         f"""SELECT coalesce(customer_id, '') AS customer_id, CAST(recency AS DOUBLE) AS recency,
   CAST(frequency AS INTEGER) AS frequency, CAST(avg_order_value AS DOUBLE) AS avg_order_value, '1' AS model_version,
-  true AS scored FROM requests WHERE {_valid(C.SEGMENTATION_FEATURES)}""",
+  true AS as_in_batch FROM requests WHERE {_valid(C.SEGMENTATION_FEATURES)}""",
         "requests",
     ),
 )
@@ -163,14 +177,13 @@ def k7(spark, folder):
     write = scoring.score_segments(model, profile, "1", base)
     requests = fx.requests_from(_source(spark, folder, "customer"))
     changelog.start(requests, f"{base}/checkpoint", write).awaitTermination()
-    return changelog.read_rows(spark, f"{base}/log").select(
-        "customer_id",
-        "recency",
-        "frequency",
-        "avg_order_value",
-        "model_version",
-        (F.col("cluster").isNotNull() & F.col("label").isNotNull()).alias("scored"),
+    valid, _ = cleaning.split_requests(fx.scoring_requests(spark, folder), cleaning.SEGMENTATION_REQUEST)
+    batch = profiles.label_predictions(segmentation.assign_clusters(valid, model), profile)
+    found = changelog.read_rows(spark, f"{base}/log").select(
+        "customer_id", "recency", "frequency", "avg_order_value", "model_version", "cluster", "label"
     )
+    fields = ["customer_id", "recency", "frequency", "avg_order_value"]
+    return _against_batch(found, batch, fields, ["cluster", "label"])
 
 
 @query(
@@ -178,7 +191,7 @@ def k7(spark, folder):
     sql(
         f"""SELECT coalesce(customer_id, '') AS customer_id, CAST(recency AS DOUBLE) AS recency,
   CAST(frequency AS INTEGER) AS frequency, CAST(preferred_shopping_hour AS INTEGER) AS preferred_shopping_hour,
-  '1' AS model_version, true AS scored FROM requests WHERE {_valid(C.CHURN_FEATURES)}""",
+  '1' AS model_version, true AS as_in_batch FROM requests WHERE {_valid(C.CHURN_FEATURES)}""",
         "requests",
     ),
 )
@@ -187,11 +200,9 @@ def k7_churn(spark, folder):
     base = working_path(spark, "churn-scores")
     requests = fx.requests_from(_source(spark, folder, "customer"))
     changelog.start(requests, f"{base}/checkpoint", scoring.score_churn(model, "1", base)).awaitTermination()
-    return changelog.read_rows(spark, f"{base}/log").select(
-        "customer_id",
-        "recency",
-        "frequency",
-        "preferred_shopping_hour",
-        "model_version",
-        ((F.col("churn_probability") >= 0) & (F.col("churn_probability") <= 1)).alias("scored"),
+    valid, _ = cleaning.split_requests(fx.scoring_requests(spark, folder), cleaning.CHURN_REQUEST)
+    found = changelog.read_rows(spark, f"{base}/log").select(
+        "customer_id", "recency", "frequency", "preferred_shopping_hour", "model_version", "churn_probability", "is_churn"
     )
+    fields = ["customer_id", "recency", "frequency", "preferred_shopping_hour"]
+    return _against_batch(found, churn_models.predict(valid, model), fields, ["churn_probability", "is_churn"])

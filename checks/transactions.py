@@ -34,14 +34,17 @@ CHURN_LOG_COLUMNS = (
     "a1_csv_scan",
     sql(
         """SELECT country, count(*) AS n, CAST(sum(quantity) AS BIGINT) AS quantity, sum(unit_price) AS price,
-  count(customer_id) AS known, count(description) AS described, max(invoice_date) AS last_date
+  count(customer_id) AS known, count(description) AS described, max(invoice_date) AS last_date,
+  CAST(sum(length('sign "' || description || '", blue')) AS BIGINT) AS letters
 FROM tx GROUP BY country""",
         "tx",
     ),
 )
 def a1(spark, folder):
+    """Descriptions with quotes and commas, written as other tools write them: quotes doubled."""
     path = working_path(spark, "csv")
-    files.write_csv(fx.transactions(spark, folder), path)
+    quoted = F.concat(F.lit('sign "'), "description", F.lit('", blue'))
+    files.write_csv(fx.transactions(spark, folder).withColumn("description", quoted), path)
     return (
         files.read_csv(spark, path, TRANSACTIONS)
         .groupBy("country")
@@ -52,6 +55,7 @@ def a1(spark, folder):
             F.count("customer_id").alias("known"),
             F.count("description").alias("described"),
             F.max("invoice_date").alias("last_date"),
+            F.sum(F.length("description")).alias("letters"),
         )
     )
 
@@ -89,19 +93,19 @@ def a4(spark, folder):
     return spark.table("rfm_features")
 
 
-@query("a5_log_scan", sql(f"SELECT {CHURN_LOG_COLUMNS} FROM churn_predictions WHERE is_churn = 1", "churn_predictions"))
+@query("a5_log_scan", sql(f"SELECT {CHURN_LOG_COLUMNS} FROM churn_predictions", "churn_predictions"))
 def a5(spark, folder):
     path = working_path(spark, "churn-log")
-    logs.append_churn_predictions(fx.churn_log(spark, folder), path)
-    return logs.read_churn_predictions(spark, path).where("is_churn = 1")
+    logs.append_churn_predictions(fx.churn_log(spark, folder), path, "all")
+    return logs.read_churn_predictions(spark, path)
 
 
 @query("a6_append_predictions", sql(f"SELECT {LOG_COLUMNS} FROM predictions", "predictions"))
 def a6(spark, folder):
     path = working_path(spark, "log")
     scored = fx.prediction_log(spark, folder)
-    for version in fx.VERSIONS:
-        logs.append_predictions(scored.where(F.col("model_version") == str(version)), path)
+    for version in [*fx.VERSIONS, 1]:  # a job that is run again replaces what it wrote
+        logs.append_predictions(scored.where(F.col("model_version") == str(version)), path, f"job-{version}")
     return logs.read_predictions(spark, path)
 
 
@@ -109,8 +113,8 @@ def a6(spark, folder):
 def a7(spark, folder):
     path = working_path(spark, "churn-log")
     scored = fx.churn_log(spark, folder)
-    for version in fx.VERSIONS:
-        logs.append_churn_predictions(scored.where(F.col("model_version") == str(version)), path)
+    for version in [*fx.VERSIONS, 1]:  # a job that is run again replaces what it wrote
+        logs.append_churn_predictions(scored.where(F.col("model_version") == str(version)), path, f"job-{version}")
     return logs.read_churn_predictions(spark, path)
 
 
@@ -352,7 +356,7 @@ def b17(spark, folder):
 
 
 _REASON = """CASE WHEN {c} IS NULL THEN '{c}: missing' WHEN TRY_CAST({c} AS DOUBLE) IS NULL THEN '{c}: not a number'
-  WHEN TRY_CAST({c} AS DOUBLE) < 0 THEN '{c}: negative' END"""
+  WHEN NOT isfinite(TRY_CAST({c} AS DOUBLE)) THEN '{c}: not finite' WHEN TRY_CAST({c} AS DOUBLE) < 0 THEN '{c}: negative' END"""
 _REASONS = "concat_ws('; ', " + ", ".join(_REASON.format(c=c) for c in C.CHURN_FEATURES) + ")"
 
 

@@ -43,9 +43,10 @@ def test_cosine_expression(spark):
     assert abs(found[0] - 1) < 1e-12 and found[1] is None
 
 
-@pytest.mark.parametrize("inline_rows", [1000, 16])
-def test_similarity_against_brute_force(spark, inline_rows):
-    """The second case has a catalogue over the limit, so it goes block by block."""
+@pytest.mark.parametrize("product_rows", [1000, 16])
+def test_similarity_against_brute_force(spark, product_rows, monkeypatch):
+    """One block of products, and several."""
+    monkeypatch.setattr(similarity, "PRODUCT_ROWS", product_rows)
     rng = np.random.default_rng(5)
     products, queries = rng.normal(size=(70, 8)), rng.normal(size=(45, 8))
     products[10] = products[3]  # a tie
@@ -58,7 +59,7 @@ def test_similarity_against_brute_force(spark, inline_rows):
         [(f"q{i}", texts[i], queries[i].tolist()) for i in range(45)],
         "query_id string, query_text string, embedding array<double>",
     )
-    found = similarity.similar_products(asked, offered, 4, inline_rows).toPandas()
+    found = similarity.similar_products(asked, offered, 4).toPandas()
     for i in range(45):
         scores = products @ queries[i] / np.linalg.norm(products, axis=1) / np.linalg.norm(queries[i])
         order = sorted(
@@ -111,7 +112,7 @@ def test_recommendations_and_text(spark, catalogue):
         spark, {"1": profile(last_purchased="Lamp", preferred_shopping_hour=9), "2": profile()}
     )
     two_left = catalogue.where("stock_code in ('1', '2', '3')")
-    recommended = campaign.recommend(rows, two_left)
+    recommended = campaign.recommend(rows, two_left, catalogue)
     found = {r.customer_id: r for r in recommended.transform(campaign.with_offers).transform(campaign.with_campaign_text).collect()}
     assert [i.description for i in found["1"]["items"]] == ["LAMP shade", "Rug"]  # fewer than three
     assert [i.stock_code for i in found["2"]["items"]] == ["85123A", "22423", "47566"]
@@ -147,3 +148,11 @@ def test_profile_fallbacks(spark):
     ids = spark.createDataFrame([("1",), ("nobody",)], "customer_id string")
     asked = {r.customer_id: r for r in campaign.profiles_or_default(ids, campaign.customer_profiles(features, sales, log)).collect()}
     assert asked["nobody"].last_purchased == "RED RETROSPOT WRAP" and asked["nobody"].churn_probability == 0.15
+
+
+def test_last_products_outside_the_catalogue_are_compared(spark, catalogue):
+    rows = profiles_frame(spark, {"1": profile(last_purchased="Lamp"), "2": profile(last_purchased="never seen")})
+    offered = catalogue.where("stock_code in ('2', '3')")
+    found = {r.customer_id: r["items"] for r in campaign.recommend(rows, offered, catalogue).collect()}
+    assert [i.description for i in found["1"]] == ["LAMP shade", "Rug"]
+    assert [i.stock_code for i in found["2"]] == ["85123A", "22423", "47566"]

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from basketlens.functions.numeric import number_or_zero, round_half_even
@@ -102,3 +103,22 @@ def test_csv_keeps_malformed_rows(spark):
     rows = files.read_csv(spark, path, TRANSACTIONS, keep_corrupt=True).collect()
     assert [r.quantity for r in rows] == [2, None]
     assert [r["_corrupt_record"] is None for r in rows] == [True, False]
+
+
+def test_csv_with_quotes_commas_and_malformed_rows(spark):
+    path = working_path(spark, "csv")
+    lines = ["a,b", '1,"SIGN ""HOME"", BLUE"', "2,plain", "x,bad"]
+    spark.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.text(path)
+    schema = spark.createDataFrame([], "a int, b string").schema
+    good, bad = files.split_corrupt(files.read_csv(spark, path, schema, keep_corrupt=True).cache())
+    assert sorted(map(tuple, good.collect())) == [(1, 'SIGN "HOME", BLUE'), (2, "plain")]
+    assert [r[0] for r in bad.collect()] == ["x,bad"]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        files.read_csv(spark, path, schema).collect()
+
+
+@pytest.mark.parametrize("value", ["NaN", "Infinity", "-Infinity"])
+def test_numbers_that_are_not_finite_are_quarantined(spark, value):
+    rows = spark.createDataFrame([("1", value, "2", "3")], "customer_id string, recency string, frequency string, avg_order_value string")
+    valid, bad = cleaning.split_requests(rows, cleaning.SEGMENTATION_REQUEST)
+    assert valid.count() == 0 and bad.first().reasons == ["recency: not finite"]

@@ -55,44 +55,63 @@ def test_a_repeated_batch_replaces_itself(spark):
     assert changelog.read_rows(spark, path).count() == 8
 
 
-def test_replays_are_dropped_across_batches(spark):
+def test_replays_are_dropped_however_late(spark):
     folder = Folder(spark)
-    folder.arrive(line("1", 2), line("1", 2), line("2", 2))
-    folder.arrive(line("1", 2), line("3", 2))
-    path = changelog.run(feed.without_replays(folder.stream(), "5 days"), folder.base)
-    assert sorted(r.invoice_no for r in changelog.read_rows(spark, path).collect()) == ["1", "2", "3"]
+    folder.arrive(line("1", 2), line("1", 2), line("2", 28), line("4", 3, customer=None))
+    folder.arrive(line("1", 2), line("3", 1), line("4", 3, customer=None))
+    undated = ("5", "s", "d", 1, None, 2.0, "a", "x")
+    folder.arrive(line("2", 28), undated)
+    for _ in range(2):  # nothing new the second time
+        changelog.start(folder.stream(), f"{folder.base}/checkpoint", feed.without_replays(folder.base)).awaitTermination()
+    assert sorted(r.invoice_no for r in feed.stored_lines(spark, folder.base).collect()) == ["1", "2", "3", "4"]
+    counts = [tuple(r) for r in changelog.read_rows(spark, f"{folder.base}/counts").collect()]
+    assert sorted(counts) == [(2, 0, 1, 1), (3, 1, 2, 0), (4, 3, 1, 0)]
+    assert all(rows == kept + repeated + aside for rows, kept, repeated, aside in counts)
+    assert spark.read.parquet(f"{folder.base}/quarantine").count() == 1
+
+
+def test_a_repeated_batch_keeps_the_same_lines(spark):
+    base, rows = working_path(spark, "again"), spark.createDataFrame([line("1", 2), line("2", 2)], SCHEMA)
+    for batch in (0, 0, 1):
+        feed.without_replays(base)(rows, batch)
+    assert feed.stored_lines(spark, base).count() == 2
 
 
 def test_cancellation_alert(spark):
     folder = Folder(spark)
-    folder.arrive(*[line(f"{i}", 1) for i in range(19)], line("C1", 1))
     folder.arrive(*[line(f"{i}", 2) for i in range(6)], *[line(f"C{i}", 2) for i in range(4)])
-    path = changelog.run(monitors.cancellation_rate(folder.stream(), delay="10 days"), folder.base, "update")
-    rows = changelog.read_current(spark, path, ["window_start"]).orderBy("window_start").collect()
-    assert [(r.cancellation_rate, r.alert) for r in rows] == [(0.05, False), (0.4, True)]
+    folder.arrive(*[line(f"{i}", 28) for i in range(3)])
+    folder.arrive(*[line(f"{i}", 1) for i in range(19)], line("C1", 1), line("6", 28))  # weeks late
+    path = changelog.collect(folder.stream(), folder.base, monitors.cancellation_counts)
+    rows = monitors.cancellation_rate(changelog.read_partials(spark, path)).orderBy("window_start").collect()
+    assert [(r.rows, r.cancellation_rate, r.alert) for r in rows] == [(20, 0.05, False), (10, 0.4, True), (4, 0.0, False)]
 
 
 def test_sliding_windows_cover_each_sale_seven_times(spark):
     folder = Folder(spark)
     folder.arrive(line("1", 10, quantity=4, price=1.5), line("2", 11, quantity=2, price=2.5), line("C3", 11, quantity=-1))
-    path = changelog.run(monitors.volume_drift(folder.stream()), folder.base, "update")
-    rows = changelog.read_current(spark, path, ["window_start"]).collect()
+    path = changelog.collect(folder.stream(), folder.base, monitors.sales_sums)
+    rows = monitors.volume_drift(changelog.read_partials(spark, path)).collect()
     assert len(rows) == 8 and sum(r.sales for r in rows) == 14
     both = [r for r in rows if r.sales == 2]
     assert {(r.mean_quantity, r.max_quantity, r.mean_price, r.max_price) for r in both} == {(3.0, 4, 2.0, 2.5)}
 
 
-def test_state_over_batches(spark):
+def test_state_over_batches_and_compaction(spark):
     folder = Folder(spark)
     folder.arrive(line("1", 1, price=2.0), line("1", 1, price=3.0), line("2", 1, customer="b"))
     folder.arrive(line("1", 1, price=4.0), line("C5", 3, quantity=-1))
-    totals = changelog.run(state.customer_totals(folder.stream()), f"{folder.base}/t", "update")
-    found = {r.customer_id: r for r in changelog.read_current(spark, totals, ["customer_id"]).collect()}
+    for _ in range(2):
+        totals = changelog.collect(folder.stream(), f"{folder.base}/t", state.customer_sums)
+        changelog.compact(spark, totals, state.combined_sums)
+    folder.arrive(line("9", 2, price=0.5, customer="b"))
+    changelog.collect(folder.stream(), f"{folder.base}/t", state.customer_sums)
+    found = {r.customer_id: r for r in state.customer_totals(changelog.read_partials(spark, totals)).collect()}
     assert (found["a"].rows, found["a"].cancelled, found["a"].monetary) == (4, 1, 9.0)
-    assert found["a"].last_seen == at(3) and found["b"].rows == 1
-    counts = changelog.run(state.customer_frequency(folder.stream()), f"{folder.base}/f", "update")
-    found = {r.customer_id: r.frequency for r in changelog.read_current(spark, counts, ["customer_id"]).collect()}
-    assert found == {"a": 1, "b": 1}
+    assert found["a"].last_seen == at(3) and (found["b"].rows, found["b"].monetary) == (2, 2.5)
+    counts = changelog.collect(folder.stream(), f"{folder.base}/f", state.sale_invoices)
+    frequency = state.customer_frequency(changelog.read_partials(spark, counts))
+    assert {r.customer_id: r.frequency for r in frequency.collect()} == {"a": 1, "b": 2}
 
 
 def test_refresh_equals_batch_after_every_arrival(spark):
@@ -107,13 +126,15 @@ def test_refresh_equals_batch_after_every_arrival(spark):
         refresh.run_refresh(folder.stream(), folder.base)
         seen = spark.read.schema(SCHEMA).parquet(folder.path)
         wanted = rfm_features(seen)
+        if place == 1:
+            refresh.compact(spark, folder.base)
         found = refresh.current_features(spark, folder.base)
         assert sorted(found.collect()) == sorted(wanted.collect())
 
 
 def test_scored_stream_goes_to_log_and_quarantine(spark, folder):
     rows = QUERIES["k7_stream_segments"](spark, folder)
-    assert rows.count() > 0 and rows.where("not scored").count() == 0
+    assert rows.count() > 0 and rows.where("not as_in_batch").count() == 0
 
 
 def test_log_rows_have_the_log_schema(spark):
@@ -131,7 +152,7 @@ def test_log_rows_have_the_log_schema(spark):
 def test_appends_add_up(spark, folder):
     path = working_path(spark, "append")
     log = fx.churn_log(spark, folder)
-    for _ in range(2):
-        logs.append_churn_predictions(log, path)
+    for job in ("first", "second", "second"):  # the last one is repeated
+        logs.append_churn_predictions(log, path, job)
     stored = logs.read_churn_predictions(spark, path)
     assert stored.count() == 2 * log.count() and stored.columns == CHURN_LOG.names
