@@ -116,8 +116,8 @@ def _cost(value: str, ranks: dict[str, int], depth: int) -> float:
     longest = max(map(len, ranks), default=0)
     n = len(value)
     best = [0.0] + [math.inf] * n
-    plain = value.lower().translate(_LEET)
-    plain = plain if len(plain) == n else value  # lower case may change the length
+    low = value.lower() if len(value.lower()) == n else value  # lower case may change the length
+    plain = low.translate(_LEET)
     each = math.log10(_alphabet(value))
     for start in range(n):
         here = best[start] + (1.0 if start else 0.0)
@@ -131,12 +131,12 @@ def _cost(value: str, ranks: dict[str, int], depth: int) -> float:
             rank = ranks.get(plain[start:end])
             if rank:
                 raw = value[start:end]
-                changed = (raw != raw.lower()) + (raw.lower() != plain[start:end])
+                changed = (raw != low[start:end]) + (low[start:end] != plain[start:end])
                 reach(end, math.log10(rank + 1) + changed * math.log10(2))
         date = _DATES.match(value, start)
         if date:
             reach(date.end(), math.log10(365 * 120 if date.end() - start > 4 else 120))
-        for end in _walk_ends(plain, start):
+        for end in _walk_ends(low, start):
             reach(end, math.log10(100 * (end - start)))
         repeat = _REPEAT.match(value, start) if depth else None
         if repeat and repeat.end() - start >= 3:
@@ -184,12 +184,8 @@ def redacted(text: str, spans: list[tuple[int, str, int]]) -> str:
     return "".join(out) + text[at:]
 
 
-def scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` and ``kinds``, ``starts``, ``ends`` (arrays) and ``redacted`` of every row.
-
-    Every row gives one row; a null text stays null and has no spans. No rows
-    are moved, so a hot source or many equal texts make no difference.
-    """
+def _scanned(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
+    """``keep`` as ``_k0``, ``_k1``, ... with ``kinds``, ``starts``, ``ends`` and ``redacted``."""
     keys = [f"_k{i}" for i in range(len(keep))]
     base = docs.select(*[F.col(c).alias(k) for k, c in zip(keys, keep)], F.col(text).alias("_text"))
     kinds = ", ".join(f"{k} {docs.schema[c].dataType.simpleString()}" for k, c in zip(keys, keep))
@@ -205,6 +201,24 @@ def scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",
             "redacted": [t if not s else redacted(t, s) for t, s in zip(texts, spans)],
         }
 
-    schema = f"{kinds}, kinds array<string>, starts array<bigint>, ends array<bigint>, redacted string"
-    found = map_batches(base, scanned, schema)
-    return found.select(*[F.col(k).alias(c) for k, c in zip(keys, keep)], "kinds", "starts", "ends", "redacted")
+    return map_batches(
+        base, scanned, f"{kinds}, kinds array<string>, starts array<bigint>, ends array<bigint>, redacted string"
+    )
+
+
+def scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``keep`` and ``kinds``, ``starts``, ``ends`` (arrays) and ``redacted`` of every row.
+
+    Every row gives one row; a null text stays null and has no spans. No rows
+    are moved, so a hot source or many equal texts make no difference.
+    """
+    found = _scanned(docs, text, list(keep))
+    return found.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)], "kinds", "starts", "ends", "redacted")
+
+
+def without_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with the secrets in ``text`` replaced, and the columns as they are."""
+    found = _scanned(docs, text, docs.columns)
+    return found.select(
+        *[(F.col("redacted") if c == text else F.col(f"_k{i}")).alias(c) for i, c in enumerate(docs.columns)]
+    )

@@ -30,11 +30,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets in their texts replaced and ``n_chars`` counted again."""
     apply_settings(spark)
-    others = tuple(c for c in docs.columns if c != "text")
-    found = secrets.scan(docs, keep=others).withColumn("text", F.col("redacted"))
-    if "n_chars" in others:
-        found = found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return found.select(*docs.columns)
+    clean = secrets.without_secrets(docs)
+    if "n_chars" in docs.columns:
+        clean = clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return clean
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
