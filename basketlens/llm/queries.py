@@ -85,7 +85,7 @@ def personal_data(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op3_repeated_strings", oracles.REPEATS)
 def repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
-    cut = repeats.without_repeats(documents(spark, folder), stored=materialize)
+    cut = repeats.without_repeats(documents(spark, folder))
     return cut.select(
         "doc_id",
         "n_bytes",

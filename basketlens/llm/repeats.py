@@ -25,13 +25,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketlens.llm.arrays import POWERS, byte_rows, mix
-from basketlens.llm.frames import map_batches, runs
+from basketlens.llm.frames import RUN_BYTES, map_batches
 
 WINDOW = 50
-GRAM = 16
+GRAM = 12
 _SPAN = WINDOW - GRAM + 1  # places of an anchor in a window
 _PIECE = 1 << 19  # windows of a document that are handled at once
-_FLUSH = 8 << 20  # bytes of text whose contexts a task collapses and sends together
+_FLUSH = 16 << 20  # bytes of text whose contexts a task collapses and sends together
+_LEVEL = 6  # of compression: contexts are most of what is shuffled
+_GROUPED = 20_000  # contexts whose suffix array is built at once; those of one anchor stay together
 _VALUES = mix(np.arange(5001, 5257, dtype=np.uint64))
 _LAST = np.iinfo(np.int64).max  # stands for a missing doc_id: after all others
 
@@ -46,11 +48,38 @@ def _range_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
 
 
+def _chunks(length: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``RUN_BYTES`` in all, so that working arrays stay small."""
+    ends = np.cumsum(length)
+    low = 0
+    while low < len(length):
+        done = ends[low - 1] if low else 0
+        high = max(int(np.searchsorted(ends, done + RUN_BYTES, side="right")), low + 1)
+        yield low, high
+        low = high
+
+
 def _gather(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """The bytes of all ranges, end to end."""
-    ends = np.cumsum(length)
-    place = np.arange(ends[-1] if len(ends) else 0)
-    return data[place + np.repeat(start - (ends - length), length)]
+    out = np.empty(int(length.sum()), np.uint8)
+    at = 0
+    for low, high in _chunks(length):
+        some = length[low:high]
+        ends = np.cumsum(some)
+        place = np.arange(ends[-1])
+        out[at : at + ends[-1]] = data[place + np.repeat(start[low:high] - (ends - some), some)]
+        at += int(ends[-1])
+    return out
+
+
+def _hashes(body: np.ndarray, at: np.ndarray, length: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of ``body[begin:end]`` within each of the consecutive ranges (``at``, ``length``)."""
+    out = np.empty(len(at), np.uint64)
+    for low, high in _chunks(length):
+        first = at[low]
+        sums = _range_sums(body[first : at[high - 1] + length[high - 1]])
+        out[low:high] = _range_hash(sums, begin[low:high] - first, end[low:high] - first)
+    return out
 
 
 def _contexts(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -88,7 +117,6 @@ class Entries:
         self.doc, self.mark, self.start, length, gram = self.columns
         self.length, self.gram = length.astype(np.int64), gram.astype(np.int64)
         self.at = np.cumsum(self.length) - self.length
-        self.sums = _range_sums(body)
 
     def __len__(self) -> int:
         return len(self.doc)
@@ -98,17 +126,37 @@ class Entries:
 
     def anchors(self) -> np.ndarray:
         begin = self.at + self.gram
-        return _range_hash(self.sums, begin, begin + GRAM)
+        return _hashes(self.body, self.at, self.length, begin, begin + GRAM)
 
     def whole(self) -> np.ndarray:
-        return mix(_range_hash(self.sums, self.at, self.at + self.length) + self.gram.astype(np.uint64))
+        whole = _hashes(self.body, self.at, self.length, self.at, self.at + self.length)
+        return mix(whole + self.gram.astype(np.uint64))
+
+    def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(entry, offset, hash) of every window of every context."""
+        count = self.length - WINDOW + 1
+        entry = np.repeat(np.arange(len(self)), count)
+        offset = np.arange(len(entry)) - np.repeat(np.cumsum(count) - count, count)
+        hashes = [np.zeros(0, np.uint64)]
+        for low, high in _chunks(self.length):
+            first = self.at[low]
+            sums = _range_sums(self.body[first : self.at[high - 1] + self.length[high - 1]])
+            some = slice(*np.searchsorted(entry, (low, high)))
+            begin = self.at[entry[some]] + offset[some] - first
+            hashes.append(_range_hash(sums, begin, begin + WINDOW))
+        return entry, offset, np.concatenate(hashes)
 
     def packed(self) -> bytes:
         """Columns one after the other; numbers of documents and starts as differences of a sorted table."""
-        docs, which = np.unique(np.rec.fromarrays([self.doc, self.mark], names="d,m"), return_inverse=True)
-        head = np.array([len(docs), len(self)], np.int64)
-        parts = [head, np.diff(docs["d"], prepend=0), docs["m"], which.astype(np.uint32), self.start.astype(np.uint32)]
-        return zstandard.compress(b"".join(x.tobytes() for x in (*parts, *self.columns[3:], self.body)), 1)
+        order = np.lexsort((self.mark, self.doc))
+        doc, mark = self.doc[order], self.mark[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (doc[1:] != doc[:-1]) | (mark[1:] != mark[:-1])
+        which = np.empty(len(order), np.uint32)
+        which[order] = np.cumsum(new) - 1
+        head = np.array([new.sum(), len(self)], np.int64)
+        parts = [head, np.diff(doc[new], prepend=0), mark[new], which, self.start.astype(np.uint32)]
+        return zstandard.compress(b"".join(x.tobytes() for x in (*parts, *self.columns[3:], self.body)), _LEVEL)
 
     @staticmethod
     def unpacked(packed: bytes) -> tuple[list[np.ndarray], np.ndarray]:
@@ -141,11 +189,7 @@ def _collapse(entries: Entries) -> tuple[np.ndarray, np.ndarray]:
 
 def _repeated_windows(entries: Entries) -> tuple[np.ndarray, np.ndarray]:
     """(entry, offset) of all windows with a byte string that another window has, too."""
-    count = entries.length - WINDOW + 1
-    entry = np.repeat(np.arange(len(entries)), count)
-    offset = np.arange(len(entry)) - np.repeat(np.cumsum(count) - count, count)
-    begin = entries.at[entry] + offset
-    key = _range_hash(entries.sums, begin, begin + WINDOW)
+    entry, offset, key = entries.windows()
     order = np.argsort(key)
     same = key[order][1:] == key[order][:-1]
     twice = np.zeros(len(key), bool)
@@ -222,18 +266,31 @@ def _covered(entries: Entries) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     shared = np.zeros(len(anchor), bool)
     shared[order[1:][same]] = True
     shared[order[:-1][same]] = True
-    rows = keep[np.flatnonzero(shared)]
-    some = entries.take(rows)
-    low, high = np.full(len(some), _LAST), np.full(len(some), -1)
-    for entry, offset, length, least in _maximal(some):
-        later = some.doc[entry] > least
-        np.minimum.at(low, entry[later], offset[later])
-        np.maximum.at(high, entry[later], offset[later] + length)
-    hit = np.flatnonzero(high >= 0)  # all windows of a context share its anchor, so the ranges form one
-    out.append((rows[hit], some.start[hit] + low[hit], high[hit] - low[hit]))
+    order = order[shared[order]]
+    for group in _by_anchor(order, anchor[order]):
+        rows = keep[group]
+        some = entries.take(rows)
+        low, high = np.full(len(some), _LAST), np.full(len(some), -1)
+        for entry, offset, length, least in _maximal(some):
+            later = some.doc[entry] > least
+            np.minimum.at(low, entry[later], offset[later])
+            np.maximum.at(high, entry[later], offset[later] + length)
+        hit = np.flatnonzero(high >= 0)  # all windows of a context share its anchor, so the ranges form one
+        out.append((rows[hit], some.start[hit] + low[hit], high[hit] - low[hit]))
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
+def _by_anchor(rows: np.ndarray, anchor: np.ndarray) -> Iterator[np.ndarray]:
+    """``rows``, sorted by their anchors, in lists of about ``_GROUPED`` that keep equal anchors together."""
+    low = 0
+    while low < len(rows):
+        high = low + _GROUPED
+        if high < len(rows):
+            high = int(np.searchsorted(anchor, anchor[high - 1], side="right"))
+        yield rows[low:high]
+        low = high
+
+
 def _merged(doc: np.ndarray, mark: np.ndarray, start: np.ndarray, length: np.ndarray) -> dict[str, np.ndarray]:
     """Overlapping and touching ranges of a text as one."""
     order = np.lexsort((start, mark, doc))
@@ -270,9 +327,10 @@ def _sent(docs: DataFrame, buckets: int, collapse: bool) -> DataFrame:
         if collapse:
             keep, repeated = _collapse(entries)
             ranges = _merged(*(x[repeated] for x in (entries.doc, entries.mark, entries.start, entries.length)))
-            yield _batch(_SENT_FIELDS, **ranges)
+            yield _batch(_SENT_FIELDS, bucket=ranges["doc"] % buckets, **ranges)
             entries = entries.take(keep)
-        bucket = ((entries.anchors() >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        # scrambled again: anchors are minima, so their own hashes are small
+        bucket = ((mix(entries.anchors()) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
         for number in np.flatnonzero(np.diff(cuts)):
@@ -301,11 +359,15 @@ def _sent(docs: DataFrame, buckets: int, collapse: bool) -> DataFrame:
 
 
 def _by_bucket(sent: DataFrame, partitions: int, function, fields: pa.Schema, schema: str) -> DataFrame:
-    """``function`` over all contexts of every bucket, one bucket at a time."""
+    """``function`` over all contexts of every bucket, one bucket at a time; ranges pass through."""
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, parts = None, []
         for batch in batches:
+            decided = batch.column("packed").is_null()
+            if pa.compute.any(decided).as_py():
+                yield batch.filter(decided).select(fields.names)
+                batch = batch.filter(pa.compute.invert(decided))
             for bucket, packed in zip(batch.column("bucket").to_pylist(), batch.column("packed").to_pylist()):
                 if bucket != number and parts:
                     yield from function(_joined(parts))
@@ -315,7 +377,7 @@ def _by_bucket(sent: DataFrame, partitions: int, function, fields: pa.Schema, sc
         if parts:
             yield from function(_joined(parts))
 
-    dealt = sent.where(F.col("bucket").isNotNull()).select("bucket", "packed").repartition(partitions, "bucket")
+    dealt = sent.repartition(partitions, "bucket")
     return dealt.sortWithinPartitions("bucket").mapInArrow(meet, schema)
 
 
@@ -340,8 +402,8 @@ def repeat_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
 
     def found(entries: Entries) -> Iterator[pa.RecordBatch]:
         for entry, offset, length, _ in _maximal(entries):
-            begin = entries.at[entry[:1]] + offset[:1]
-            name = int(_range_hash(entries.sums, begin, begin + length).astype(np.int64)[0])
+            begin = entries.at[entry[0]] + offset[0]
+            name = int.from_bytes(hashlib.sha256(entries.body[begin : begin + length]).digest()[:8], "big", signed=True)
             n = len(entry)
             yield _batch(fields, repeat=[name] * n, length=[length] * n, doc=entries.doc[entry], start=entries.start[entry] + offset)
 
@@ -349,7 +411,7 @@ def repeat_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     return _by_bucket(sent, partitions, found, fields, "repeat bigint, length bigint, doc bigint, start bigint")
 
 
-def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", stored=None) -> DataFrame:
+def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_bytes, starts, lengths, kept``: texts without bytes that repeat a smaller document.
 
     A byte goes when a string of ``WINDOW`` bytes around it also starts in a
@@ -361,7 +423,6 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", st
     named = _named(docs, key, text)
     partitions, buckets = _sizes(docs)
     sent = _sent(named, buckets, collapse=True)
-    sent = stored(sent, "contexts") if stored else sent
     fields = pa.schema([(f.name, f.type) for f in _SENT_FIELDS][2:])
 
     def ranges(entries: Entries) -> Iterator[pa.RecordBatch]:
@@ -369,8 +430,7 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", st
         yield _batch(fields, **_merged(entries.doc[row], entries.mark[row], start, length))
 
     met = _by_bucket(sent, partitions, ranges, fields, _RANGES)
-    local = sent.where(F.col("doc").isNotNull()).select("doc", "mark", "start", "length")
-    lists = met.unionByName(local).groupBy("doc", "mark").agg(F.collect_list("start").alias("starts"), F.collect_list("length").alias("lengths"))
+    lists = met.groupBy("doc", "mark").agg(F.collect_list("start").alias("starts"), F.collect_list("length").alias("lengths"))
     joined = named.join(lists, ["doc", "mark"], "left")
 
     def cut(batch: pa.RecordBatch):
