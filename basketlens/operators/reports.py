@@ -88,6 +88,19 @@ def top_customers(transactions: DataFrame, n: int = 10) -> DataFrame:
     )
 
 
+def top_buyers(transactions: DataFrame, n: int = 10) -> DataFrame:
+    """The ``n`` customers with the most spent on sales, with their invoices; sums of decimals, rounded once."""
+    sales = transactions.where((F.col("quantity") > 0) & F.col("customer_id").isNotNull())
+    value = F.col("quantity").cast("decimal(12,0)") * F.col("unit_price").cast("decimal(20,6)")
+    invoices = sales.groupBy("customer_id", "invoice_no").agg(F.sum(value).alias("value"))
+    return (
+        invoices.groupBy("customer_id")
+        .agg(F.round(F.sum("value"), 2).cast("double").alias("spend"), F.count(F.lit(1)).alias("invoices"))
+        .orderBy(F.desc("spend"), "customer_id")
+        .limit(n)
+    )
+
+
 def product_rollup(transactions: DataFrame) -> DataFrame:
     """Per described product: largest stock code (as text), largest price, sales lines."""
     return (

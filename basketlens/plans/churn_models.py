@@ -20,6 +20,11 @@ from basketlens.session import materialize, shared_root
 LOGISTIC, FOREST, BOOSTING = "LogisticRegression", "RandomForest", "GradientBoosting"
 CANDIDATES = (LOGISTIC, FOREST, BOOSTING)
 
+# A forest or boosting fit reads at most about this many labelled rows, drawn by a
+# hash of their values; deep trees are put together on the driver and grow with
+# the rows. The logistic model reads all rows.
+TREE_ROWS = 1_000_000
+
 _COLUMNS = {"labelCol": "churn", "featuresCol": VECTOR}
 
 
@@ -55,11 +60,21 @@ def classifier(name: str, rows: int, seed: int = SPLIT_SEED, penalty: float = 1.
 
 
 def fit(
-    name: str, train: DataFrame, features: Sequence[str] = tuple(CHURN_FEATURES), seed: int = SPLIT_SEED
+    name: str,
+    train: DataFrame,
+    features: Sequence[str] = tuple(CHURN_FEATURES),
+    seed: int = SPLIT_SEED,
+    tree_rows: int = TREE_ROWS,
 ) -> PipelineModel:
+    """Scaling over all rows and the named model; trees see ``tree_rows`` rows at most."""
     shared_root(train.sparkSession)  # boosting cuts its lineage there
     stages = fit_scaling(train, features)
-    model = classifier(name, train.count(), seed).fit(scale(train, stages).select("churn", VECTOR))
+    rows = train.count()
+    drawn = train
+    if name != LOGISTIC and rows > tree_rows:
+        place = F.pmod(F.xxhash64(*train.columns, F.lit(seed)), F.lit(1 << 30))
+        drawn = train.where(place < int(tree_rows / rows * (1 << 30)))
+    model = classifier(name, rows, seed).fit(scale(drawn, stages).select("churn", VECTOR))
     return PipelineModel(stages=[*stages, model])
 
 
@@ -152,7 +167,14 @@ def load_model(root: str, name: str, version: int) -> PipelineModel:
 
 
 def record_metrics(table: DataFrame, version: int, path: str) -> None:
-    table.withColumn("version", F.lit(version)).write.mode("append").parquet(path)
+    """Metrics of one version; a version that is recorded again replaces itself."""
+    (
+        table.withColumn("version", F.lit(version))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("version")
+        .parquet(path)
+    )
 
 
 def production_version(spark: SparkSession, path: str, model: str = LOGISTIC) -> int | None:
@@ -162,6 +184,14 @@ def production_version(spark: SparkSession, path: str, model: str = LOGISTIC) ->
     return None if gated is None else gated["version"]
 
 
+def promote(spark: SparkSession, output: str) -> int | None:
+    """Name the version in production that the gate lets through, for all models of a job's output."""
+    version = production_version(spark, f"{output}/model_metrics")
+    if version is not None:
+        spark.createDataFrame([(version,)], "version int").coalesce(1).write.mode("overwrite").parquet(f"{output}/production")
+    return version
+
+
 def churn_job(
     transactions: DataFrame,
     days: int = CUTOFF_DAYS,
@@ -172,10 +202,13 @@ def churn_job(
 ) -> tuple[dict[str, PipelineModel], DataFrame, DataFrame]:
     """From transactions to fitted, compared and stored churn models.
 
-    The logistic model is the one that is stored for use, whatever the others score.
+    The logistic model is the one that is stored for use, whatever the others
+    score, and only a version that passes the gate is put into production: the
+    table ``production`` then names it.
     """
     fitted, table, explained = compare_candidates(churn.training_frame(transactions, days), days, names, seed=seed)
     if output:
         save_model(fitted[LOGISTIC], output, "churn", version)
         record_metrics(table, version, f"{output}/model_metrics")
+        promote(transactions.sparkSession, output)
     return fitted, table, explained

@@ -128,7 +128,10 @@ def j1(spark, folder):
     return similarity.product_catalogue(fx.transactions(spark, folder))
 
 
-@query("j2_embed_by_terms")
+@query(
+    "j2_embed_by_terms",
+    sql("SELECT description, 64 AS dimensions, 1.0::DOUBLE AS length FROM top_products", "top_products"),
+)
 def j2(spark, folder):
     products = similarity.product_catalogue(fx.transactions(spark, folder))
     return similarity.embed_by_terms(products).select(

