@@ -50,6 +50,7 @@ class Codec:
         self.special = {
             token.content: number for number, token in self.whole.get_added_tokens_decoder().items() if token.special
         }
+        self.named = {number: token.encode() for token, number in self.special.items()}
         names = "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True))
         self.split = regex.compile(f"({names})") if names else None
 
@@ -68,7 +69,7 @@ class Codec:
         return self.whole.decode_batch(ids, skip_special_tokens=False)
 
     def bytes_of(self, ids: list[int]) -> list[bytes]:
-        return [self.fast.decode_single_token_bytes(i) for i in ids]
+        return [self.named[i] if i in self.named else self.fast.decode_single_token_bytes(i) for i in ids]
 
 
 @lru_cache(maxsize=2)

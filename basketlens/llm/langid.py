@@ -62,8 +62,8 @@ class Model:
         self.word_at = {w: i for i, w in enumerate(words)}
         self.gram_at = {g: i for i, g in enumerate(grams)}
         n = len(languages)
-        self.word_scores = np.array([*words.values()]).reshape(-1, n)
-        self.gram_scores = np.array([*grams.values()]).reshape(-1, n)
+        self.word_scores = np.array([*words.values()]).reshape(len(words), n)
+        self.gram_scores = np.array([*grams.values()]).reshape(len(grams), n)
         self.seen: dict[str, np.ndarray] = {}
 
     def unknown(self, word: str) -> np.ndarray:

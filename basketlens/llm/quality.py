@@ -20,7 +20,7 @@ FEATURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_r
 
 # A host's rate lies between its own rate and that of all hosts. The weight of
 # the latter, in documents, is kept within these bounds.
-PRIOR_DOCUMENTS = (1.0, 10_000.0)
+PRIOR_DOCUMENTS = (10.0, 10_000.0)
 MAX_HOST_RATE = 0.5
 
 

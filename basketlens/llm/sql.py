@@ -29,7 +29,7 @@ long AS (
 hosts AS (SELECT source, rule, count(*)::DOUBLE AS n, sum(failed::INT)::DOUBLE AS f FROM long GROUP BY ALL),
 moments AS (SELECT rule, sum(f) / sum(n) AS m, sum(f * f / n) / sum(n) - (sum(f) / sum(n)) * (sum(f) / sum(n)) AS v FROM hosts GROUP BY rule),
 prior AS (
-  SELECT rule, m, CASE WHEN v > 1e-12 THEN least(greatest(m * (1 - m) / v - 1, 1.0), 10000.0) ELSE 10000.0 END AS w FROM moments),
+  SELECT rule, m, CASE WHEN v > 1e-12 THEN least(greatest(m * (1 - m) / v - 1, 10.0), 10000.0) ELSE 10000.0 END AS w FROM moments),
 bad AS (SELECT DISTINCT source FROM hosts JOIN prior USING (rule) WHERE (f + m * w) / (n + w) > 0.5)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, few OR repeated AS base_failed,
   NOT (few OR repeated OR coalesce(source IN (SELECT source FROM bad), false)) AS kept
