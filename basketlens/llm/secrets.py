@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterable
 from functools import lru_cache
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -148,12 +150,24 @@ def _cost(value: str, ranks: dict[str, int], depth: int) -> float:
 _RANKS = _rank(COMMON_WORDS)
 
 
+def _reaching(found: list[tuple[int, str, int]]) -> tuple[list[int], list[int]]:
+    """Starts in order, and the furthest end of a span from there or before."""
+    spans = sorted((start, end) for start, _, end in found)
+    return [start for start, _ in spans], list(accumulate((end for _, end in spans), max))
+
+
+def _covered(base: tuple[list[int], list[int]], start: int, end: int) -> bool:
+    place = bisect_right(base[0], start)
+    return place > 0 and base[1][place - 1] >= end
+
+
 def secret_spans(text: str | None, min_guesses: float = MIN_GUESSES) -> list[tuple[int, str, int]]:
     """(start, kind, end) of every secret by start, then kind as in ``KINDS``; positions are code points.
 
     The three base kinds are leftmost, non-overlapping matches per kind. A
     ``guess`` span is the value of a credential context that costs at least
-    ``min_guesses`` and does not touch a base span. Null and empty texts have none.
+    ``min_guesses``, unless one base span has the whole of it; it may overlap
+    base spans. Null and empty texts have none.
     """
     if not text:
         return []
@@ -162,10 +176,10 @@ def secret_spans(text: str | None, min_guesses: float = MIN_GUESSES) -> list[tup
     ]
     found += [(m.start(), "access", m.end()) for m in _ACCESS.finditer(text)]
     found += [(m.start(), "hex", m.end()) for m in _HEX.finditer(text)]
-    base = sorted((start, end) for start, _, end in found)
+    base = _reaching(found)
     for m in _CONTEXT.finditer(text):
         start, end = m.span(1)
-        if any(s < end and start < e for s, e in base):
+        if _covered(base, start, end):
             continue
         if guess_cost(m.group(1)) >= min_guesses:
             found.append((start, "guess", end))

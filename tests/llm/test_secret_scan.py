@@ -68,6 +68,15 @@ def test_context_values():
     assert secrets.redacted(text, secrets.secret_spans(text)) == "pwd: [SECRET] done"
 
 
+def test_values_that_reach_beyond_a_base_span():
+    text = "password=Tr0ub4dor&3kdj#9QxZ and more"
+    spans = secrets.secret_spans(text)
+    assert spans == [(0, "assign", 18), (9, "guess", 28)]
+    assert secrets.redacted(text, spans) == "[SECRET] and more"
+    assert secrets.secret_spans("token=gH7wRz3nTq9XkLmP") == [(0, "assign", 22)]  # the base span has all of it
+    assert [k for _, k, _ in secrets.secret_spans("password=letmein!")] == ["assign"]  # easy, with a base span
+
+
 def test_edges(edge, nothing):
     found = secrets.scan(edge)
     assert found.count() == edge.count() and found.where("doc_id = 1").first().redacted is None
