@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import math
 import re
+import string
 from bisect import bisect_right
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import accumulate
 
@@ -33,12 +34,19 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _MIN_ASSIGNED = 6
 
-# A value in a credential context: a naming word, a separator or "is", a value.
-_CONTEXT = re.compile(
-    r"""\b(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|credentials?|(?:api|private|access|client|auth)[_ -]?key|bearer)"""
-    r"""["']?(?:\x20{0,4}(?::=|=>|[:=])\x20{0,4}|\x20is\x20)["']?([^\s"'<>,;]{6,})""",
-    re.IGNORECASE | re.ASCII,
+# A value in a credential context: an identifier with a naming word in it, a
+# separator or "is" (after "bearer" blanks alone will do), a value. The pieces
+# are matched one after the other, each in time that is linear in its length.
+_NAME = re.compile(
+    r"pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|credentials?|(?:api|private|access|client|auth)[_ -]?key|bearer"
+)  # in lower case
+_IDENTIFIER = re.compile(r"[A-Za-z0-9_-]*+")
+_SEPARATOR = re.compile(
+    r"""["']?(?:[\x20\t]*+(?::=|=>|[:=])[\x20\t]*+|[\x20\t]++is[\x20\t]++)["']?""", re.IGNORECASE | re.ASCII
 )
+_BLANKS = re.compile(r"""["']?[\x20\t]++["']?""")
+_VALUE = re.compile(r"""[^\s"'<>,;]{6,}+""", re.ASCII)
+_IDENTIFIERS = string.ascii_letters + string.digits + "_-"
 
 # Guesses, as a power of ten, from which a value in a credential context is a secret.
 MIN_GUESSES = 10.0
@@ -150,6 +158,29 @@ def _cost(value: str, ranks: dict[str, int], depth: int) -> float:
 _RANKS = _rank(COMMON_WORDS)
 
 
+def _context_values(text: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of the value of every credential context, by start.
+
+    The last identifier of a value may name the next one, as in
+    ``token: Bearer ...``, so the search goes on from there. Contexts further
+    inside a value end with it and are easier to guess than the whole.
+    """
+    low, at = text.lower(), 0
+    if len(low) != len(text):
+        low = "".join(c.lower() if c.isascii() else c for c in text)
+    while name := _NAME.search(low, at):
+        at = _IDENTIFIER.match(text, name.end()).end()
+        bearer = low.endswith("bearer", 0, at)
+        separator = _SEPARATOR.match(text, at) or (bearer and _BLANKS.match(text, at))
+        value = separator and _VALUE.match(text, separator.end())
+        if value:
+            yield value.span()
+            stem = value.group().rstrip(":=>").rstrip(_IDENTIFIERS)
+            at = value.start() + len(stem)
+        else:
+            at = max(name.end(), at - len("private"))  # of "pass-private key"
+
+
 def _reaching(found: list[tuple[int, str, int]]) -> tuple[list[int], list[int]]:
     """Starts in order, and the furthest end of a span from there or before."""
     spans = sorted((start, end) for start, _, end in found)
@@ -177,11 +208,10 @@ def secret_spans(text: str | None, min_guesses: float = MIN_GUESSES) -> list[tup
     found += [(m.start(), "access", m.end()) for m in _ACCESS.finditer(text)]
     found += [(m.start(), "hex", m.end()) for m in _HEX.finditer(text)]
     base = _reaching(found)
-    for m in _CONTEXT.finditer(text):
-        start, end = m.span(1)
+    for start, end in _context_values(text):
         if _covered(base, start, end):
             continue
-        if guess_cost(m.group(1)) >= min_guesses:
+        if guess_cost(text[start:end]) >= min_guesses:
             found.append((start, "guess", end))
     return sorted(found, key=lambda x: (x[0], KINDS.index(x[1])))
 

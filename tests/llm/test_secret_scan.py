@@ -77,6 +77,20 @@ def test_values_that_reach_beyond_a_base_span():
     assert [k for _, k, _ in secrets.secret_spans("password=letmein!")] == ["assign"]  # easy, with a base span
 
 
+def test_contexts_as_they_are_usually_written():
+    hard = "gH7wRz3nTq9XkLmP"
+    for before in ["db_pwd: ", "DB-PWD=", "PGPASSWD2 = ", "AWS_SECRET_ACCESS_KEY=", "userPin:", "my api key: ", "Authorization: Bearer ", "token: Bearer ",
+                   "bearer\t", "pwd:        ", "pwd:\t", "pwd\t\t=\t", "pwd        => ", '"client_key" : "', "the passphrase\tis\t", "password: pwd: "]:
+        text = before + hard + " x"
+        assert (len(before), "guess", len(before) + len(hard)) in secrets.secret_spans(text) or (
+            secrets.redacted(text, secrets.secret_spans(text)) in ("[SECRET] x", "AWS_[SECRET] x")
+        ), text
+    for text in ["bearer", "pwd:", "pwd:   ", "pwd " + hard, "pwd:\n" + hard, "the word is " + hard, "forbearers " + hard]:
+        assert secrets.secret_spans(text) == [], text
+    for text in ["pass" * 50_000, "pwd" + " " * 200_000, "pwd=" * 50_000, "pwd:" + "-" * 200_000]:  # in linear time
+        assert len(secrets.secret_spans(text)) < 2
+
+
 def test_edges(edge, nothing):
     found = secrets.scan(edge)
     assert found.count() == edge.count() and found.where("doc_id = 1").first().redacted is None
