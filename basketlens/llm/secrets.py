@@ -4,6 +4,7 @@ The second kind is found by a guess-cost search: a value is cut into words,
 dates, repeats, keyboard walks and brute-force spans so that the number of
 guesses for the whole is smallest (dynamic programming over its positions).
 ``password: example`` is cheap to guess and is left alone; a random value is not.
+Words are ranked by the documents of the corpus that have them (``frequent_words``).
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketlens.llm.frames import map_batches
+from basketlens.session import materialize
 
 KINDS = ("assign", "access", "hex", "guess")
 
@@ -64,6 +66,13 @@ COMMON_WORDS = (
     "value none null string token apikey pass key demo foobar love home work office server database system the and for"
 ).split()
 
+# Words of the corpus in the table that is broadcast to the scan, and letters of the longest.
+WORDS = 50_000
+WORD_LENGTH = 40
+
+# What punctuation leaves around a word of a sentence.
+_MARKS = ".,;:!?()[]{}<>\"'`*_…“”„‘’«»"
+
 # Rows of a keyboard.
 KEYBOARD = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm")
 
@@ -111,19 +120,27 @@ def guess_cost(value: str, words: dict[str, int] | None = None) -> float:
     A value of more than ``PIECE`` characters is as hard as the hardest of its
     pieces of that length, so its cost is linear in its length.
     """
-    pieces = {value[at : at + PIECE] for at in range(0, len(value), PIECE)}
-    if words is not None:
-        return max((_cost(p, words, 3) for p in pieces), default=0.0)
-    return max(map(_usual_cost, pieces), default=0.0)
+    return (_USUAL if words is None else Guesses(words)).cost(value)
+
+
+class Guesses:
+    """Guess costs with given ranks of words; the costs of recent pieces are kept."""
 
+    def __init__(self, ranks: dict[str, int]):
+        self.ranks, longest = ranks, max(map(len, ranks), default=0)
+        self._piece = lru_cache(maxsize=4096)(lambda piece: _cost(piece, ranks, 3, longest))
 
-@lru_cache(maxsize=4096)
-def _usual_cost(value: str) -> float:
-    return _cost(value, _RANKS, 3)
+    def cost(self, value: str) -> float:
+        pieces = {value[at : at + PIECE] for at in range(0, len(value), PIECE)}
+        return max(map(self._piece, pieces), default=0.0)
 
+    def of_context(self, value: str) -> float:
+        """The cost of a value that may be a word of a sentence, with its punctuation."""
+        bare = value.strip(_MARKS)
+        return self.cost(bare if bare.lower() in self.ranks else value)
 
-def _cost(value: str, ranks: dict[str, int], depth: int) -> float:
-    longest = max(map(len, ranks), default=0)
+
+def _cost(value: str, ranks: dict[str, int], depth: int, longest: int) -> float:
     n = len(value)
     best = [0.0] + [math.inf] * n
     low = value.lower() if len(value.lower()) == n else value  # lower case may change the length
@@ -151,11 +168,11 @@ def _cost(value: str, ranks: dict[str, int], depth: int) -> float:
         repeat = _REPEAT.match(value, start) if depth else None
         if repeat and repeat.end() - start >= 3:
             unit = repeat.group(1)
-            reach(repeat.end(), _cost(unit, ranks, depth - 1) + math.log10((repeat.end() - start) // len(unit)))
+            reach(repeat.end(), _cost(unit, ranks, depth - 1, longest) + math.log10((repeat.end() - start) // len(unit)))
     return best[n]
 
 
-_RANKS = _rank(COMMON_WORDS)
+_USUAL = Guesses(_rank(COMMON_WORDS))
 
 
 def _context_values(text: str) -> Iterator[tuple[int, int]]:
@@ -192,7 +209,9 @@ def _covered(base: tuple[list[int], list[int]], start: int, end: int) -> bool:
     return place > 0 and base[1][place - 1] >= end
 
 
-def secret_spans(text: str | None, min_guesses: float = MIN_GUESSES) -> list[tuple[int, str, int]]:
+def secret_spans(
+    text: str | None, min_guesses: float = MIN_GUESSES, guesses: Guesses = _USUAL
+) -> list[tuple[int, str, int]]:
     """(start, kind, end) of every secret by start, then kind as in ``KINDS``; positions are code points.
 
     The three base kinds are leftmost, non-overlapping matches per kind. A
@@ -211,7 +230,7 @@ def secret_spans(text: str | None, min_guesses: float = MIN_GUESSES) -> list[tup
     for start, end in _context_values(text):
         if _covered(base, start, end):
             continue
-        if guess_cost(text[start:end]) >= min_guesses:
+        if guesses.of_context(text[start:end]) >= min_guesses:
             found.append((start, "guess", end))
     return sorted(found, key=lambda x: (x[0], KINDS.index(x[1])))
 
@@ -228,15 +247,68 @@ def redacted(text: str, spans: list[tuple[int, str, int]]) -> str:
     return "".join(out) + text[at:]
 
 
+def _plain_words(text: str) -> set[str]:
+    """Words of letters, with hyphens inside, in lower case; none from the values of credential contexts."""
+    parts, at = [], 0
+    for start, end in _context_values(text):
+        parts.append(text[at:start])
+        at = end
+    tokens = {token.strip(_MARKS) for token in set(" ".join([*parts, text[at:]]).lower().split())}
+    return {w for w in tokens if 2 <= len(w) <= WORD_LENGTH and w[0] != "-" != w[-1] and w.replace("-", "").isalpha()}
+
+
+def frequent_words(docs: DataFrame, text: str = "text") -> list[str]:
+    """Plain words of the corpus by falling number of documents, ``WORDS`` at most.
+
+    A word counts where it is not the value of a credential context, and only if
+    two different texts have it, so neither a secret nor copies of a text that
+    tells it once more make it a word. If there are more words, those with the
+    smallest number of documents that does not fit as a whole, or less, are left out.
+    """
+
+    def counted(batch: pa.RecordBatch):
+        found: dict[str, list[int]] = {}
+        for body, mark in zip(batch.column("_text").to_pylist(), batch.column("_mark").to_pylist()):
+            for word in _plain_words(body):
+                seen = found.get(word)
+                if seen is None:
+                    found[word] = [1, mark, mark]
+                else:
+                    seen[0] += 1
+                    if mark < seen[1]:
+                        seen[1] = mark
+                    elif mark > seen[2]:
+                        seen[2] = mark
+        n, low, high = zip(*found.values()) if found else ((), (), ())
+        yield {"word": list(found), "n": n, "low": low, "high": high}
+
+    bodies = docs.where(F.col(text).isNotNull()).select(F.col(text).alias("_text"), F.xxhash64(text).alias("_mark"))
+    parts = map_batches(bodies, counted, "word string, n bigint, low bigint, high bigint")
+    words = parts.groupBy("word").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+    words = materialize(words.where("low < high").select("word", "n"), "words")
+    taken, least = 0, None
+    for row in sorted(words.groupBy("n").agg(F.count(F.lit(1)).alias("words")).collect(), reverse=True):
+        taken += row.words
+        if taken > WORDS:
+            break
+        least = row.n
+    rows = [] if least is None else words.where(F.col("n") >= least).collect()
+    return [row.word for row in sorted(rows, key=lambda row: (-row.n, row.word))]
+
+
 def _scanned(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
     """``keep`` as ``_k0``, ``_k1``, ... with ``kinds``, ``starts``, ``ends`` and ``redacted``."""
     keys = [f"_k{i}" for i in range(len(keep))]
     base = docs.select(*[F.col(c).alias(k) for k, c in zip(keys, keep)], F.col(text).alias("_text"))
     kinds = ", ".join(f"{k} {docs.schema[c].dataType.simpleString()}" for k, c in zip(keys, keep))
 
+    ranks = _rank(dict.fromkeys((*COMMON_WORDS, *frequent_words(docs, text))))
+    shared = docs.sparkSession.sparkContext.broadcast(ranks)
+
     def scanned(batch: pa.RecordBatch):
+        guesses = Guesses(shared.value)
         texts = batch.column("_text").to_pylist()
-        spans = [secret_spans(t) for t in texts]
+        spans = [secret_spans(t, guesses=guesses) for t in texts]
         yield {
             **{k: batch.column(k) for k in keys},
             "kinds": [[kind for _, kind, _ in s] for s in spans],
@@ -253,7 +325,8 @@ def _scanned(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
 def scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` and ``kinds``, ``starts``, ``ends`` (arrays) and ``redacted`` of every row.
 
-    Every row gives one row; a null text stays null and has no spans. No rows
+    Every row gives one row; a null text stays null and has no spans. The texts
+    are read twice, first for ``frequent_words``. No rows but the counts of words
     are moved, so a hot source or many equal texts make no difference.
     """
     found = _scanned(docs, text, list(keep))

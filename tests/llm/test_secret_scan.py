@@ -2,6 +2,7 @@ import re
 
 from basketlens.llm import secrets
 from basketlens.llm.frames import documents
+from tests.llm.helpers import frame
 
 
 def brute(text):
@@ -91,6 +92,27 @@ def test_contexts_as_they_are_usually_written():
         assert len(secrets.secret_spans(text)) < 2
 
 
+def test_ordinary_sentences_stay(spark):
+    prose = [
+        "Your password is required here", "the pin is displayed", "The secret is simple.", "That token is case-sensitive!",
+        "Every field is required, and simple rules are displayed.", "A case-sensitive search is simple where it is displayed.",
+        "What is required is displayed: simple, case-sensitive names.",
+    ]
+    leaks = ["the password is ghwrztqxklmp", "now enter ghwrztqxklmp there"] + ["then try zvkqjwxbtrnm again, the password is zvkqjwxbtrnm"] * 3
+    docs = frame(spark, [(i, t, "en", "s") for i, t in enumerate(prose + leaks)])
+    clean = {r.doc_id: r.text for r in secrets.without_secrets(docs).collect()}
+    assert [clean[i] for i in range(len(prose))] == prose
+    assert clean[len(prose)] == "the password is [SECRET]" and clean[len(prose) + 1] == leaks[1]
+    assert {clean[i] for i in range(len(prose) + 2, len(clean))} == {"then try zvkqjwxbtrnm again, the password is [SECRET]"}
+
+
+def test_words_are_ranked_by_documents_and_bounded(spark, monkeypatch):
+    docs = frame(spark, [(i, t, "en", "s") for i, t in enumerate(["Often, often seldom", "often; seldom once", "(often) x9y", "", None])])
+    assert secrets.frequent_words(docs) == ["often", "seldom"]
+    monkeypatch.setattr(secrets, "WORDS", 1)
+    assert secrets.frequent_words(docs) == ["often"]
+
+
 def test_edges(edge, nothing):
     found = secrets.scan(edge)
     assert found.count() == edge.count() and found.where("doc_id = 1").first().redacted is None
