@@ -33,6 +33,8 @@ PATTERNS = {
 _BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 
 CONTEXT = 80  # code points on each side of an entity
+_MATCHES = CONTEXT // 2 + 1  # matches, of two code points at least, that are sure to reach beyond a context
+_MASK = "\uffff"  # no character of a text
 MIN_TEXTS = 3  # distinct texts in which term and entity stand together
 GENERALISE = 0.8
 REMOVE = 0.95
@@ -45,20 +47,37 @@ def _possible(text: Column) -> dict[str, Column]:
 
 
 def _places(text: Column, pattern: str, each) -> Column:
-    """Array of ``each(i, gap, match, pieces)`` over the matches; a gap is the text before a match."""
+    """Array of ``each(i, gap, match, both)`` over the matches; a gap is the text before a match.
+
+    ``both`` has all ``pieces`` of the text around the ``matches``.
+    """
     both = F.struct(
         F.split(text, pattern, -1).alias("pieces"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("matches")
     )
     # the one-element array binds both, so that they are found once
-    bound = F.transform(F.array(both), lambda b: F.transform(b["matches"], lambda m, i: each(i, F.get(b["pieces"], i), m, b["pieces"])))
+    bound = F.transform(F.array(both), lambda b: F.transform(b["matches"], lambda m, i: each(i, F.get(b["pieces"], i), m, b)))
     return F.element_at(bound, 1)
 
 
+def _beside(kind: str, pieces: Column, matches: Column, near) -> Column:
+    """The text of ``pieces`` with ``matches`` between, ``near`` its end; valid matches are masked."""
+    masked = lambda m: F.when(_valid(F.lit(kind), m), F.repeat(F.lit(_MASK), F.length(m))).otherwise(m)
+    parts = F.zip_with(pieces, matches, lambda p, m: F.concat(near(p, F.lit(CONTEXT + 1)), F.coalesce(masked(m), F.lit(""))))
+    return near(F.array_join(parts, ""), F.lit(CONTEXT + 1))
+
+
 def _candidates(text: Column, kind: str) -> Column:
-    def one(i: Column, gap: Column, match: Column, pieces: Column) -> Column:
+    """One code point more than the context is kept, which tells whether the text goes on and where its word ends."""
+
+    def one(i: Column, gap: Column, match: Column, both: Column) -> Column:
+        pieces, matches = both["pieces"], both["matches"]
+        back = F.least(i, F.lit(_MATCHES))
+        before = _beside(kind, F.slice(pieces, i - back + 1, back + 1), F.slice(matches, i - back + 1, back), F.right)
+        after = _beside(kind, F.slice(pieces, i + 2, F.lit(_MATCHES + 1)), F.slice(matches, i + 2, F.lit(_MATCHES)), F.left)
+        valid = _valid(F.lit(kind), match)
         return F.struct(
             F.lit(kind).alias("kind"), i.alias("i"), F.length(gap).alias("gap"), match.alias("value"),
-            F.right(gap, F.lit(CONTEXT)).alias("before"), F.left(F.get(pieces, i + 1), F.lit(CONTEXT)).alias("after"),
+            F.when(valid, before).alias("before"), F.when(valid, after).alias("after"),
         )
 
     return _places(text, PATTERNS[kind], one)
@@ -123,14 +142,17 @@ def _words(text: Column) -> Column:
 def _near(found: DataFrame) -> DataFrame:
     """``entity, term, mark``, distinct: terms within ``CONTEXT`` code points of an entity.
 
-    A word that the context cuts, or that touches the entity, is no term.
+    A word that the context cuts, or that touches the entity or another one of
+    its kind, is no term; the first and last word of the text are terms.
     """
-    before = F.regexp_replace(F.regexp_replace("before", r"^[^ \t-\r]+", ""), r"[^ \t-\r]+$", "")
-    after = F.regexp_replace(F.regexp_replace("after", r"^[^ \t-\r]+", ""), r"[^ \t-\r]+$", "")
+    before = F.regexp_replace("before", r"[^ \t-\r]+$", "")
+    before = F.when(F.length("before") > CONTEXT, F.regexp_replace(before, r"^[^ \t-\r]+", "")).otherwise(before)
+    after = F.regexp_replace("after", r"^[^ \t-\r]+", "")
+    after = F.when(F.length("after") > CONTEXT, F.regexp_replace(after, r"[^ \t-\r]+$", "")).otherwise(after)
     words = F.array_distinct(F.transform(_words(F.concat_ws(" ", before, after)), _term))
     return (
         found.select(F.concat_ws(":", "kind", F.lower("value")).alias("entity"), "mark", F.explode(words).alias("term"))
-        .where(F.length("term") >= 2)
+        .where((F.length("term") >= 2) & ~F.col("term").contains(_MASK))
         .distinct()
     )
 
@@ -178,7 +200,7 @@ def _term_spans(keyed: DataFrame, base: DataFrame, terms: DataFrame, where: Data
     same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("mark") == F.col("_m"))
     flagged = keyed.join(rows, same).dropDuplicates(["doc_id", "mark"])
 
-    def one(i: Column, gap: Column, word: Column, pieces: Column) -> Column:
+    def one(i: Column, gap: Column, word: Column, both: Column) -> Column:
         return F.struct(i.alias("i"), F.length(gap).alias("gap"), word.alias("word"))
 
     word = Window.partitionBy("doc_id", "mark").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)

@@ -68,6 +68,28 @@ def test_terms_that_give_an_entity_away(spark):
     assert clean[200] == texts[200]
 
 
+def test_words_near_an_entity(spark):
+    card = "4111 1111 1111 1111"
+    far = "x" * 73
+    texts = [
+        "Zebulon wrote zeb@corp.example", "zeb@corp.example is Zebulon", f"John Smith, 12 High Street, card {card}", f"{card}, card of 99 John",
+        f"cut {far} near ab@c.de near {far} cut", "one ab@c.de, two de@f.gh three", f"{'10 ' * 39}ab {card}",
+        f"beyond {'7' * 79} ab@c.de", f"begin {'7' * 73} ab@c.de", f"egin {'7' * 74} ab@c.de {'7' * 74} stop",
+    ]
+    keyed = pii._keyed(frame(spark, [(i, t, "en", "s") for i, t in enumerate(texts)]), "doc_id", "text").cache()
+    marks = {r.mark: r.doc_id for r in keyed.collect()}
+    near = {}
+    for row in pii._near(pii.entities(keyed)).collect():
+        near.setdefault((marks[row.mark], row.entity), set()).add(row.term)
+    assert near[0, "email:zeb@corp.example"] == {"zebulon", "wrote"} and near[1, "email:zeb@corp.example"] == {"is", "zebulon"}
+    assert near[2, f"card:{card}"] == {"john", "smith", "12", "high", "street", "card"} and near[3, f"card:{card}"] == {"card", "of", "99", "john"}
+    assert near[4, "email:ab@c.de"] == {far, "near"}
+    assert near[5, "email:ab@c.de"] == {"one", "two", "three"} and near[5, "email:de@f.gh"] == {"one", "two", "three"}
+    assert near[6, f"card:{card}"] == {"10", "ab"}
+    assert near[7, "email:ab@c.de"] == {"7" * 79} and near[8, "email:ab@c.de"] == {"begin", "7" * 73}
+    assert near[9, "email:ab@c.de"] == {"egin", "7" * 74, "stop"}
+
+
 def test_edges(edge, nothing):
     assert pii.find(edge).count() == edge.count()
     clean = pii.sanitised(edge)
