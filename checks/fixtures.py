@@ -113,9 +113,6 @@ def features_and_churn_log(spark: SparkSession, folder: str) -> tuple[DataFrame,
     return stored, churn_log_of(stored, moments)
 
 
-CATALOGUE_ROWS = 40  # fewer than there are products, so some last products are outside
-
-
 def product_vectors(spark: SparkSession, folder: str) -> DataFrame:
     """``description, embedding`` of every product; the r-th description by text has the vector with id r."""
     products = product_rollup(transactions(spark, folder)).select("description").distinct()
@@ -128,7 +125,7 @@ def product_vectors(spark: SparkSession, folder: str) -> DataFrame:
 
 def catalogue_rows(spark: SparkSession, folder: str, vectors: DataFrame | None = None) -> DataFrame:
     vectors = product_vectors(spark, folder) if vectors is None else vectors
-    products = product_catalogue(transactions(spark, folder), CATALOGUE_ROWS)
+    products = product_catalogue(transactions(spark, folder))
     return products.join(vectors, "description", "left").select("stock_code", "description", "unit_price", "embedding")
 
 

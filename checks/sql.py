@@ -197,8 +197,8 @@ JOIN embeddings USING (vec_id)""",
 define(
     "catalogue",
     """SELECT stock_code, description, unit_price, embedding
-FROM (SELECT * FROM products ORDER BY sales_volume DESC, description LIMIT 40) JOIN vectors USING (description)""",
-    "products",
+FROM top_products JOIN vectors USING (description)""",
+    "top_products",
     "vectors",
 )
 define(
