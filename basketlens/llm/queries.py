@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import bpe, langid, mixing, neardup, pii, quality, repeats, secrets, sharding, sketches
+from basketlens.llm import bpe, langid, lines, mixing, neardup, pii, quality, repeats, secrets, sharding, sketches
 from basketlens.llm import sql as oracles
 from basketlens.llm.frames import documents
 from basketlens.session import materialize
@@ -129,3 +129,9 @@ def fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_near_duplicates", oracles.NEAR)
 def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.groups(documents(spark, folder))
+
+
+@query("op13_line_dedup", oracles.LINES)
+def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = lines.without_common_lines(documents(spark, folder))
+    return cut.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))

@@ -74,3 +74,18 @@ SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(component,
   coalesce(component, doc_id) = doc_id AS kept
 FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN least_found ON node = doc_id
 """
+
+LINES = r"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+places AS (SELECT rid, unnest(lines) AS line, unnest(range(len(lines))) AS place FROM d),
+keyed AS MATERIALIZED (
+  SELECT rid, place, line,
+    translate(trim(line, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM places),
+common AS (SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT rid) >= 10),
+kept AS (
+  SELECT rid, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+    coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '') AS kept
+  FROM (SELECT *, key IN (SELECT key FROM common) AS gone FROM keyed) GROUP BY rid)
+SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM d JOIN kept USING (rid)
+"""
