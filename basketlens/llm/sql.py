@@ -89,3 +89,39 @@ kept AS (
   FROM (SELECT *, key IN (SELECT key FROM common) AS gone FROM keyed) GROUP BY rid)
 SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM d JOIN kept USING (rid)
 """
+
+IMPORTANCE = r"""
+WITH RECURSIVE rounds AS (
+  SELECT CAST(range AS BIGINT) AS i, 0 AS k, CAST(range AS BIGINT) AS v FROM range(256)
+  UNION ALL
+  SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM rounds WHERE k < 8),
+crc_table AS MATERIALIZED (SELECT list(v ORDER BY i) AS steps FROM rounds WHERE k = 8),
+texts AS (
+  SELECT 's' AS side, row_number() OVER () AS rid, doc_id, text FROM documents
+  UNION ALL SELECT 't', row_number() OVER (), NULL, text FROM benchmark),
+d AS MATERIALIZED (
+  SELECT side, rid, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM texts),
+places AS MATERIALIZED (SELECT side, rid, unnest(words) AS word FROM d),
+vocabulary AS (
+  SELECT word, list_transform(range(1, length(hex(word)) + 1, 2), lambda i: CAST('0x' || substr(hex(word), i, 2) AS BIGINT)) AS bytes
+  FROM (SELECT DISTINCT word FROM places)),
+hashed AS MATERIALIZED (
+  SELECT word, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), bytes),
+    lambda c, b: xor(c >> 8, steps[CAST((xor(c, b) & 255) + 1 AS INTEGER)])), 4294967295) % 10000 AS bucket
+  FROM vocabulary, crc_table),
+features AS MATERIALIZED (SELECT side, rid, bucket FROM places JOIN hashed USING (word)),
+counts AS (SELECT bucket, count(*) FILTER (side = 's') AS s, count(*) FILTER (side = 't') AS t FROM features GROUP BY bucket),
+sums AS (SELECT coalesce(sum(s), 0)::DOUBLE AS all_s, coalesce(sum(t), 0)::DOUBLE AS all_t FROM counts),
+gains AS (
+  SELECT bucket, floor(1000::DOUBLE * ln(((t + 1)::DOUBLE * (all_s + 10000)) / ((s + 1)::DOUBLE * (all_t + 10000)))) AS gain FROM counts, sums),
+weights AS (SELECT rid, CAST(floor(sum(gain) / count(*)) AS BIGINT) AS weight FROM features JOIN gains USING (bucket) WHERE side = 's' GROUP BY rid),
+scores AS (
+  SELECT doc_id, CAST(len(words) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000::DOUBLE * ln(-ln(
+    (CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT)::DOUBLE + 0.5) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM d LEFT JOIN weights USING (rid) WHERE side = 's'),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place, count(*) OVER (PARTITION BY n_features >= 20) AS n FROM scores)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= n * 10 // 100 THEN place END AS rank FROM ranked
+"""
