@@ -57,8 +57,8 @@ class LineRuns:
         A row is a document: repeated rows count apart, a key once for each.
         """
         keys = F.filter(F.transform(_lines(F.col("text")), line_key), lambda key: F.length(key) >= self.min_chars)
-        found = docs.select(batch.alias("batch"), F.explode(F.array_distinct(keys)).alias("key"))
-        counts = found.select("batch", *_hashes(F.col("key"))).groupBy("batch", *_KEY).agg(F.count(F.lit(1)).alias("n"))
+        found = docs.select(batch.alias("batch"), F.array_distinct(keys).alias("keys"))  # once a text, not once a line
+        counts = found.select("batch", F.explode("keys").alias("key")).select("batch", *_hashes(F.col("key"))).groupBy("batch", *_KEY).agg(F.count(F.lit(1)).alias("n"))
         return self._stored(counts.repartition(self.buckets, *_KEY), "batch")
 
     def add(self, run: DataFrame) -> None:
@@ -127,7 +127,8 @@ def without_common_lines(
     identity = [F.xxhash64("doc_id", "text").alias("a"), F.xxhash64(F.lit(1), "doc_id", "text").alias("b")]
     keys = F.transform(_lines(F.col("text")), line_key)
     places = (
-        docs.select(*identity, F.posexplode(keys).alias("place", "key"))
+        docs.select(*identity, keys.alias("keys"))  # once a text, not once a line
+        .select("a", "b", F.posexplode("keys").alias("place", "key"))
         .where(F.length("key") >= min_chars)
         .select("a", "b", "place", *_hashes(F.col("key")))
         .join(F.broadcast(hot), _KEY, "left")
@@ -137,8 +138,9 @@ def without_common_lines(
     dropped = materialize(met.groupBy("a", "b").agg(F.collect_set("place").alias("dropped")), "dropped")
     runs.close()
 
+    rows = docs.select("*", *identity).join(dropped, ["a", "b"], "left")
     # the explode keeps the optimizer from cutting the text again for each line
-    rows = docs.select("*", *identity, F.explode(F.array(_lines(F.col("text")))).alias("lines")).join(dropped, ["a", "b"], "left")
+    rows = rows.select("doc_id", "text", "dropped", F.explode(F.array(_lines(F.col("text")))).alias("lines"))
     stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "dropped")
     kept = F.array_join(F.transform(stay, lambda place: F.get(F.col("lines"), place)), "\n")
     return rows.select(
