@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import bpe, importance, langid, lines, mixing, neardup, pii, quality, repeats, secrets, sharding, sketches
+from basketlens.llm import bpe, dialogue, importance, langid, lines, mixing, neardup, pii, quality, repeats, secrets, sharding, sketches
 from basketlens.llm import sql as oracles
 from basketlens.llm.frames import documents
 from basketlens.session import materialize
@@ -131,6 +131,12 @@ def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.groups(documents(spark, folder))
 
 
+@query("op11_conversation_repair")
+def conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = spark.read.parquet(f"{folder}/conversations.parquet")
+    return dialogue.reports(rows, dialogue.damaged(rows))
+
+
 @query("op12_importance_resampling", oracles.IMPORTANCE)
 def importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return importance.resampled(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
