@@ -77,6 +77,14 @@ def runs(lengths: Iterable[int], limit: int = RUN_BYTES) -> Iterator[tuple[int,
         yield start, at + 1
 
 
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def ascii_lower(text: Column) -> Column:
+    """``text`` with A-Z lower-cased and all else as it is; texts of ASCII alone take a fast path."""
+    return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, _UPPER, _UPPER.lower()))
+
+
 def n_words(text: Column) -> Column:
     """Number of runs of characters that are no word separators; null counts as none."""
     parts = F.split(F.trim(F.coalesce(text, F.lit("")), F.lit(SPACES)), "[ \\t-\\r]+")

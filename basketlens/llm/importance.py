@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketlens.llm.frames import map_batches
+from basketlens.llm.frames import ascii_lower, map_batches
 from basketlens.operators.ranking import global_row_number
 from basketlens.session import materialize
 
@@ -25,14 +25,12 @@ PERCENT = 10  # drawn, of the documents long enough
 SEED = 2024
 PROBES = 15  # thresholds counted in one job, so that an interval shrinks to a sixteenth
 
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-_BREAKS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"  # ASCII but digits and lower-case letters
+_BREAKS = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"  # ASCII but digits and letters
 
 
 def _buckets(text: Column, longest: int, buckets: int) -> tuple[Column, Column]:
     """Number of words, and the bucket of every run of 1 to ``longest`` words, repeats included."""
-    lowered = F.translate(F.coalesce(text, F.lit("")), _UPPER, _UPPER.lower())
-    words = F.filter(F.split(lowered, _BREAKS), lambda word: word != "")
+    words = F.transform(F.filter(F.split(F.coalesce(text, F.lit("")), _BREAKS), lambda word: word != ""), ascii_lower)
 
     def hashed(feature: Column) -> Column:
         return F.pmod(F.crc32(feature.cast("binary")), F.lit(buckets)).cast("int")

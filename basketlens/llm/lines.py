@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm.frames import SPACES
+from basketlens.llm.frames import SPACES, ascii_lower
 from basketlens.session import materialize
 
 MIN_DOCUMENTS = 10  # a key found in so many documents is common
@@ -21,7 +21,6 @@ MIN_CHARS = 1  # shorter keys, such as those of blank lines, are never common
 BATCHES = 4  # runs that a whole table is read into
 HOT_KEYS = 20_000  # at most so many keys are sent to every task; no other has more than BATCHES / HOT_KEYS of all places
 
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _KEY = ["h", "g"]
 
 
@@ -31,7 +30,7 @@ def _lines(text: Column) -> Column:
 
 def line_key(line: Column) -> Column:
     """The line without white space at its ends and with A-Z lower-cased."""
-    return F.translate(F.trim(line, F.lit(SPACES)), _UPPER, _UPPER.lower())
+    return ascii_lower(F.trim(line, F.lit(SPACES)))
 
 
 def _hashes(key: Column) -> list[Column]:
