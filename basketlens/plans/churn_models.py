@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Model, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from basketlens.constants import CHURN_FEATURES, CUTOFF_DAYS, SEGMENTATION_FEATURES, SPLIT_SEED, TEST_FRACTION
 from basketlens.operators import churn, metrics
 from basketlens.operators.splits import exact_split, train_test
-from basketlens.plans.scaling import VECTOR, drop_working_columns, fit_scaling, scale
+from basketlens.plans import newton
+from basketlens.plans.scaling import VECTOR, drop_working_columns, fit_scaling, scale, scaling_stages
 from basketlens.schemas import MODEL_METRICS
 from basketlens.session import materialize, shared_root
 
@@ -28,21 +29,8 @@ TREE_ROWS = 1_000_000
 _COLUMNS = {"labelCol": "churn", "featuresCol": VECTOR}
 
 
-def classifier(name: str, rows: int, seed: int = SPLIT_SEED, penalty: float = 1.0):
-    """Estimator by name.
-
-    The logistic loss is averaged over rows here, so an L2 penalty meant for the
-    summed loss is divided by their number; the features are scaled already.
-    """
-    if name == LOGISTIC:
-        return LogisticRegression(
-            regParam=1.0 / (penalty * rows),
-            elasticNetParam=0.0,
-            standardization=False,
-            maxIter=200,
-            tol=1e-9,
-            **_COLUMNS,
-        )
+def classifier(name: str, seed: int = SPLIT_SEED):
+    """Estimator of a tree model by name."""
     if name == FOREST:
         return RandomForestClassifier(
             numTrees=100,
@@ -59,6 +47,20 @@ def classifier(name: str, rows: int, seed: int = SPLIT_SEED, penalty: float = 1.
     raise ValueError(f"unknown model {name}")
 
 
+def logistic_model(solution: newton.Solution, features: Sequence[str]) -> PipelineModel:
+    """Scaling and scores of a solution as one saved model."""
+    stages = scaling_stages(features, solution.means, solution.deviations)
+    return PipelineModel(stages=[*stages, newton.LogisticScores(solution.weights, solution.intercept)])
+
+
+def fit_logistic(
+    train: DataFrame, features: Sequence[str] = tuple(CHURN_FEATURES), group: str | None = None, penalty: float = 1.0
+) -> dict[object, newton.Solution]:
+    """Solutions by value of ``group``, all from the same passes; without one, a single solution under 0."""
+    frame = train if group else train.withColumn("_all", F.lit(0))
+    return newton.solve(frame.select(group or "_all", "churn", *features), group or "_all", features, penalty=penalty)
+
+
 def fit(
     name: str,
     train: DataFrame,
@@ -67,14 +69,16 @@ def fit(
     tree_rows: int = TREE_ROWS,
 ) -> PipelineModel:
     """Scaling over all rows and the named model; trees see ``tree_rows`` rows at most."""
+    if name == LOGISTIC:
+        return logistic_model(fit_logistic(train, features)[0], features)
     shared_root(train.sparkSession)  # boosting cuts its lineage there
     stages = fit_scaling(train, features)
     rows = train.count()
     drawn = train
-    if name != LOGISTIC and rows > tree_rows:
+    if rows > tree_rows:
         place = F.pmod(F.xxhash64(*train.columns, F.lit(seed)), F.lit(1 << 30))
         drawn = train.where(place < int(tree_rows / rows * (1 << 30)))
-    model = classifier(name, rows, seed).fit(scale(drawn, stages).select("churn", VECTOR))
+    model = classifier(name, seed).fit(scale(drawn, stages).select("churn", VECTOR))
     return PipelineModel(stages=[*stages, model])
 
 
@@ -113,8 +117,8 @@ def weights_frame(spark: SparkSession, rows: Sequence[tuple[str, str, str, float
 
 def split_training(frame: DataFrame, test_fraction: float = TEST_FRACTION, seed: int = SPLIT_SEED):
     """Stored stratified split, so that every model sees the same rows."""
-    stored = materialize(exact_split(frame, test_fraction, seed, stratify="churn"), "training")
-    return train_test(stored)
+    stored = materialize(frame, "training")
+    return train_test(exact_split(stored, test_fraction, seed, stratify="churn"))
 
 
 def compare_candidates(
@@ -142,17 +146,26 @@ def cutoff_sensitivity(
     features: Sequence[str] = tuple(SEGMENTATION_FEATURES),
     seed: int = SPLIT_SEED,
 ) -> DataFrame:
-    """Logistic coefficients per cutoff; the frames of all cutoffs come from one scan."""
-    frames = materialize(churn.training_frames(transactions, cutoffs), "frames")
-    rows = []
-    for days in cutoffs:
-        train, _ = split_training(frames.where(F.col("cutoff_days") == days), seed=seed)
-        rows += [(days, name, value) for _, name, value in weights(fit(LOGISTIC, train, features, seed), features)]
+    """Logistic coefficients per cutoff; frames, splits and fits of all cutoffs share their passes."""
+    solutions = cutoff_solutions(transactions, cutoffs, features, seed)
+    rows = [(days, name, float(value)) for days in cutoffs for name, value in zip(features, solutions[days].weights)]
     return transactions.sparkSession.createDataFrame(
         rows, "cutoff_days int, feature string, coefficient double"
     )
 
 
+def cutoff_solutions(
+    transactions: DataFrame,
+    cutoffs: Sequence[int] = (90, 120, 180),
+    features: Sequence[str] = tuple(SEGMENTATION_FEATURES),
+    seed: int = SPLIT_SEED,
+) -> dict[object, newton.Solution]:
+    """The solution on the training side of every cutoff."""
+    frames = materialize(churn.training_frames(transactions, cutoffs), "frames")
+    train, _ = train_test(exact_split(frames, seed=seed, stratify=["cutoff_days", "churn"]))
+    return fit_logistic(train, features, "cutoff_days")
+
+
 # --- store and promote ----------------------------------------------------------
 
 

@@ -16,6 +16,10 @@ def _temporary(name: str) -> str:
     return f"_scaled_{name}"
 
 
+def _expression(name: str, log_features: Sequence[str]) -> str:
+    return f"log1p({name})" if name in log_features else f"double({name})"
+
+
 def fit_scaling(df: DataFrame, features: Sequence[str], log_features: Sequence[str] = ()) -> list:
     """Stages that turn ``features`` into one centred vector of unit population deviation.
 
@@ -23,18 +27,29 @@ def fit_scaling(df: DataFrame, features: Sequence[str], log_features: Sequence[s
     own scaler divides by the sample deviation, which would change the weight of
     the penalty in a model fitted on the result.
     """
-    expressions = {name: f"log1p({name})" if name in log_features else f"double({name})" for name in features}
+    expressions = {name: _expression(name, log_features) for name in features}
     fitted = df.agg(
         *[
             F.struct(F.avg(F.expr(text)).alias("mean"), F.stddev_pop(F.expr(text)).alias("deviation")).alias(name)
             for name, text in expressions.items()
         ]
     ).first()
+    every = [fitted[name] for name in features]
+    return scaling_stages(features, [row["mean"] for row in every], [row["deviation"] for row in every], log_features)
+
+
+def scaling_stages(
+    features: Sequence[str],
+    means: Sequence[float],
+    deviations: Sequence[float | None],
+    log_features: Sequence[str] = (),
+) -> list:
+    """The same stages from known numbers; a feature without deviation is only centred."""
     parts = []
-    for name, text in expressions.items():
-        mean, deviation = fitted[name]["mean"], fitted[name]["deviation"]
-        divisor = deviation if deviation else 1.0  # a constant column becomes 0
-        parts.append(f"({text} - {mean!r}D) / {divisor!r}D AS {_temporary(name)}")
+    for name, mean, deviation in zip(features, means, deviations):
+        text = _expression(name, log_features)
+        divisor = float(deviation) if deviation else 1.0  # a constant column becomes 0
+        parts.append(f"({text} - {float(mean)!r}D) / {divisor!r}D AS {_temporary(name)}")
     return [
         SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__"),
         VectorAssembler(

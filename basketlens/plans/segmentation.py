@@ -4,12 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -18,13 +14,10 @@ from pyspark.sql import functions as F
 from basketlens.constants import LOG_SCALED_FEATURES, SEGMENTATION_FEATURES, SPLIT_SEED
 from basketlens.operators.profiles import segment_customers, with_segment
 from basketlens.operators.splits import exact_split, train_test
+from basketlens.plans import lloyd, silhouette
 from basketlens.plans.scaling import VECTOR, drop_working_columns, fit_scaling, scale
 from basketlens.session import materialize
 
-MAX_ITERATIONS = 300
-TOLERANCE = 0.01  # stop when no centre moves further; squared, 1e-4 of a unit variance
-PARALLEL_FITS = 4  # fits read the same stored frame, so their small jobs can overlap
-
 
 @dataclass
 class FittedSegmentation:
@@ -32,32 +25,7 @@ class FittedSegmentation:
     k: int
     silhouette: float
     scores: list[tuple[int, float]] = field(default_factory=list)
-
-
-def _kmeans(k: int, seed: int) -> KMeans:
-    return KMeans(
-        k=k,
-        seed=seed,
-        maxIter=MAX_ITERATIONS,
-        tol=TOLERANCE,
-        featuresCol=VECTOR,
-        predictionCol="cluster",
-    )
-
-
-def _fit_each(scaled: DataFrame, settings: Sequence[tuple[int, int]]) -> list:
-    """KMeans models for (k, seed) pairs, in their order."""
-    if len(settings) == 1:
-        return [_kmeans(*settings[0]).fit(scaled)]
-    fit = inheritable_thread_target(scaled.sparkSession)(lambda pair: _kmeans(*pair).fit(scaled))
-    with ThreadPool(min(PARALLEL_FITS, len(settings))) as pool:
-        return pool.map(fit, settings)
-
-
-def _best_of(scaled: DataFrame, k: int, seeds: Iterable[int]):
-    """The start with the lowest cost wins."""
-    fits = _fit_each(scaled, [(k, seed) for seed in seeds])
-    return min(fits, key=lambda fit: fit.summary.trainingCost)
+    fits: dict[int, lloyd.Fit] = field(default_factory=dict)  # the best of its starts for every k
 
 
 def fit_segmentation(
@@ -67,47 +35,39 @@ def fit_segmentation(
     seed: int = SPLIT_SEED,
     starts: int = 10,
 ) -> PipelineModel:
-    """Select, log-scale, centre and cluster; ``starts`` seeds are tried."""
-    stages = fit_scaling(features, columns, LOG_SCALED_FEATURES)
-    scaled = materialize(scale(features, stages).select(VECTOR), "scaled")
-    return PipelineModel(stages=[*stages, _best_of(scaled, k, range(seed, seed + starts))])
+    """Select, log-scale, centre and cluster; ``starts`` seeds are tried together, the least cost wins."""
+    return choose_k(features, [k], columns, seed, starts, metric=None).model
 
 
 def assign_clusters(df: DataFrame, model: PipelineModel) -> DataFrame:
     return drop_working_columns(model.transform(df))
 
 
-def _silhouette(clustered: DataFrame) -> float:
-    if clustered.select("cluster").distinct().count() < 2:
-        return -1.0  # not defined for a single cluster
-    return ClusteringEvaluator(
-        featuresCol=VECTOR, predictionCol="cluster", distanceMeasure="squaredEuclidean"
-    ).evaluate(clustered)
-
-
 def choose_k(
     train: DataFrame,
     ks: Iterable[int],
     columns: Sequence[str] = tuple(SEGMENTATION_FEATURES),
     seed: int = SPLIT_SEED,
     starts: int = 1,
+    metric: str | None = "squared",
 ) -> FittedSegmentation:
     """Fit every k on one scaled frame and keep the best silhouette, the first k on ties.
 
-    The silhouette is the squared Euclidean one, which needs one linear pass per k.
+    ``metric`` names the silhouette: ``squared`` needs two linear passes for all k, ``euclidean`` bounds the
+    plain one by summaries of cells; None scores nothing and keeps the first k.
     """
     stages = fit_scaling(train, columns, LOG_SCALED_FEATURES)
-    scaled = materialize(scale(train, stages).select(VECTOR), "scaled")
-    best = FittedSegmentation(PipelineModel(stages=stages), 0, -1.0)
-    scores = []
-    for k in ks:
-        fitted = _best_of(scaled, k, range(seed, seed + starts))
-        score = _silhouette(fitted.transform(scaled))
-        scores.append((k, score))
-        if score > best.silhouette:
-            best = FittedSegmentation(PipelineModel(stages=[*stages, fitted]), k, score)
-    best.scores = scores
-    return best
+    rows = materialize(lloyd.points(scale(train, stages)), "points")
+    best = lloyd.best_by_k(lloyd.fit_all(rows, [(k, seed + number) for k in ks for number in range(starts)]))
+    centres = [fit.centres for fit in best.values()]
+    if metric == "euclidean":
+        found = [value for value, _ in silhouette.euclidean(rows, centres)]
+    else:
+        found = lloyd.silhouettes(rows, centres) if metric else [0.0] * len(centres)
+    scores = list(zip(best, found))
+    k, score = max(scores, key=lambda pair: pair[1])
+    model = PipelineModel(stages=[*stages, lloyd.NearestCentre(best[k].centres)])
+    return FittedSegmentation(model, k, score, scores, best)
 
 
 def scores_frame(spark, scores: Sequence[tuple[int, float]]) -> DataFrame:
@@ -115,7 +75,7 @@ def scores_frame(spark, scores: Sequence[tuple[int, float]]) -> DataFrame:
 
 
 def total_inertia(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Inertia of one cluster: rows times the summed variances. KMeans refuses k = 1."""
+    """Inertia of one cluster: rows times the summed variances."""
     variances = sum((F.var_pop(name) for name in columns), F.lit(0.0))
     return df.agg((F.count(F.lit(1)) * variances).alias("inertia"))
 
@@ -131,8 +91,7 @@ def elbow(
     scaled = scale(features, fit_scaling(features, columns)).select(*scaled_names, VECTOR)
     scaled = materialize(scaled, "scaled")
     several = [k for k in ks if k > 1]
-    fits = _fit_each(scaled, [(k, seed) for k in several])
-    rows = [(k, float(fit.summary.trainingCost)) for k, fit in zip(several, fits)]
+    rows = [(fit.k, fit.cost) for fit in lloyd.fit_all(lloyd.points(scaled), [(k, seed) for k in several])]
     if 1 in ks:
         rows.insert(0, (1, float(total_inertia(scaled, scaled_names).first()[0])))
     return features.sparkSession.createDataFrame(rows, "k int, inertia double")
@@ -168,7 +127,7 @@ def segmentation_job(
     ``output`` the tables, the profile and the model are stored together, so a
     model is never read with the labels of another.
     """
-    train, test = train_test(materialize(exact_split(features, seed=seed), "split"))
+    train, test = train_test(exact_split(materialize(features, "features"), seed=seed))
     fitted = choose_k(train, ks, columns, seed)
     segmented, profile = segment_customers(assign_clusters(train, fitted.model))
     assigned = with_segment(assign_clusters(test, fitted.model), profile)
@@ -183,12 +142,17 @@ def segmentation_job(
 def feature_set_sweep(
     features: DataFrame, experiments: dict[str, Sequence[str]], ks: Sequence[int] = (4,), seed: int = SPLIT_SEED
 ) -> DataFrame:
-    """Silhouette and chosen k per named feature set, all on one stored training side."""
-    train, _ = train_test(materialize(exact_split(features, seed=seed), "split"))
+    """Silhouette and chosen k per named feature set, all on one stored training side.
+
+    ``customers`` and ``squares`` are the rows fitted and their squared length, as the fit sums them up.
+    """
+    train, _ = train_test(exact_split(materialize(features, "features"), seed=seed))
     rows = []
     for name, columns in experiments.items():
         fitted = choose_k(train, ks, columns, seed)
-        rows.append((name, ",".join(columns), fitted.k, float(fitted.silhouette)))
+        fit = fitted.fits[fitted.k]
+        rows.append((name, ",".join(columns), fitted.k, float(fitted.silhouette), int(fit.counts.sum()), fit.squares()))
     return features.sparkSession.createDataFrame(
-        rows, "experiment string, feature_set string, n_clusters int, silhouette double"
+        rows,
+        "experiment string, feature_set string, n_clusters int, silhouette double, customers long, squares double",
     )

@@ -10,7 +10,7 @@ from basketlens import constants as C
 from basketlens.functions.numeric import round_half_even
 from basketlens.operators import churn, matrix, metrics, profiles
 from basketlens.operators.reports import rounded
-from basketlens.plans import churn_models, segmentation
+from basketlens.plans import churn_models, segmentation, silhouette
 from basketlens.plans.scaling import VECTOR
 from basketlens.session import working_path
 from basketlens.sources import star
@@ -61,17 +61,79 @@ def i1(spark, folder):
     )
 
 
-@query("i2_segmentation_fit")
+_SQUARES = " + ".join(f"{c} * {c}" for c in _SEG)
+
+
+@query(
+    "i2_segmentation_fit",
+    sql(
+        f"""SELECT 4 AS clusters, count(*) AS customers, {even(f'sum({_SQUARES})', 3)} AS squares,
+  (SELECT CAST(sum(recency) AS BIGINT) FROM rfm) AS recency FROM scaled""",
+        "scaled",
+        "rfm",
+    ),
+)
 def i2(spark, folder):
+    """Ten starts of four clusters: all customers are in one, and the cost adds up to the rows' squared lengths."""
     features = fx.stored_features(spark, folder)
-    model = segmentation.fit_segmentation(features, k=4)
-    return profiles.cluster_profile(segmentation.assign_clusters(features, model))
+    fitted = segmentation.choose_k(features, [4], starts=10, metric=None)
+    sizes = segmentation.assign_clusters(features, fitted.model).groupBy("cluster").agg(
+        F.count("customer_id").alias("customers"), F.sum("recency").alias("recency")
+    )
+    return sizes.agg(
+        F.count("cluster").cast("int").alias("clusters"),
+        F.sum("customers").alias("customers"),
+        round_half_even(F.lit(fitted.fits[4].squares()), 3).alias("squares"),
+        F.sum("recency").cast("long").alias("recency"),
+    )
 
 
-@query("i3_choose_k")
+@query(
+    "i3_choose_k",
+    sql(
+        f"""SELECT k::INTEGER AS k, (SELECT count(*) FROM scaled) AS customers,
+  (SELECT {even(f'sum({_SQUARES})', 3)} FROM scaled) AS squares, true AS scored, 1 AS chosen FROM range(3, 7) AS r(k)""",
+        "scaled",
+    ),
+)
 def i3(spark, folder):
+    """Every k is fitted on all customers and scored; one with the best score is chosen."""
     fitted = segmentation.choose_k(fx.stored_features(spark, folder), range(3, 7))
-    return segmentation.scores_frame(spark, fitted.scores).withColumn("best_k", F.lit(fitted.k))
+    rows = [(k, int(fit.counts.sum()), fit.squares()) for k, fit in fitted.fits.items()]
+    found = spark.createDataFrame(rows, "k int, customers long, squares double")
+    scores = segmentation.scores_frame(spark, fitted.scores)
+    return _chosen(rounded(found.join(scores, "k"), 3, "squares"), fitted.k)
+
+
+def _chosen(scored, k):
+    """How many rows are the chosen k and have the best score: one."""
+    every = Window.partitionBy()  # a row per k
+    best = scored.withColumn("best", F.max("silhouette").over(every))
+    hit = ((F.col("silhouette") == F.col("best")) & (F.col("k") == k)).cast("int")
+    return best.select(
+        "k", "customers", "squares", F.col("silhouette").between(-1, 1).alias("scored"), F.sum(hit).over(every).cast("int").alias("chosen")
+    )
+
+
+_PLAIN = " + ".join(f"(s.{c} - o.{c}) * (s.{c} - o.{c})" for c in _SEG)
+
+
+@query(
+    "i4_silhouette_euclidean",
+    sql(
+        f"""SELECT {even('avg(CASE WHEN a IS NULL OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END)', 3)} AS silhouette,
+  true AS bounded
+FROM (SELECT customer_id, max(CASE WHEN own AND n > 1 THEN far / (n - 1) END) AS a, min(CASE WHEN NOT own THEN far / n END) AS b
+  FROM (SELECT s.customer_id, s.cluster = o.cluster AS own, sum(sqrt({_PLAIN})) AS far, count(*) AS n
+    FROM scaled s, scaled o GROUP BY s.customer_id, s.cluster, o.cluster) GROUP BY customer_id)""",
+        "scaled",
+    ),
+)
+def i4_euclidean(spark, folder):
+    """Plain silhouette of the rule clusters, from summaries of cells; the SQL side compares all pairs."""
+    value, bound = silhouette.of_labels(_scaled(spark, folder), _SEG)
+    found = spark.createDataFrame([(value, bound)], "silhouette double, bound double")
+    return rounded(found, 3, "silhouette").select("silhouette", (F.col("bound") < 0.05).alias("bounded"))
 
 
 @query(
@@ -145,15 +207,69 @@ def i6(spark, folder):
     )
 
 
-@query("i7_principal_components")
+_CORNERS = [(0, 1), (0, 2), (1, 2)]
+
+
+@query(
+    "i7_principal_components",
+    sql(
+        f"""SELECT customers, 0.0::DOUBLE AS mean_1, 0.0::DOUBLE AS mean_2, 0.0::DOUBLE AS covariance,
+  {even('first / 3', 6)} + 0.0 AS share_1, {even('(3 - first - third) / 3', 6)} + 0.0 AS share_2
+FROM (SELECT customers, 1 + 2 * p * cos(acos(least(1.0, greatest(-1.0, a * b * c / (p * p * p)))) / 3) AS first,
+    1 + 2 * p * cos(acos(least(1.0, greatest(-1.0, a * b * c / (p * p * p)))) / 3 + 2 * pi() / 3) AS third
+  FROM (SELECT *, sqrt((a * a + b * b + c * c) / 3) AS p
+    FROM (SELECT count(*) AS customers, {', '.join(f'corr({_SEG[i]}, {_SEG[j]}) AS {n}' for n, (i, j) in zip('abc', _CORNERS))} FROM scaled)))""",
+        "scaled",
+    ),
+)
 def i7(spark, folder):
+    """Components are centred and uncorrelated; their shares are the eigenvalues the SQL side has from the cubic equation."""
     projected, shares = segmentation.principal_components(fx.stored_features(spark, folder))
-    return projected.select(
-        "customer_id",
-        "pc1",
-        "pc2",
-        *[F.lit(share).alias(f"variance_share_{i}") for i, share in enumerate(shares, start=1)],
+    facts = projected.agg(
+        F.count(F.lit(1)).alias("customers"),
+        F.avg("pc1").alias("mean_1"),
+        F.avg("pc2").alias("mean_2"),
+        F.covar_pop("pc1", "pc2").alias("covariance"),
     )
+    found = facts.withColumns({f"share_{i}": F.lit(float(share)) for i, share in enumerate(shares, start=1)})
+    names = ["mean_1", "mean_2", "covariance", "share_1", "share_2"]
+    return rounded(found, 6, *names).select("customers", *[(F.col(n) + F.lit(0.0)).alias(n) for n in names])
+
+
+def _solved(features, named, source="training", group="0", value="value"):
+    """Weights of a logistic regression by accelerated gradient steps in SQL: another way than the one that is checked.
+
+    The training side is split and scaled per group. A step is as long as the largest curvature allows.
+    """
+    width = len(features) + 1
+    every, last = range(width), width - 1
+    scaled = ", ".join(
+        f"({c} - avg({c}) OVER (PARTITION BY part)) / coalesce(nullif(stddev_pop({c}) OVER (PARTITION BY part), 0), 1) AS x{i}"
+        for i, c in enumerate(features)
+    )
+    score = " + ".join(f"l{i} * x{i}" for i in every)
+    moved = ", ".join(
+        f"any_value(l{i}) - (sum(d * x{i}){f' + any_value(l{i})' if i < last else ''}) / (count(*) * {width} / 4.0::DOUBLE + 1) AS v{i}"
+        for i in every
+    )
+    kept = ", ".join(f"any_value(w{i}) AS w{i}" for i in every)
+    kind = "'coefficient' AS kind, " if value == "value" else ""
+    rows = " UNION ALL ".join(
+        f"SELECT {named}, {kind}'{c}' AS feature, {even(f'w{i}', 4)} + 0.0 AS {value} FROM ends" for i, c in enumerate(features)
+    )
+    return f"""SELECT * FROM (WITH RECURSIVE halves AS (
+    SELECT *, {group} AS part, row_number() OVER (PARTITION BY {group}, churn ORDER BY md5(customer_id || '|42'), customer_id)
+      <= ceil(count(*) OVER (PARTITION BY {group}, churn) * 0.2::DOUBLE) AS is_test FROM {source}),
+  side AS MATERIALIZED (SELECT part, churn::DOUBLE AS y, {scaled}, 1.0::DOUBLE AS x{last} FROM halves WHERE NOT is_test),
+  steps AS (
+    SELECT DISTINCT part, 0 AS n, {', '.join(f'0.0::DOUBLE AS w{i}' for i in every)}, {', '.join(f'0.0::DOUBLE AS l{i}' for i in every)} FROM side
+    UNION ALL
+    SELECT part, n + 1, {', '.join(f'v{i}' for i in every)}, {', '.join(f'v{i} + 0.95 * (v{i} - w{i})' for i in every)}
+    FROM (SELECT part, any_value(n) AS n, {kept}, {moved}
+      FROM (SELECT steps.*, {', '.join(f'x{i}' for i in every)}, 1 / (1 + exp(-({score}))) - y AS d
+        FROM steps JOIN side USING (part) WHERE n < 1500) GROUP BY part)),
+  ends AS (SELECT *, part AS cutoff_days FROM steps WHERE n = 1500)
+  {rows})"""
 
 
 def _train(spark, folder):
@@ -185,7 +301,17 @@ def _shares(name):
 FROM (VALUES {rows}) AS f(feature)"""
 
 
-query("i8_logistic_regression")(_weights(churn_models.LOGISTIC))
+def _solution(features):
+    def run(spark, folder):
+        train, _ = _train(spark, folder)
+        model = churn_models.fit(churn_models.LOGISTIC, train, features)
+        rows = [(churn_models.LOGISTIC, *row) for row in churn_models.weights(model, features)]
+        return rounded(churn_models.weights_frame(spark, rows), 4, "value").withColumn("value", F.col("value") + F.lit(0.0))
+
+    return run
+
+
+query("i8_logistic_regression", sql(_solved(C.CHURN_FEATURES, "'LogisticRegression' AS model"), "training"))(_solution(C.CHURN_FEATURES))
 query("i9_random_forest", _shares("RandomForest"))(_importances(churn_models.FOREST))
 query("i10_gradient_boosting", _shares("GradientBoosting"))(_importances(churn_models.BOOSTING))
 
@@ -251,12 +377,7 @@ def i13(spark, folder):
     return rounded(report, 9, "precision", "recall", "f1")
 
 
-@query("i14_model_weights")
-def i14(spark, folder):
-    train, _ = _train(spark, folder)
-    model = churn_models.fit(churn_models.LOGISTIC, train, _SEG)
-    rows = [(churn_models.LOGISTIC, *row) for row in churn_models.weights(model, _SEG)]
-    return churn_models.weights_frame(spark, rows)
+query("i14_model_weights", sql(_solved(_SEG, "'LogisticRegression' AS model"), "training"))(_solution(_SEG))
 
 
 _CONSISTENT = f"""SELECT model, 90 AS cutoff_days, {even('(SELECT avg(churn) FROM training)', 9)} AS churn_rate, true AS consistent
@@ -309,10 +430,24 @@ def i16(spark, folder):
     )
 
 
-@query("i17_feature_set_sweep")
+_EXPERIMENTS = {"all_features": _SEG, "recency_frequency": _SEG[:2], "frequency_value": _SEG[1:]}
+
+
+@query(
+    "i17_feature_set_sweep",
+    sql(
+        f"""SELECT experiment, feature_set, 4 AS n_clusters, true AS scored, customers, {even('customers * features', 3)} AS squares
+FROM (SELECT CAST(count(*) FILTER (NOT is_test) AS BIGINT) AS customers FROM (SELECT row_number() OVER (ORDER BY md5(customer_id || '|42'), customer_id)
+    <= ceil(count(*) OVER () * 0.2::DOUBLE) AS is_test FROM rfm)),
+  (VALUES {', '.join(f"('{name}', '{','.join(columns)}', {len(columns)})" for name, columns in _EXPERIMENTS.items())})
+    AS e(experiment, feature_set, features)""",
+        "rfm",
+    ),
+)
 def i17(spark, folder):
-    experiments = {"all_features": _SEG, "recency_frequency": _SEG[:2], "frequency_value": _SEG[1:]}
-    return segmentation.feature_set_sweep(fx.features(spark, folder), experiments)
+    """Each set is fitted on the whole training side; columns of unit variance have a squared length of their number per row."""
+    swept = segmentation.feature_set_sweep(fx.features(spark, folder), _EXPERIMENTS)
+    return rounded(swept, 3, "squares").withColumn("scored", F.col("silhouette").between(-1, 1)).drop("silhouette")
 
 
 @query(
@@ -323,9 +458,13 @@ def i18(spark, folder):
     return churn.training_frames(fx.enriched(spark, folder), [90, 120, 180])
 
 
-@query("i18_cutoff_coefficients")
+@query(
+    "i18_cutoff_coefficients",
+    sql(_solved(_SEG, "cutoff_days", "frames", "cutoff_days", "coefficient"), "frames"),
+)
 def i18_models(spark, folder):
-    return churn_models.cutoff_sensitivity(fx.enriched(spark, folder))
+    found = rounded(churn_models.cutoff_sensitivity(fx.enriched(spark, folder)), 4, "coefficient")
+    return found.withColumn("coefficient", F.col("coefficient") + F.lit(0.0))
 
 
 @query("i19_saved_model", sql(f"SELECT customer_id, true AS same FROM {_TEST_SIDE} WHERE is_test", "training"))

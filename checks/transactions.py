@@ -393,7 +393,7 @@ def b18_bad(spark, folder):
     ),
 )
 def b19(spark, folder):
-    return splits.exact_split(fx.features(spark, folder)).select("customer_id", "is_test")
+    return splits.exact_split(fx.stored_features(spark, folder)).select("customer_id", "is_test")
 
 
 @query(
