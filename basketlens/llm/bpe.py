@@ -1,17 +1,20 @@
 """Byte-level BPE of texts of any length, by tree concatenation.
 
 A text is cut where the pre-tokenizer is sure to cut as well. A stretch without
-such a place (a long run of one class of characters) is cut in the middle, its
-parts are encoded in parallel, and neighbours are joined two by two: tokens
-around the join are encoded again in growing windows until the window's first
-and last token are tokens of the left and the right side. A sequence of tokens
-is the encoding of its bytes if every adjacent pair is, and then every adjacent
-pair lies in one of three encodings: left, window or right. So the join is exact.
+such a place (a long run of one class of characters) is cut in the middle of the
+run, where both halves of the pre-token are known for certain; parts are encoded
+in parallel and neighbours are joined two by two. A join concerns only the last
+pre-token of the left part and the first one of the right: tokens around it are
+encoded again as one piece, in growing windows, until the window's first and last
+token are tokens of the left and the right side. A sequence of tokens is the
+encoding of a pre-token if every adjacent pair is, and then every adjacent pair
+lies in one of three encodings: left, window or right. So the join is exact.
 """
 
 from __future__ import annotations
 
 import base64
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -36,6 +39,25 @@ _SURE = regex.compile(  # a place before white space after other text, or betwee
 )
 
 
+# The middle of eight characters of one class. Contractions have three letters at most, an apostrophe before
+# another one begins none, and of white space only the last character may go with what follows.
+_SAME = regex.compile(
+    r"(?<=\s{4})(?=\s{4})|(?<=\p{L}{4})(?=\p{L}{4})|(?<=\p{N}{4})(?=\p{N}{4})|(?<=[^\s\p{L}\p{N}]{4})(?=[^\s\p{L}\p{N}]{4})"
+)
+_NEAR = 64  # characters before the size wanted in which a place inside a run is looked for first
+_PIECES = regex.compile(PATTERN)
+
+
+@dataclass
+class Part:
+    """Tokens of a part, how many of them its first and its last pre-token have, and whether its start is a sure boundary."""
+
+    ids: list[int]
+    head: int
+    tail: int
+    sure: bool
+
+
 class Codec:
     """Encoder over ranked byte strings, with a decoder and named special tokens."""
 
@@ -68,6 +90,33 @@ class Codec:
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.whole.decode_batch(ids, skip_special_tokens=False)
 
+    def piece(self, body: bytes) -> list[int]:
+        """Tokens of bytes that lie within one pre-token."""
+        return self.fast._encode_single_piece(body)
+
+    def part(self, text: str, sure: bool) -> Part:
+        ids = self.encode(text)
+        pieces = [t for t in (self.split.split(text) if self.split else [text]) if t]
+        if not pieces:
+            return Part(ids, 0, 0, sure)
+        first = pieces[0] if pieces[0] in self.special else _PIECES.match(pieces[0]).group()
+        last = pieces[-1]
+        if last not in self.special:
+            for found in _PIECES.finditer(last):
+                pass
+            last = found.group()
+        return Part(ids, self._upto(ids, first), self._upto(ids[::-1], last), sure)
+
+    def _upto(self, ids: list[int], text: str) -> int:
+        """How many of the tokens hold the bytes of ``text``, which end with one of them."""
+        left, count = len(text.encode()), 0
+        while left > 0:
+            left -= len(self.bytes_of(ids[count : count + 1])[0])
+            count += 1
+        if left:
+            raise ValueError("tokens and pre-tokens do not end together")
+        return count
+
     def bytes_of(self, ids: list[int]) -> list[bytes]:
         return [self.named[i] if i in self.named else self.fast.decode_single_token_bytes(i) for i in ids]
 
@@ -79,21 +128,36 @@ def codec(ranks_file: str, tokenizer_file: str) -> Codec:
 
 
 def cut(text: str, special: tuple[str, ...] = (), size: int = PART) -> list[tuple[str, bool]]:
-    """Parts of at most ``size`` code points, each with whether its start is a sure boundary."""
+    """Parts of about ``size`` code points, each with whether its start is a sure boundary.
+
+    A part is longer only if no place near allows a cut.
+    """
     parts, at, sure = [], 0, True
     while len(text) - at > size:
-        near = at + size
-        sound = [m.start() for m in _SURE.finditer(text, at + size // 2, near + 1) if m.start() <= near]
-        place = _outside(text, special, sound[-1] if sound else near)
-        next_sure = bool(sound) or place != near
-        if place <= at:  # a special token longer than half a part
-            place, next_sure = at + len(next(t for t in special if text.startswith(t, at))), True
-        parts.append((text[at:place], sure))
-        at, sure = place, next_sure
+        place, next_sure = _place(text, at + size // 2, at + size)
+        kept = _outside(text, special, place)
+        if kept <= at < place:  # a special token longer than half a part
+            kept = at + len(next(t for t in special if text.startswith(t, at)))
+        if kept >= len(text):
+            break
+        parts.append((text[at:kept], sure))
+        at, sure = kept, next_sure or kept != place
     parts.append((text[at:], sure))
     return parts
 
 
+def _place(text: str, low: int, near: int) -> tuple[int, bool]:
+    """A place to cut and whether the pre-tokenizer cuts there: the last one up to ``near``, else the next one after it."""
+    sound = [m.start() for m in _SURE.finditer(text, low, near + 1) if m.start() <= near]
+    if sound:
+        return sound[-1], True
+    for at in range(near, max(low, near - _NEAR), -1):
+        if _SAME.match(text, at):
+            return at, False
+    found = [(m.start(), pattern is _SURE) for pattern in (_SURE, _SAME) if (m := pattern.search(text, near))]
+    return min(found, default=(len(text), True), key=lambda pair: pair[0])
+
+
 def _outside(text: str, special: tuple[str, ...], place: int) -> int:
     """``place``, or the start of the special token it lies in."""
     for token in special:
@@ -103,38 +167,38 @@ def _outside(text: str, special: tuple[str, ...], place: int) -> int:
     return place
 
 
-def join(encoder: Codec, left: list[int], right: list[int]) -> list[int]:
-    """Encoding of the run whose halves are ``left`` and ``right``, both inside one run of characters."""
+def merged(encoder: Codec, left: list[int], right: list[int]) -> list[int]:
+    """Tokens of the pre-token whose halves have the tokens ``left`` and ``right``."""
     width = WINDOW
     while True:
         a, b = left[-width:], right[:width]
+        seen = encoder.piece(b"".join(encoder.bytes_of(a + b)))
         whole = width >= len(left), width >= len(right)
-        pieces_left, pieces_right = encoder.bytes_of(a), encoder.bytes_of(b)
-        body = b"".join(pieces_left + pieces_right)
-        text = _text(body)
-        if text is not None:
-            seen = encoder.encode(text)
-            ends = whole[0] or seen[:1] == a[:1], whole[1] or seen[-1:] == b[-1:]
-            if all(ends) and len(seen) >= 2 or all(whole):
-                return left[: len(left) - len(a)] + seen + right[len(b) :]
+        ends = whole[0] or seen[0] == a[0], whole[1] or seen[-1] == b[-1]
+        if all(whole) or (all(ends) and len(seen) >= 2):
+            return left[: len(left) - len(a)] + seen + right[len(b) :]
         width *= 2
 
 
-def _text(body: bytes) -> str | None:
-    try:
-        return body.decode("utf-8")
-    except UnicodeDecodeError:  # the window begins or ends inside a character
-        return None
+def join(encoder: Codec, left: Part, right: Part) -> Part:
+    """The part that two neighbours make."""
+    if not left.ids or not right.ids:
+        return Part(left.ids + right.ids, left.head or right.head, right.tail or left.tail, left.sure)
+    if right.sure:
+        return Part(left.ids + right.ids, left.head, right.tail, left.sure)
+    piece = merged(encoder, left.ids[-left.tail :], right.ids[: right.head])
+    ids = left.ids[: -left.tail] + piece + right.ids[right.head :]
+    head = len(piece) if left.head == len(left.ids) else left.head
+    tail = len(piece) if right.tail == len(right.ids) else right.tail
+    return Part(ids, head, tail, left.sure)
 
 
-def tree(encoder: Codec, parts: list[tuple[list[int], bool]]) -> list[int]:
+def tree(encoder: Codec, parts: list[Part]) -> list[int]:
     """Concatenates neighbours two by two, level by level."""
     while len(parts) > 1:
-        pairs = []
-        for (a, sure), (b, sound) in zip(parts[::2], parts[1::2]):
-            pairs.append((a + b if sound else join(encoder, a, b), sure))
+        pairs = [join(encoder, a, b) for a, b in zip(parts[::2], parts[1::2])]
         parts = pairs + ([parts[-1]] if len(parts) % 2 else [])
-    return parts[0][0] if parts else []
+    return parts[0].ids if parts else []
 
 
 def encode(docs: DataFrame, ranks_file: str, tokenizer_file: str, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -142,8 +206,8 @@ def encode(docs: DataFrame, ranks_file: str, tokenizer_file: str, text: str = "t
 
     A null text counts as empty and has no tokens. Rows with the same key stay
     separate. Texts longer than ``PART`` become rows of parts that any task may
-    encode; the parts of one text then meet in one task, which holds the tokens
-    of that text only.
+    encode, equal texts once for all their rows; the parts of one text then meet
+    in one task, which holds the tokens of that text only.
     """
     base = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     kind = docs.schema[key].dataType.simpleString()
@@ -160,12 +224,11 @@ def encode(docs: DataFrame, ranks_file: str, tokenizer_file: str, text: str = "t
 
     def cut_texts(batch: pa.RecordBatch):
         special = tuple(codec(ranks_file, tokenizer_file).special)
-        for at, (row, t) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("_row", "_text")))):
+        for row, t in zip(*(batch.column(c).to_pylist() for c in ("_row", "_text"))):
             parts = cut(t, special)
             for low in range(0, len(parts), 64):
                 some = parts[low : low + 64]
                 yield {
-                    "_key": pa.concat_arrays([batch.column("_key").slice(at, 1)] * len(some)),
                     "_row": [row] * len(some),
                     "part": list(range(low, low + len(some))),
                     "sure": [sure for _, sure in some],
@@ -174,36 +237,33 @@ def encode(docs: DataFrame, ranks_file: str, tokenizer_file: str, text: str = "t
 
     def part_ids(batch: pa.RecordBatch):
         encoder = codec(ranks_file, tokenizer_file)
-        ids = [encoder.encode(t) for t in batch.column("_text").to_pylist()]
+        found = [encoder.part(t, sure) for t, sure in zip(*(batch.column(c).to_pylist() for c in ("_text", "sure")))]
         yield {
-            **{c: batch.column(c) for c in ("_key", "_row", "part", "sure")},
-            "ids": [np.array(i, "<u4").tobytes() for i in ids],
+            **{c: batch.column(c) for c in ("_row", "part", "sure")},
+            "head": [one.head for one in found],
+            "tail": [one.tail for one in found],
+            "ids": [np.array(one.ids, "<u4").tobytes() for one in found],
         }
 
     def joined(batch: pa.RecordBatch):
         encoder = codec(ranks_file, tokenizer_file)
         for at in range(len(batch)):
-            parts = batch.column("parts").slice(at, 1).to_pylist()[0]
-            one = {p["part"]: p for p in parts}  # equal rows bring the same parts
-            lists = [(np.frombuffer(one[i]["ids"], "<u4").tolist(), one[i]["sure"]) for i in range(len(one))]
-            ids, again = tree(encoder, lists), len(parts) // len(one)
-            yield {
-                "_key": pa.concat_arrays([batch.column("_key").slice(at, 1)] * again),
-                "ids": [np.array(ids, "<u4").tobytes()] * again,
-                "n_tokens": [len(ids)] * again,
-            }
-
-    out = f"_key {kind}, ids binary, n_tokens bigint"
-    short = map_batches(base.where(~long), short_ids, out)
+            rows = batch.column("parts").slice(at, 1).to_pylist()[0]
+            parts = [Part(np.frombuffer(r["ids"], "<u4").tolist(), r["head"], r["tail"], r["sure"]) for r in rows]
+            ids = tree(encoder, parts)
+            yield {"_row": batch.column("_row").slice(at, 1), "ids": [np.array(ids, "<u4").tobytes()], "n_tokens": [len(ids)]}
+
+    short = map_batches(base.where(~long), short_ids, f"_key {kind}, ids binary, n_tokens bigint")
     rows = base.where(long).withColumn("_row", F.sha2("_text", 256))
-    parts = map_batches(rows, cut_texts, f"_key {kind}, _row string, part int, sure boolean, _text string")
-    dealt = parts.repartition(F.col("_row"), F.col("part"))
-    encoded = map_batches(dealt, part_ids, f"_key {kind}, _row string, part int, sure boolean, ids binary")
-    grouped = encoded.groupBy("_key", "_row").agg(
-        F.array_sort(F.collect_list(F.struct("part", "sure", "ids"))).alias("parts")
+    parts = map_batches(rows.select("_row", "_text"), cut_texts, "_row string, part int, sure boolean, _text string")
+    once = parts.dropDuplicates(["_row", "part"])  # deals parts out to all tasks
+    encoded = map_batches(once, part_ids, "_row string, part int, sure boolean, head int, tail int, ids binary")
+    grouped = encoded.groupBy("_row").agg(
+        F.array_sort(F.collect_list(F.struct("part", "sure", "head", "tail", "ids"))).alias("parts")
     )
-    long_ids = map_batches(grouped.select("_key", "parts"), joined, out)
-    return short.unionByName(long_ids).withColumnRenamed("_key", key)
+    long_ids = map_batches(grouped, joined, "_row string, ids binary, n_tokens bigint")
+    found = rows.select("_key", "_row").join(long_ids, "_row").select("_key", "ids", "n_tokens")
+    return short.unionByName(found).withColumnRenamed("_key", key)
 
 
 def decode(encoded: DataFrame, ranks_file: str, tokenizer_file: str, key: str = "doc_id") -> DataFrame:

@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -26,10 +28,37 @@ def test_cut_and_joined_parts_equal_the_whole(library, size):
     for text in TEXTS:
         parts = bpe.cut(text, tuple(encoder.special), size)
         assert "".join(t for t, _ in parts) == text
-        ids = bpe.tree(encoder, [(encoder.encode(t), sure) for t, sure in parts])
+        ids = bpe.tree(encoder, [encoder.part(t, sure) for t, sure in parts])
         assert ids == library.encode(text, add_special_tokens=False).ids, text[:40]
 
 
+# a run that is cut, and white space after it that goes with different neighbours
+SPACED = ["\u5b57" * 32768 + "\u6f22" * n + "\u2028 \u2028zend of text" for n in (9, 41)]
+
+
+@pytest.mark.parametrize("text", SPACED + ["q" * 32766 + "'" * 9 + "s" * 40_000, " " * 32769 + "x" + "\n" * 70_000 + "y"])
+def test_windows_at_the_default_size(library, text):
+    encoder = bpe.codec(RANKS, FILE)
+    parts = bpe.cut(text, tuple(encoder.special))
+    assert len(parts) > 1
+    assert bpe.tree(encoder, [encoder.part(t, sure) for t, sure in parts]) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_mixed_runs_at_random(library):
+    """Runs of white space, letters, numbers, marks, apostrophes and special tokens of random lengths, at small sizes."""
+    pick = random.Random(11)
+    pieces = ["\u2028", "\u3000", "\u00a0", " ", "\u200b", "\n", "\t", "a", "Z", "\u5b57", "\u0e01", "1", "'", "'s", "'ll", "!", "<|endoftext|>", "\u0301", "\x1c"]
+    encoder = bpe.codec(RANKS, FILE)
+    for _ in range(1500):
+        some = pick.sample(pieces, pick.randrange(1, 5))
+        text = "".join(pick.choice(some) * pick.choice([1, 1, 2, 3, 9, 40, 90]) for _ in range(pick.randrange(2, 12)))
+        for size in (16, 33, 100):
+            parts = bpe.cut(text, tuple(encoder.special), size)
+            assert "".join(t for t, _ in parts) == text
+            ids = bpe.tree(encoder, [encoder.part(t, sure) for t, sure in parts])
+            assert ids == library.encode(text, add_special_tokens=False).ids, (text, size)
+
+
 def check(docs, library):
     texts = {}
     for r in docs.collect():
