@@ -1,6 +1,7 @@
 """Names, thresholds and texts that results depend on."""
 
 # --- transactions -----------------------------------------------------------
+CAMEL_BOUNDARY = "(?<=[a-z])(?=[A-Z])"  # where a name gets an underscore
 CANCELLATION_PREFIX = "C"
 MISSING_INVOICE_TEXT = "nan"  # a null invoice number still counts as one invoice
 DEFAULT_SHOPPING_HOUR = 12

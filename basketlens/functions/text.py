@@ -7,18 +7,16 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from basketlens.constants import CANCELLATION_PREFIX, MISSING_INVOICE_TEXT
-
-_CAMEL_BOUNDARY = re.compile(r"(?<=[a-z])(?=[A-Z])")
+from basketlens.constants import CAMEL_BOUNDARY, CANCELLATION_PREFIX, MISSING_INVOICE_TEXT
 
 
 def snake_name(name: str) -> str:
-    return _CAMEL_BOUNDARY.sub("_", name).lower()
+    return re.sub(CAMEL_BOUNDARY, "_", name).lower()
 
 
 def snake_text(col: Column) -> Column:
     """The same rule for values: ``CamelCase`` to ``camel_case``."""
-    return F.lower(F.regexp_replace(col, r"(?<=[a-z])(?=[A-Z])", "_"))
+    return F.lower(F.regexp_replace(col, CAMEL_BOUNDARY, "_"))
 
 
 def invoice_text(col: Column) -> Column:

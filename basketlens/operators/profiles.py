@@ -56,8 +56,7 @@ def label_profile(profile: DataFrame) -> DataFrame:
 
 
 def with_segment(clustered: DataFrame, labelled: DataFrame) -> DataFrame:
-    """One profile row per cluster, so the profile side is small by construction."""
-    return clustered.join(F.broadcast(labelled.select("cluster", "segment")), "cluster", "left")
+    return clustered.join(labelled.select("cluster", "segment"), "cluster", "left")
 
 
 def segment_customers(clustered: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -73,7 +72,7 @@ def default_labels(spark) -> DataFrame:
 def label_predictions(predictions: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """Label predicted clusters; one without a label is ``Unknown``."""
     labels = default_labels(predictions.sparkSession) if labels is None else labels
-    joined = predictions.join(F.broadcast(labels.select("cluster", "segment")), "cluster", "left")
+    joined = predictions.join(labels.select("cluster", "segment"), "cluster", "left")
     return joined.select(
         *predictions.columns, F.coalesce("segment", F.lit(UNKNOWN_SEGMENT)).alias("label")
     )

@@ -36,16 +36,6 @@ TRANSACTIONS = _schema(
     ("country", _text),
 )
 
-ENRICHED_TRANSACTIONS = T.StructType(
-    TRANSACTIONS.fields
-    + _schema(
-        ("order_value", _double),
-        ("invoice_year", _int),
-        ("invoice_month", _int),
-        ("invoice_hour", _int),
-    ).fields
-)
-
 RFM = _schema(
     ("customer_id", _text),
     ("recency", _int),

@@ -71,3 +71,22 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = working_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop file system and path object of a folder, wherever it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if it is not there."""
+    files, target = _file_system(spark, path)
+    if not files.exists(target):
+        return []
+    return sorted(entry.getPath().getName() for entry in files.listStatus(target) if entry.isDirectory())
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    files, target = _file_system(spark, path)
+    files.delete(target, True)

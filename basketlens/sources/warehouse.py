@@ -1,4 +1,4 @@
-"""Table scans with a projection, and reads over JDBC."""
+"""Table scans with a projection."""
 
 from __future__ import annotations
 
@@ -24,14 +24,3 @@ def project_transactions(raw: DataFrame) -> DataFrame:
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return project_transactions(spark.table(name))
-
-
-def read_jdbc(spark: SparkSession, query: str, options: dict[str, str]) -> DataFrame:
-    """Result of a query on an external database.
-
-    ``options`` carry the URL, driver and credentials, and for large results
-    ``partitionColumn``, ``lowerBound``, ``upperBound`` and ``numPartitions``.
-    The driver jar has to be on the class path.
-    """
-    source = {"dbtable": f"({query}) AS q"} if "partitionColumn" in options else {"query": query}
-    return spark.read.format("jdbc").options(**options, **source).load()

@@ -6,17 +6,21 @@ from collections.abc import Callable
 from functools import reduce
 from operator import and_
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketlens.operators.cleaning import clean_keep_returns
-from basketlens.streaming.changelog import BATCH, write_batch
+from basketlens.session import remove_folder, working_path
+from basketlens.streaming import changelog
+from basketlens.streaming.changelog import write_batch
 
-# Fields that tell two sales lines apart; the feed has no row ids of its own.
 SALTS = 16
 DAY = "invoice_day"
+COMPACT_EVERY = 16  # batches
+_HASHES = ["_line_h", "_line_g"]
+
+# Fields that tell two sales lines apart; the feed has no row ids of its own.
 LINE_KEYS = ["invoice_no", "stock_code", "customer_id", "invoice_date", "quantity", "unit_price"]
 
 
@@ -43,50 +47,81 @@ def _without_copies(lines: DataFrame) -> DataFrame:
     return salted.dropDuplicates([*LINE_KEYS, "_salt"]).drop("_salt").dropDuplicates(LINE_KEYS)
 
 
-def without_replays(base: str) -> Callable[[DataFrame, int], None]:
-    """Batch writer: lines that were not stored before go to ``base/lines``, by day and batch.
+def without_replays(base: str, compact_every: int = COMPACT_EVERY) -> Callable[[DataFrame, int], None]:
+    """Batch writer: lines that were not stored before go to ``base/lines``.
 
-    A batch is compared with the stored lines of its own days, however long ago
-    they came, so nothing is dropped for being late. Lines without a date can
-    not be compared and go to ``base/quarantine``. ``base/counts`` has, per
-    batch, the rows that came, were kept, were repeated and were set aside.
+    ``base/index`` has the day and a 128-bit hash of every stored line, sorted by day. A batch compares
+    its own hashes with those of its days, however long ago they came, so nothing is dropped for being
+    late; only on a hit are the stored lines of the days in question read, and compared by value. Lines
+    and index are tables of batches that are combined every ``compact_every`` batches, so a batch opens
+    a bounded number of files. Lines without a date can not be compared and go to ``base/quarantine``.
+    ``base/counts`` has, per batch, the rows that came, were kept, were repeated and were set aside.
     """
 
     def write(lines: DataFrame, batch: int) -> None:
         spark = lines.sparkSession
+        if batch <= changelog.combined_upto(spark, f"{base}/index"):
+            return  # run again after it was combined, which is done only when all its tables are written
         lines.persist()
         dated = lines.where(F.col("invoice_date").isNotNull()).withColumn(DAY, F.to_date("invoice_date"))
-        fresh = _without_copies(dated)
-        stored = _stored(spark, base, batch, [r[0] for r in dated.select(DAY).distinct().collect()])
-        if stored is not None:
-            known = stored.select(*[F.col(name).alias(f"_{name}") for name in LINE_KEYS])
-            same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in LINE_KEYS]
-            fresh = fresh.join(known, reduce(and_, same), "left_anti")
-        (
-            fresh.withColumn(BATCH, F.lit(batch).cast("long"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(DAY, BATCH)
-            .parquet(f"{base}/lines")
-        )
+        working = working_path(spark, "fresh")
+        once = _without_copies(dated).withColumns(_hashes())
+        once.write.parquet(working)
+        fresh = spark.read.schema(once.schema).parquet(working)
+        kept = _new_lines(spark, base, fresh, batch)
+        write_batch(kept.drop(*_HASHES).sortWithinPartitions(DAY), batch, f"{base}/lines")
+        write_batch(kept.select(DAY, *_HASHES).sortWithinPartitions(DAY, *_HASHES), batch, f"{base}/index")
         write_batch(lines.where(F.col("invoice_date").isNull()), batch, f"{base}/quarantine")
-        kept = spark.read.parquet(f"{base}/lines").where(F.col(BATCH) == batch).count() if dated.take(1) else 0
+        stored = spark.read.parquet(f"{base}/index").where(F.col(changelog.BATCH) == batch).count()
         total, aside = lines.count(), lines.where(F.col("invoice_date").isNull()).count()
-        counts = spark.createDataFrame([(total, kept, total - kept - aside, aside)], "rows long, kept long, repeated long, aside long")
+        counts = spark.createDataFrame(
+            [(total, stored, total - stored - aside, aside)], "rows long, kept long, repeated long, aside long"
+        )
         write_batch(counts, batch, f"{base}/counts")
         lines.unpersist()
+        remove_folder(spark, working)
+        if batch % compact_every == compact_every - 1:
+            for table in ("lines", "index"):  # the index last: it says which batches are final
+                changelog.compact(spark, f"{base}/{table}", _by_day)
 
     return write
 
 
-def _stored(spark: SparkSession, base: str, batch: int, days: list) -> DataFrame | None:
-    """Stored lines of the given days from batches before this one."""
+def _hashes() -> dict[str, Column]:
+    """Two hashes over the fields that tell lines apart and over which of them are null."""
+    absent = [F.col(name).isNull() for name in LINE_KEYS]
+    return {name: F.xxhash64(F.lit(seed), *LINE_KEYS, *absent) for seed, name in enumerate(_HASHES)}
+
+
+def _by_day(rows: DataFrame) -> DataFrame:
+    """Rows in ranges of days, so that a read of some days skips the rest by the files' own statistics."""
+    order = [DAY, *(name for name in _HASHES if name in rows.columns)]
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
+def _new_lines(spark: SparkSession, base: str, fresh: DataFrame, batch: int) -> DataFrame:
+    """The lines of ``fresh`` that no batch before has stored."""
+    index = _before(spark, f"{base}/index", batch)
+    span = fresh.agg(F.min(DAY), F.max(DAY)).first()
+    if index is None or span[0] is None:
+        return fresh
+    known = index.where(F.col(DAY).between(*span))
+    days = [row[0] for row in fresh.join(known, [DAY, *_HASHES], "left_semi").select(DAY).distinct().collect()]
+    if not days:
+        return fresh
+    stored = _before(spark, f"{base}/lines", batch).where(F.col(DAY).isin(days))
+    stored = stored.select(*[F.col(name).alias(f"_{name}") for name in LINE_KEYS])
+    same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in LINE_KEYS]
+    return fresh.join(stored, reduce(and_, same), "left_anti")
+
+
+def _before(spark: SparkSession, path: str, batch: int) -> DataFrame | None:
+    """Rows of the batches before ``batch``; None if there is none."""
     try:
-        lines = spark.read.parquet(f"{base}/lines")
-    except AnalysisException:  # the first batch
+        return changelog.read_partials(spark, path, before=batch)
+    except ValueError:  # the first batch
         return None
-    return lines.where(F.col(DAY).isin(days) & (F.col(BATCH) < batch))
 
 
 def stored_lines(spark: SparkSession, base: str) -> DataFrame:
-    return spark.read.parquet(f"{base}/lines").drop(DAY, BATCH)
+    return changelog.read_partials(spark, f"{base}/lines").drop(DAY)

@@ -1,12 +1,13 @@
 """Drift monitors over event-time windows.
 
 A micro-batch adds its counts per window; the counts of all batches are summed
-when the monitor is read. No row is too late, so there is no watermark.
+when the monitor is read. No row is too late, so there is no watermark, and none
+is left out: rows without a date are counted as a window of their own.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketlens.constants import BASELINE_CANCEL_RATE, DRIFT_CANCEL_RATE
@@ -18,13 +19,16 @@ ALERT_ABOVE = (BASELINE_CANCEL_RATE + DRIFT_CANCEL_RATE) / 2
 
 
 def cancellation_counts(lines: DataFrame, width: str = "1 day") -> DataFrame:
-    """Rows and cancelled rows of one batch per tumbling window; rows without a date have none."""
+    """Rows and cancelled rows of one batch per tumbling window; those without a date are the window without a start."""
     cancelled = F.count_if(is_cancellation(F.col("invoice_no")))
-    return (
-        lines.groupBy(F.window("invoice_date", width).alias("window"))
-        .agg(F.count(F.lit(1)).alias("rows"), cancelled.alias("cancelled"))
-        .select(F.col("window.start").alias("window_start"), "rows", "cancelled")
-    )
+    return _per_window(lines, F.window("invoice_date", width), [F.count(F.lit(1)).alias("rows"), cancelled.alias("cancelled")])
+
+
+def _per_window(lines: DataFrame, window: Column, sums: list[Column]) -> DataFrame:
+    """Sums per window, and of the rows that lie in none because they have no date, if there are any."""
+    dated = lines.groupBy(window.alias("window")).agg(*sums).withColumn("window_start", F.col("window.start")).drop("window")
+    undated = lines.where(F.col("invoice_date").isNull()).groupBy(F.lit(None).cast("timestamp").alias("window_start")).agg(*sums)
+    return dated.unionByName(undated.withColumn("window_start", F.col("window_start").cast(dated.schema["window_start"].dataType)))
 
 
 def combined_counts(counts: DataFrame) -> DataFrame:
@@ -46,18 +50,14 @@ def cancellation_rate(counts: DataFrame, alert_above: float = ALERT_ABOVE) -> Da
 def sales_sums(lines: DataFrame, width: str = "7 days", slide: str = "1 day") -> DataFrame:
     """Sums over the sales of one batch per sliding window; prices are summed as decimals."""
     price = F.col("unit_price").cast("decimal(20,6)")
-    return (
-        lines.where(F.col("quantity") > 0)
-        .groupBy(F.window("invoice_date", width, slide).alias("window"))
-        .agg(
-            F.count(F.lit(1)).alias("sales"),
-            F.sum("quantity").alias("units"),
-            F.max("quantity").alias("largest"),
-            F.sum(price).cast("decimal(38,6)").alias("price_sum"),
-            F.max(price).alias("highest"),
-        )
-        .select(F.col("window.start").alias("window_start"), "sales", "units", "largest", "price_sum", "highest")
-    )
+    sums = [
+        F.count(F.lit(1)).alias("sales"),
+        F.sum("quantity").alias("units"),
+        F.max("quantity").alias("largest"),
+        F.sum(price).cast("decimal(38,6)").alias("price_sum"),
+        F.max(price).alias("highest"),
+    ]
+    return _per_window(lines.where(F.col("quantity") > 0), F.window("invoice_date", width, slide), sums)
 
 
 def combined_sums(sums: DataFrame) -> DataFrame:

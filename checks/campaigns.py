@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
+from basketlens.constants import LOG_SCALED_FEATURES, SEGMENTATION_FEATURES
 from basketlens.operators import campaign, profiles, similarity
 from basketlens.sources import star
+from basketlens.plans import jobs, registry, segmentation
+from basketlens.plans.lloyd import NearestCentre
+from basketlens.plans.scaling import fit_scaling, scale
+from basketlens.session import working_path
+import checks.models  # noqa: F401  defines scaled and centres
 import checks.reporting  # noqa: F401  defines last_product and last_score
 from checks import fixtures as fx
 from checks.registry import query
-from checks.sql import define, label, sql
+from checks.sql import define, even, label, sql
 
 _DEFAULT_ROWS = """(1, '85123A', 'WHITE HANGING HEART T-LIGHT HOLDER', 2.55::DOUBLE, 0.85::DOUBLE),
   (2, '22423', 'REGENCY CAKESTAND 3 TIER', 12.75::DOUBLE, 0.72::DOUBLE), (3, '47566', 'PARTY BUNTING', 4.95::DOUBLE, 0.68::DOUBLE)"""
@@ -202,6 +209,49 @@ def j4(spark, folder):
     return campaign.customer_profiles(labelled, fx.transactions(spark, folder), log)
 
 
+define(
+    "model_clusters",
+    f"""SELECT customer_id, cluster FROM (SELECT s.customer_id, c.cluster, row_number() OVER (PARTITION BY s.customer_id
+  ORDER BY {' + '.join(f'(s.{c} - c.{c}) * (s.{c} - c.{c})' for c in SEGMENTATION_FEATURES)}, c.cluster) AS place
+FROM scaled s, centres c) WHERE place = 1""",
+    "scaled",
+    "centres",
+)
+define(
+    "model_profile",
+    f"""SELECT cluster, {even('avg(recency)', 2)} AS recency, {even('avg(frequency)', 2)} AS frequency,
+  {even('avg(avg_order_value)', 2)} AS avg_order_value FROM rfm JOIN model_clusters USING (customer_id) GROUP BY cluster""",
+    "rfm",
+    "model_clusters",
+)
+
+
+@query(
+    "j4_profile_by_model",
+    sql(
+        f"""SELECT {PROFILE.replace('segment', 'model_segment AS segment')} FROM profiles JOIN (
+  SELECT customer_id, {label()} AS model_segment FROM model_clusters JOIN model_profile USING (cluster)) USING (customer_id)""",
+        "profiles",
+        "model_clusters",
+        "model_profile",
+    ),
+)
+def j4_by_model(spark, folder):
+    """Profiles with the segment of stored models: centres at the rule clusters' means, named by their profile."""
+    features, log = fx.features_and_churn_log(spark, folder)
+    stages = fit_scaling(features, SEGMENTATION_FEATURES, LOG_SCALED_FEATURES)
+    names = [f"_scaled_{name}" for name in SEGMENTATION_FEATURES]
+    means = scale(profiles.rule_cluster(features), stages).groupBy("cluster").agg(*[F.avg(n).alias(n) for n in names])
+    centres = [row[1:] for row in means.orderBy("cluster").collect()]
+    model = PipelineModel(stages=[*stages, NearestCentre(centres)])
+    _, profile = profiles.segment_customers(segmentation.assign_clusters(features, model))
+    output = working_path(spark, "models")
+    parts = {jobs.SEGMENTATION: registry.saved(model), jobs.PROFILE: registry.stored(profile)}
+    registry.publish(spark, output, 1, parts, 0.0)
+    named = jobs.with_model_segment(spark, features, output)
+    return campaign.customer_profiles(named, fx.transactions(spark, folder), log)
+
+
 @query("j5_profile_or_default", sql(f"SELECT {PROFILE} FROM asked_profiles", "asked_profiles"))
 def j5(spark, folder):
     return _asked_profiles(spark, folder)

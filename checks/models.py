@@ -10,9 +10,9 @@ from basketlens import constants as C
 from basketlens.functions.numeric import round_half_even
 from basketlens.operators import churn, matrix, metrics, profiles
 from basketlens.operators.reports import rounded
-from basketlens.plans import churn_models, segmentation, silhouette
+from basketlens.plans import churn_models, jobs, registry, segmentation, silhouette
 from basketlens.plans.scaling import VECTOR
-from basketlens.session import working_path
+from basketlens.session import materialize, working_path
 from basketlens.sources import star
 from checks import fixtures as fx
 from checks.registry import query
@@ -505,3 +505,23 @@ def i21(spark, folder):
     churn_models.churn_job(fx.enriched(spark, folder), output=output)
     chosen = spark.read.parquet(f"{output}/production").agg(F.max("version")).scalar()
     return _consistent(spark.read.parquet(f"{output}/model_metrics")).withColumn("production", chosen)
+
+
+@query(
+    "i21_models_in_use",
+    sql("SELECT customer_id, 1 AS model_version, true AS named, true AS refused FROM rfm", "rfm"),
+)
+def i21_models(spark, folder):
+    """Both models of a training job are in use, a worse version does not replace them, and they name every customer."""
+    output, bought = working_path(spark, "models"), materialize(fx.transactions(spark, folder), "transactions")
+    jobs.training_job(bought, output, 1)
+    refused = not registry.publish(spark, output, 2, {}, -1.0)
+    named = jobs.with_model_segment(spark, fx.stored_features(spark, folder), output)
+    scored = churn_models.predict(named, registry.load(spark, output, jobs.CHURN))
+    known = [row["segment"] for row in registry.table(spark, output, jobs.PROFILE).collect()]
+    return scored.select(
+        "customer_id",
+        F.lit(registry.in_use(spark, output).model_version).alias("model_version"),
+        (F.col("segment").isin(known) & F.col("churn_probability").between(0, 1)).alias("named"),
+        F.lit(refused).alias("refused"),
+    )

@@ -6,7 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from basketlens import constants as C
-from basketlens.functions import numeric, temporal, text
+from basketlens.functions import numeric, temporal, text, vectors
 from basketlens.operators import campaign, churn, cleaning, enrich, matrix, profiles, reports, rfm, splits
 from basketlens.schemas import TRANSACTIONS
 from basketlens.session import materialize, working_path
@@ -553,7 +553,7 @@ def g2(spark, folder):
   invoice_year, invoice_month, invoice_hour, invoice_date - INTERVAL 30 DAY AS month_before,
   {even("unit_price / 3", 2)} AS third, round(ln(1 + unit_price), 9) AS logged,
   unit_price / nullif(quantity - 10, 0) AS divided, printf('%.2f', unit_price) AS money,
-  md5(invoice_no || '_' || stock_code) AS request_id FROM lines""",
+  printf('%.1f%%', unit_price / 3 * 100) AS share, md5(invoice_no || '_' || stock_code) AS request_id FROM lines""",
         "lines",
     ),
 )
@@ -574,5 +574,23 @@ def h(spark, folder):
         F.round(F.log1p(price), 9).alias("logged"),
         numeric.ratio(price, F.col("quantity") - 10).alias("divided"),
         text.money_text(price).alias("money"),
+        text.percent_text(price / 3).alias("share"),
         logs.request_id(F.col("invoice_no"), F.col("stock_code")).alias("request_id"),
     )
+
+
+@query(
+    "h_vector_functions",
+    """SELECT vec_id, round(list_dot_product(v, w), 6) AS dot, round(sqrt(list_dot_product(v, v)), 6) AS norm,
+  round(list_cosine_similarity(v, w), 6) AS cosine
+FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, list_reverse(CAST(embedding AS DOUBLE[])) AS w FROM embeddings)""",
+)
+def h_vectors(spark, folder):
+    """Every vector with itself read backwards."""
+    here, there = F.col("embedding"), F.reverse("embedding")
+    return star.table(spark, folder, "embeddings").select(
+        "vec_id",
+        F.round(vectors.dot(here, there), 6).alias("dot"),
+        F.round(vectors.norm(here), 6).alias("norm"),
+        F.round(vectors.cosine(here, there), 6).alias("cosine"),
+    )

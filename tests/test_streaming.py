@@ -156,3 +156,16 @@ def test_appends_add_up(spark, folder):
         logs.append_churn_predictions(log, path, job)
     stored = logs.read_churn_predictions(spark, path)
     assert stored.count() == 2 * log.count() and stored.columns == CHURN_LOG.names
+
+
+def test_lines_without_a_date_are_counted_apart(spark):
+    folder = Folder(spark)
+    undated = [("C8", "s", "d", 2, None, 4.0, "a", "x"), ("9", "s", "d", 2, None, 4.0, "a", "x")]
+    folder.arrive(line("1", 2), *undated)
+    folder.arrive(line("2", 2), undated[1])
+    rates = changelog.collect(folder.stream(), f"{folder.base}/r", monitors.cancellation_counts)
+    found = {r.window_start: (r.rows, r.cancelled) for r in monitors.cancellation_rate(changelog.read_partials(spark, rates)).collect()}
+    assert found[None] == (3, 1) and sum(n for n, _ in found.values()) == 5
+    drift = changelog.collect(folder.stream(), f"{folder.base}/d", monitors.sales_sums)
+    found = {r.window_start: r.sales for r in monitors.volume_drift(changelog.read_partials(spark, drift)).collect()}
+    assert found[None] == 3 and len(found) == 8
