@@ -12,9 +12,11 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  pa.compute
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,18 +56,44 @@ def has_letter(words: list[str]) -> bool:
     return any(c.isalpha() for w in words for c in w)
 
 
+class Terms:
+    """Terms as one packed Arrow array, with a row of scores for each."""
+
+    def __init__(self, terms: pa.Array, scores: np.ndarray):
+        self.terms, self.scores = terms, scores
+
+    @cached_property
+    def at(self) -> dict[str, int]:
+        """Row of every term; built where texts are scored and never sent."""
+        return {term: i for i, term in enumerate(self.terms.to_pylist())}
+
+    def __getstate__(self) -> dict:
+        return {"terms": self.terms, "scores": self.scores}
+
+
 class Model:
-    """Scores of words and n-grams in every language, as rows of two arrays."""
-
-    def __init__(self, languages: list[str], words: dict[str, np.ndarray], grams: dict[str, np.ndarray]):
-        self.languages = languages
-        self.word_at = {w: i for i, w in enumerate(words)}
-        self.gram_at = {g: i for i, g in enumerate(grams)}
-        n = len(languages)
-        self.word_scores = np.array([*words.values()]).reshape(len(words), n)
-        self.gram_scores = np.array([*grams.values()]).reshape(len(grams), n)
+    """Scores of words and n-grams in every language."""
+
+    def __init__(self, languages: list[str], words: Terms, grams: Terms):
+        self.languages, self.words, self.grams = languages, words, grams
         self.seen: dict[str, np.ndarray] = {}
 
+    @property
+    def word_at(self) -> dict[str, int]:
+        return self.words.at
+
+    @property
+    def gram_at(self) -> dict[str, int]:
+        return self.grams.at
+
+    @property
+    def word_scores(self) -> np.ndarray:
+        return self.words.scores
+
+    @property
+    def gram_scores(self) -> np.ndarray:
+        return self.grams.scores
+
     def unknown(self, word: str) -> np.ndarray:
         """Scores of a word that no language knows; the last ones are remembered."""
         found = self.seen.get(word)
@@ -135,10 +163,12 @@ def fit(labelled: DataFrame, text: str = "text", language: str = "lang") -> Mode
         "lang", "n", F.explode(F.concat(*[_grams(F.col("_word"), n) for n in range(1, LONGEST + 1)])).alias("term")
     )
     grams = grams.groupBy("lang", "term").agg(F.sum("n").alias("n"))
-    word_rows = _largest(words, [], WORDS).collect()
-    gram_rows = _largest(grams.where(F.trim("term") != ""), [F.length("term")], GRAMS).collect()
-    languages = sorted({r["lang"] for r in word_rows})
-    return Model(languages, _scores(word_rows, languages), _scores(gram_rows, languages))
+    word_rows = _largest(words, [], WORDS).toArrow()
+    languages = sorted(word_rows.column("lang").unique().to_pylist())
+    word_terms = _scores(word_rows, languages)
+    del word_rows
+    gram_rows = _largest(grams.where(F.trim("term") != ""), [F.length("term")], GRAMS).toArrow()
+    return Model(languages, word_terms, _scores(gram_rows, languages))
 
 
 def _grams(word: Column, n: int) -> Column:
@@ -157,13 +187,14 @@ def _largest(counts: DataFrame, more: list[Column], most: int) -> DataFrame:
     return ranked.where(F.col("place") <= most).select("lang", "term", "n", "total")
 
 
-def _scores(rows: list, languages: list[str]) -> dict[str, np.ndarray]:
-    at = {name: i for i, name in enumerate(languages)}
-    scores: dict[str, np.ndarray] = {}
-    for r in rows:
-        vector = scores.setdefault(r["term"], np.full(len(languages), PENALTY))
-        vector[at[r["lang"]]] = min(PENALTY, -np.log10(r["n"] / r["total"]))
-    return scores
+def _scores(rows: pa.Table, languages: list[str]) -> Terms:
+    """Scores from the counted terms, without a Python object per term."""
+    coded = pa.compute.dictionary_encode(rows.column("term").combine_chunks())
+    at = pa.compute.index_in(rows.column("lang"), pa.array(languages, rows.column("lang").type)).to_numpy()
+    scores = np.full((len(coded.dictionary), len(languages)), PENALTY)
+    share = rows.column("n").to_numpy() / rows.column("total").to_numpy()
+    scores[coded.indices.to_numpy(), at] = np.minimum(PENALTY, -np.log10(share))
+    return Terms(coded.dictionary, scores)
 
 
 def _predicted(docs: DataFrame, model: Model, text: str, keep: list[str]) -> DataFrame:
