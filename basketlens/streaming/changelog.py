@@ -24,6 +24,7 @@ from basketlens.session import remove_folder, subfolders
 
 BATCH = "batch_id"
 FANOUT = 4  # runs of one level that are combined into one of the next
+FILE_ROWS = 1_000_000  # rows that go into a file of a run, about
 
 
 def write_batch(rows: DataFrame, batch: int, path: str) -> None:
@@ -94,8 +95,9 @@ def compact(spark: SparkSession, path: str, combine: Callable[[DataFrame], DataF
         some = known[1 - FANOUT :] + some
         del known[1 - FANOUT :]
         level += 1
-    parts = [*(spark.read.parquet(run.folder) for run in some), fresh.where(F.col(BATCH) <= last).drop(BATCH)]
-    known.append(_written(combine(_union(parts)), path, some[0].low if some else upto + 1, last, level))
+    parts = _union([*(spark.read.parquet(run.folder) for run in some), fresh.where(F.col(BATCH) <= last).drop(BATCH)])
+    files = max(1, -(-parts.count() // FILE_ROWS))
+    known.append(_written(combine(parts).coalesce(files), path, some[0].low if some else upto + 1, last, level))
     stamped = [(*vars(run).values(), dt.datetime.now(dt.timezone.utc)) for run in known]
     manifest.commit(spark.createDataFrame(stamped, f"{_RUN}, written timestamp"), log, version)
 

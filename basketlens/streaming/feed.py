@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from functools import reduce
 from operator import and_
@@ -47,14 +48,16 @@ def _without_copies(lines: DataFrame) -> DataFrame:
     return salted.dropDuplicates([*LINE_KEYS, "_salt"]).drop("_salt").dropDuplicates(LINE_KEYS)
 
 
-def without_replays(base: str, compact_every: int = COMPACT_EVERY) -> Callable[[DataFrame, int], None]:
+def without_replays(
+    base: str, compact_every: int = COMPACT_EVERY, grace: dt.timedelta = dt.timedelta(hours=1)
+) -> Callable[[DataFrame, int], None]:
     """Batch writer: lines that were not stored before go to ``base/lines``.
 
     ``base/index`` has the day and a 128-bit hash of every stored line, sorted by day. A batch compares
     its own hashes with those of its days, however long ago they came, so nothing is dropped for being
     late; only on a hit are the stored lines of the days in question read, and compared by value. Lines
-    and index are tables of batches that are combined every ``compact_every`` batches, so a batch opens
-    a bounded number of files. Lines without a date can not be compared and go to ``base/quarantine``.
+    and index are tables of batches that are combined every ``compact_every`` batches; what was combined
+    is removed after ``grace``, so a batch lists and opens a bounded number of files. Lines without a date can not be compared and go to ``base/quarantine``.
     ``base/counts`` has, per batch, the rows that came, were kept, were repeated and were set aside.
     """
 
@@ -83,6 +86,7 @@ def without_replays(base: str, compact_every: int = COMPACT_EVERY) -> Callable[[
         if batch % compact_every == compact_every - 1:
             for table in ("lines", "index"):  # the index last: it says which batches are final
                 changelog.compact(spark, f"{base}/{table}", _by_day)
+                changelog.clean(spark, f"{base}/{table}", grace)
 
     return write
 
