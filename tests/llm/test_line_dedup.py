@@ -53,6 +53,15 @@ def test_any_number_of_batches(spark, batches):
     assert sorted(map(tuple, lines.without_common_lines(docs, batches=batches).collect())) == one
 
 
+def test_keys_beyond_ascii(spark):
+    """Upper case counts only within A-Z; also where a lower case is shorter, longer or within ASCII."""
+    forms = ["Kelvin \u212a k", "kelvin k \u212a", "KELVIN \u212a K", "\u0130stanbul", "i\u0307stanbul", "STRASSE \u00df", "strasse \u1e9e", "\u03a3\u03c3\u03c2 A", "\u03c3\u03a3\u03c2 a", "\u00c9T\u00c9", "\u00e9T\u00e9", "\u00c9t\u00c9 ", "plain", "PLAIN"]
+    rows = [(i, "\n".join(form for at, form in enumerate(forms) if (i >> (at % 4)) & 1), "en", "a") for i in range(64)]
+    rows += [(100 + i, form, "en", "a") for i, form in enumerate(forms * 2)]
+    for least in (2, 5, 33, 40):
+        check(frame(spark, rows), min_documents=least)
+
+
 def test_few_hot_keys_and_many_met_in_the_join(spark, monkeypatch):
     monkeypatch.setattr(lines, "HOT_KEYS", 2)
     check(corpus(spark), min_documents=4)
