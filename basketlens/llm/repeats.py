@@ -11,6 +11,12 @@ occurrences. A repeat longer than a context comes as a chain of overlapping ones
 
 Contexts that are equal as a whole are collapsed before they are moved and again
 where they meet; only the one in the smallest document goes on.
+
+Most text repeats nothing, so hashes go first: every window also has a marker,
+the smallest hash of its ``MARKER`` byte strings, and equal windows have equal
+markers. Documents learn which of their markers another document has, and only
+windows with such a marker are sent as contexts. A false hit of a hash costs a
+context; no window is left out.
 """
 
 from __future__ import annotations
@@ -29,11 +35,12 @@ from basketlens.llm.frames import RUN_BYTES, map_batches
 
 WINDOW = 50
 GRAM = 12
-_SPAN = WINDOW - GRAM + 1  # places of an anchor in a window
+MARKER = 26
 _PIECE = 1 << 19  # windows of a document that are handled at once
 _FLUSH = 16 << 20  # bytes of text whose contexts a task collapses and sends together
 _LEVEL = 6  # of compression: contexts are most of what is shuffled
-_GROUPED = 20_000  # contexts whose suffix array is built at once; those of one anchor stay together
+_GROUPED = 20_000  # contexts whose windows are compared at once; those of one anchor stay together
+_SUFFIXES = 200_000  # suffixes sorted at once; those that begin with the same window stay together
 _VALUES = mix(np.arange(5001, 5257, dtype=np.uint64))
 _LAST = np.iinfo(np.int64).max  # stands for a missing doc_id: after all others
 
@@ -82,24 +89,57 @@ def _hashes(body: np.ndarray, at: np.ndarray, length: np.ndarray, begin: np.ndar
     return out
 
 
-def _contexts(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, length, place of the anchor) of the contexts of one text: every window is in exactly one."""
-    out = []
+def _least(values: np.ndarray, count: int) -> np.ndarray:
+    """Minima of all runs of ``count`` values."""
+    reach = 1
+    while reach < count:  # runs of 2, 4, ... and at last ``count``
+        step = min(reach, count - reach)
+        values = np.minimum(values[:-step], values[step:])
+        reach += step
+    return values
+
+
+def _pieces(data: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(place of the first window, bytes, sums for range hashes) of overlapping parts: every window is in one."""
     for low in range(0, len(data) - WINDOW + 1, _PIECE):
         part = data[low : low + _PIECE + WINDOW - 1]
-        sums = _range_sums(part)
+        yield low, part, _range_sums(part)
+
+
+def _markers(part: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    """Marker of every window of a part."""
+    first = np.arange(len(part) - MARKER + 1)
+    return _least(_range_hash(sums, first, first + MARKER), WINDOW - MARKER + 1)
+
+
+def _runs(values: np.ndarray) -> np.ndarray:
+    """Places where a run of equal values begins."""
+    return np.concatenate([[0], np.flatnonzero(values[1:] != values[:-1]) + 1])
+
+
+def _contexts(data: np.ndarray, shared: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, length, place of the anchor) of the contexts of one text.
+
+    Every window is in exactly one, or in none if its marker is not ``shared``.
+    """
+    out = []
+    for low, part, sums in _pieces(data):
         first = np.arange(len(part) - GRAM + 1)
         hashes = _range_hash(sums, first, first + GRAM)
         # hash and place in one number, so that the leftmost of equal ones is the minimum
-        least = (hashes & ~np.uint64((1 << 20) - 1)) | first.astype(np.uint64)
-        reach = 1
-        while reach < _SPAN:  # minima of runs of 2, 4, ... and at last _SPAN
-            step = min(reach, _SPAN - reach)
-            least = np.minimum(least[:-step], least[step:])
-            reach += step
-        anchor = (least & np.uint64((1 << 20) - 1)).astype(np.int64)
-        begin = np.concatenate([[0], np.flatnonzero(np.diff(anchor)) + 1])
-        end = np.concatenate([begin[1:], [len(anchor)]]) - 1 + WINDOW
+        placed = (hashes & ~np.uint64((1 << 20) - 1)) | first.astype(np.uint64)
+        anchor = (_least(placed, WINDOW - GRAM + 1) & np.uint64((1 << 20) - 1)).astype(np.int64)
+        group = 2 * anchor
+        if shared is not None:
+            marker = _markers(part, sums)
+            begin = _runs(marker)
+            known = np.isin(mix(marker[begin]).astype(np.uint32), shared)
+            group += np.repeat(known, np.diff(np.append(begin, len(marker))))
+        begin = _runs(group)
+        end = np.append(begin[1:], len(group)) - 1 + WINDOW
+        if shared is not None:
+            sent = group[begin] % 2 == 1
+            begin, end = begin[sent], end[sent]
         out.append((begin + low, end - begin, anchor[begin] - begin))
     if not out:
         return (np.zeros(0, np.int64),) * 3
@@ -187,15 +227,19 @@ def _collapse(entries: Entries) -> tuple[np.ndarray, np.ndarray]:
     return order[~repeated], order[repeated]
 
 
-def _repeated_windows(entries: Entries) -> tuple[np.ndarray, np.ndarray]:
-    """(entry, offset) of all windows with a byte string that another window has, too."""
+def _repeated_windows(entries: Entries) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(entry, offset) of all windows with a byte string that another window has, too.
+
+    They come in lists of about ``_SUFFIXES`` that keep equal windows together,
+    and with them all suffixes with a common prefix of a window or more.
+    """
     entry, offset, key = entries.windows()
     order = np.argsort(key)
     same = key[order][1:] == key[order][:-1]
-    twice = np.zeros(len(key), bool)
-    twice[order[1:][same]] = True
-    twice[order[:-1][same]] = True
-    return entry[twice], offset[twice]
+    order = order[np.append(same, False) | np.append(False, same)] if len(order) else order
+    for some in _together(order, key[order], _SUFFIXES):
+        some = np.sort(some)
+        yield entry[some], offset[some]
 
 
 def _suffix_array(entries: Entries, entry: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -245,14 +289,12 @@ def _intervals(common: np.ndarray, doc: np.ndarray, before: np.ndarray) -> list[
 
 def _maximal(entries: Entries) -> Iterator[tuple[np.ndarray, np.ndarray, int, int]]:
     """(entries, offsets, length, smallest document) of every maximal repeat, with all occurrences."""
-    entry, offset = _repeated_windows(entries)
-    if not len(entry):
-        return
-    order, common = _suffix_array(entries, entry, offset)
-    entry, offset = entry[order], offset[order]
-    byte = np.where(offset > 0, entries.body[np.maximum(entries.at[entry] + offset - 1, 0)].astype(np.int64), -1)
-    for first, end, length, least in _intervals(common, entries.doc[entry], byte):
-        yield entry[first:end], offset[first:end], length, least
+    for entry, offset in _repeated_windows(entries):
+        order, common = _suffix_array(entries, entry, offset)
+        entry, offset = entry[order], offset[order]
+        byte = np.where(offset > 0, entries.body[np.maximum(entries.at[entry] + offset - 1, 0)].astype(np.int64), -1)
+        for first, end, length, least in _intervals(common, entries.doc[entry], byte):
+            yield entry[first:end], offset[first:end], length, least
 
 
 def _covered(entries: Entries) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -267,7 +309,7 @@ def _covered(entries: Entries) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     shared[order[1:][same]] = True
     shared[order[:-1][same]] = True
     order = order[shared[order]]
-    for group in _by_anchor(order, anchor[order]):
+    for group in _together(order, anchor[order], _GROUPED):
         rows = keep[group]
         some = entries.take(rows)
         low, high = np.full(len(some), _LAST), np.full(len(some), -1)
@@ -280,13 +322,13 @@ def _covered(entries: Entries) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def _by_anchor(rows: np.ndarray, anchor: np.ndarray) -> Iterator[np.ndarray]:
-    """``rows``, sorted by their anchors, in lists of about ``_GROUPED`` that keep equal anchors together."""
+def _together(rows: np.ndarray, key: np.ndarray, size: int) -> Iterator[np.ndarray]:
+    """``rows``, sorted by their keys, in lists of about ``size`` that keep equal keys together."""
     low = 0
     while low < len(rows):
-        high = low + _GROUPED
+        high = low + size
         if high < len(rows):
-            high = int(np.searchsorted(anchor, anchor[high - 1], side="right"))
+            high = int(np.searchsorted(key, key[high - 1], side="right"))
         yield rows[low:high]
         low = high
 
@@ -319,8 +361,47 @@ def _batch(fields: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in fields], schema=fields)
 
 
+def _dealt(hashes: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(bucket, rows) by the upper bits of scrambled hashes."""
+    bucket = ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    for number in np.flatnonzero(np.diff(cuts)):
+        yield int(number), order[cuts[number] : cuts[number + 1]]
+
+
+def _flushed(batches: Iterator[pa.RecordBatch], take, flush) -> Iterator[pa.RecordBatch]:
+    """``flush`` of what ``take`` makes of rows, as often as ``_FLUSH`` bytes of text have been taken."""
+    parts, size = [], 0
+    for batch in batches:
+        data, offsets = byte_rows(batch.column("text"))
+        for row in range(len(batch)):
+            body = data[offsets[row] : offsets[row + 1]]
+            parts += take(batch, row, body)
+            size += len(body)
+            if size >= _FLUSH:
+                yield from flush(parts)
+                parts, size = [], 0
+    if parts:
+        yield from flush(parts)
+
+
 def _sent(docs: DataFrame, buckets: int, collapse: bool) -> DataFrame:
-    """Rows of packed contexts per bucket, and of ranges that are decided within a task."""
+    """Rows of packed contexts per bucket, and of ranges that are decided within a task.
+
+    With a column ``shared`` only contexts of those markers are sent.
+    """
+
+    def take(batch: pa.RecordBatch, row: int, body: np.ndarray) -> list:
+        shared = None
+        if "shared" in batch.schema.names:
+            shared = batch.column("shared")[row].values.to_numpy().view(np.uint32)
+        start, length, gram = _contexts(body, shared)
+        n = len(start)
+        if not n:
+            return []
+        doc, mark = batch.column("doc")[row].as_py(), batch.column("mark")[row].as_py()
+        return [([np.full(n, doc), np.full(n, mark), start, length, gram], _gather(body, start, length))]
 
     def flush(parts: list) -> Iterator[pa.RecordBatch]:
         entries = _joined(parts)
@@ -330,36 +411,82 @@ def _sent(docs: DataFrame, buckets: int, collapse: bool) -> DataFrame:
             yield _batch(_SENT_FIELDS, bucket=ranges["doc"] % buckets, **ranges)
             entries = entries.take(keep)
         # scrambled again: anchors are minima, so their own hashes are small
-        bucket = ((mix(entries.anchors()) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        for number in np.flatnonzero(np.diff(cuts)):
-            some = entries.take(order[cuts[number] : cuts[number + 1]])
-            yield _batch(_SENT_FIELDS, bucket=[int(number)], packed=[some.packed()])
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, size = [], 0
-        for batch in batches:
-            data, offsets = byte_rows(batch.column("text"))
-            ids, marks = batch.column("doc").to_pylist(), batch.column("mark").to_pylist()
-            for row in range(len(batch)):
-                body = data[offsets[row] : offsets[row + 1]]
-                start, length, gram = _contexts(body)
-                n = len(start)
-                if n:
-                    parts.append(([np.full(n, ids[row]), np.full(n, marks[row]), start, length, gram], _gather(body, start, length)))
-                size += len(body)
-                if size >= _FLUSH:
-                    yield from flush(parts)
-                    parts, size = [], 0
-        if parts:
-            yield from flush(parts)
+        for number, rows in _dealt(mix(entries.anchors()), buckets):
+            yield _batch(_SENT_FIELDS, bucket=[number], packed=[entries.take(rows).packed()])
+
+    return docs.mapInArrow(lambda batches: _flushed(batches, take, flush), _SENT)
+
+
+_SHARED_FIELDS = pa.schema([("bucket", pa.int32()), ("packed", pa.binary()), ("id", pa.int64()), ("marker", pa.int32())])
+
+
+def _packed_markers(ids: np.ndarray, hashes: np.ndarray) -> bytes:
+    """Distinct ids, how often each comes, and 40 bits of every hash; the bucket holds the other bits."""
+    order = np.argsort(ids, kind="stable")
+    ids, hashes = ids[order], hashes[order]
+    begin = _runs(ids)
+    counts = np.diff(np.append(begin, len(ids)))
+    parts = [np.array([len(begin), len(ids)], np.int64), np.diff(ids[begin], prepend=0), counts.astype(np.uint32)]
+    parts += [hashes.astype(np.uint32), (hashes >> np.uint64(32)).astype(np.uint8)]
+    return zstandard.compress(b"".join(x.tobytes() for x in parts), 1)
+
+
+def _unpacked_markers(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    raw = zstandard.decompress(packed)
+    n_ids, n = np.frombuffer(raw, np.int64, 2)
+    gaps = np.frombuffer(raw, np.int64, n_ids, 16)
+    counts = np.frombuffer(raw, np.uint32, n_ids, 16 + 8 * n_ids)
+    low = np.frombuffer(raw, np.uint32, n, 16 + 12 * n_ids)
+    high = np.frombuffer(raw, np.uint8, offset=16 + 12 * n_ids + 4 * n)
+    return np.repeat(np.cumsum(gaps), counts), high.astype(np.uint64) << np.uint64(32) | low
+
+
+def _in_two(ids: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(ids, hashes) of those that two ids have, then one (id, hash) of every hash."""
+    order = np.lexsort((ids, hashes))
+    ids, hashes = ids[order], hashes[order]
+    new = np.ones(len(ids), bool)
+    new[1:] = (ids[1:] != ids[:-1]) | (hashes[1:] != hashes[:-1])
+    ids, hashes = ids[new], hashes[new]
+    begin = _runs(hashes)
+    counts = np.diff(np.append(begin, len(hashes)))
+    twice = np.repeat(counts > 1, counts)
+    return ids[twice], hashes[twice], ids[begin], hashes[begin]
+
+
+def _shared(named: DataFrame, partitions: int, buckets: int) -> DataFrame:
+    """``id, shared``: lower 32 bits of the markers of a document that another one has, too.
+
+    A task counts what its own texts share and sends each hash once, so a
+    passage of many documents does not crowd its bucket.
+    """
+
+    def take(batch: pa.RecordBatch, row: int, body: np.ndarray) -> list:
+        found = [_markers(part, sums) for _, part, sums in _pieces(body)]
+        if not found:
+            return []
+        hashes = np.unique(np.concatenate([m[_runs(m)] for m in found]))
+        return [(np.full(len(hashes), batch.column("id")[row].as_py()), mix(hashes))]
+
+    def flush(parts: list) -> Iterator[pa.RecordBatch]:
+        ids, hashes, one, once = _in_two(*(np.concatenate(x) for x in zip(*parts)))
+        yield _batch(_SHARED_FIELDS, bucket=ids % buckets, id=ids, marker=hashes.astype(np.uint32).view(np.int32))
+        for number, rows in _dealt(once, buckets):
+            yield _batch(_SHARED_FIELDS, bucket=[number], packed=[_packed_markers(one[rows], once[rows])])
+
+    fields = pa.schema([(f.name, f.type) for f in _SHARED_FIELDS][2:])
+
+    def met(packed: list[bytes]) -> Iterator[pa.RecordBatch]:
+        ids, hashes, _, _ = _in_two(*(np.concatenate(x) for x in zip(*map(_unpacked_markers, packed))))
+        order = np.argsort(ids, kind="stable")
+        yield _batch(fields, id=ids[order], marker=hashes[order].astype(np.uint32).view(np.int32))
 
-    return docs.mapInArrow(send, _SENT)
+    sent = named.select("id", "text").mapInArrow(lambda b: _flushed(b, take, flush), "bucket int, packed binary, id bigint, marker int")
+    return _by_bucket(sent, partitions, met, fields, "id bigint, marker int").groupBy("id").agg(F.collect_list("marker").alias("shared"))
 
 
 def _by_bucket(sent: DataFrame, partitions: int, function, fields: pa.Schema, schema: str) -> DataFrame:
-    """``function`` over all contexts of every bucket, one bucket at a time; ranges pass through."""
+    """``function`` over all packed rows of a bucket, one bucket at a time; decided rows pass through."""
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, parts = None, []
@@ -370,12 +497,12 @@ def _by_bucket(sent: DataFrame, partitions: int, function, fields: pa.Schema, sc
                 batch = batch.filter(pa.compute.invert(decided))
             for bucket, packed in zip(batch.column("bucket").to_pylist(), batch.column("packed").to_pylist()):
                 if bucket != number and parts:
-                    yield from function(_joined(parts))
+                    yield from function(parts)
                     parts = []
                 number = bucket
-                parts.append(Entries.unpacked(packed))
+                parts.append(packed)
         if parts:
-            yield from function(_joined(parts))
+            yield from function(parts)
 
     dealt = sent.repartition(partitions, "bucket")
     return dealt.sortWithinPartitions("bucket").mapInArrow(meet, schema)
@@ -383,7 +510,10 @@ def _by_bucket(sent: DataFrame, partitions: int, function, fields: pa.Schema, sc
 
 def _named(docs: DataFrame, key: str, text: str) -> DataFrame:
     body = F.coalesce(F.col(text), F.lit(""))
-    return docs.select(F.coalesce(F.col(key).cast("bigint"), F.lit(_LAST)).alias("doc"), F.xxhash64(body).alias("mark"), body.alias("text"))
+    doc, mark = F.col(key).cast("bigint"), F.xxhash64(body)
+    # texts without a doc_id have their mark for an id, so that they are spread
+    columns = {"id": F.coalesce(doc, mark), "doc": F.coalesce(doc, F.lit(_LAST)), "mark": mark, "text": body}
+    return docs.select(*(c.alias(name) for name, c in columns.items()))
 
 
 def _sizes(docs: DataFrame) -> tuple[int, int]:
@@ -395,12 +525,14 @@ def repeat_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     """``repeat, length, doc, start``: every maximal repeat of ``WINDOW`` bytes or more with all occurrences.
 
     ``repeat`` names the byte string; a longer one than a context is reported as
-    a chain of overlapping repeats. Occurrences within one document count, too.
+    a chain of overlapping repeats. Occurrences within one document count, too,
+    and so do those in repeated rows. Null and short texts have none.
     """
     partitions, buckets = _sizes(docs)
     fields = pa.schema([("repeat", pa.int64()), ("length", pa.int64()), ("doc", pa.int64()), ("start", pa.int64())])
 
-    def found(entries: Entries) -> Iterator[pa.RecordBatch]:
+    def found(packed: list[bytes]) -> Iterator[pa.RecordBatch]:
+        entries = _joined([Entries.unpacked(p) for p in packed])
         for entry, offset, length, _ in _maximal(entries):
             begin = entries.at[entry[0]] + offset[0]
             name = int.from_bytes(hashlib.sha256(entries.body[begin : begin + length]).digest()[:8], "big", signed=True)
@@ -422,24 +554,31 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     """
     named = _named(docs, key, text)
     partitions, buckets = _sizes(docs)
-    sent = _sent(named, buckets, collapse=True)
+    # both joins are on the id alone, so that texts move once
+    known = named.join(_shared(named, partitions, buckets), "id")
+    sent = _sent(known, buckets, collapse=True)
     fields = pa.schema([(f.name, f.type) for f in _SENT_FIELDS][2:])
 
-    def ranges(entries: Entries) -> Iterator[pa.RecordBatch]:
+    def ranges(packed: list[bytes]) -> Iterator[pa.RecordBatch]:
+        entries = _joined([Entries.unpacked(p) for p in packed])
         row, start, length = _covered(entries)
         yield _batch(fields, **_merged(entries.doc[row], entries.mark[row], start, length))
 
     met = _by_bucket(sent, partitions, ranges, fields, _RANGES)
-    lists = met.groupBy("doc", "mark").agg(F.collect_list("start").alias("starts"), F.collect_list("length").alias("lengths"))
-    joined = named.join(lists, ["doc", "mark"], "left")
+    lists = met.groupBy(F.when(F.col("doc") == _LAST, F.col("mark")).otherwise(F.col("doc")).alias("id")).agg(
+        *(F.collect_list(name).alias(name + "s") for name in ("mark", "start", "length"))
+    )
+    joined = named.join(lists, "id", "left")
 
     def cut(batch: pa.RecordBatch):
         data, offsets = byte_rows(batch.column("text"))
+        marks, lists = batch.column("mark").to_numpy(), [batch.column(name) for name in ("marks", "starts", "lengths")]
         out: dict[str, list] = {"n_bytes": [], "starts": [], "lengths": [], "kept": []}
-        for row, (start, length) in enumerate(zip(batch.column("starts").to_pylist(), batch.column("lengths").to_pylist())):
+        for row in range(len(batch)):
             body = data[offsets[row] : offsets[row + 1]]
-            n = len(start or [])
-            one = _merged(np.zeros(n, np.int64), np.zeros(n, np.int64), np.array(start or [], np.int64), np.array(length or [], np.int64))
+            of, start, length = (np.array([], np.int64) if x[row].values is None else x[row].values.to_numpy() for x in lists)
+            own = of == marks[row]  # rows with one doc_id may have different texts
+            one = _merged(of[own], of[own], start[own], length[own])
             keep = np.ones(len(body), bool)
             for a, b in zip(one["start"], one["length"]):
                 keep[a : a + b] = False
@@ -450,5 +589,5 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         yield {"doc_id": batch.column("doc"), **out}
 
     schema = "doc_id bigint, n_bytes bigint, starts array<bigint>, lengths array<bigint>, kept binary"
-    result = map_batches(joined.select("doc", "text", "starts", "lengths"), cut, schema)
+    result = map_batches(joined.select("doc", "mark", "text", "marks", "starts", "lengths"), cut, schema)
     return result.withColumn("doc_id", F.when(F.col("doc_id") != _LAST, F.col("doc_id")))

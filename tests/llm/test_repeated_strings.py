@@ -78,3 +78,54 @@ def test_edges(edge, nothing):
     assert {bytes(r.kept) for r in rows if r.doc_id == 10} == {b""}  # document 9 has the same text
     assert all(r.n_bytes == len(r.kept) for r in rows if r.doc_id == 7)
     assert repeats.without_repeats(nothing).count() == 0
+
+
+def test_rows_of_one_id_and_without_id(spark):
+    a, b = " ".join(words(31, 40)), " ".join(words(32, 40))
+    rows = [(5, a), (5, b), (5, b + " " + a), (5, a), (9, "x " + b), (None, a), (None, a + " y"), (None, "z " + b)]
+    found = repeats.without_repeats(frame(spark, [(*r, "en", "s") for r in rows])).collect()
+    kept = sorted(((r.doc_id is None, bytes(r.kept).decode()) for r in found))
+    # texts of document 5 stay whole; the others lose what it has, and one null id does not remove from another
+    assert kept == sorted([(False, a), (False, b), (False, b + " " + a), (False, a), (False, "x "), (True, ""), (True, " y"), (True, "z ")])
+
+
+def test_crowded_windows_in_small_lists():
+    """The suffix arrays of a crowded anchor may be cut anywhere but within equal windows."""
+    import numpy as np
+
+    texts = [(" ".join(words(50 + i % 7, 30)) + " " + " ".join(words(90 + i % 3, 30))).encode() for i in range(40)]
+    parts = []
+    for doc, text in enumerate(texts):
+        body = np.frombuffer(text, np.uint8)
+        start, length, gram = repeats._contexts(body)
+        n = len(start)
+        parts.append(([np.full(n, doc), np.full(n, 1), start, length, gram], repeats._gather(body, start, length)))
+    entries = repeats._joined(parts)
+
+    def groups():
+        found = repeats._maximal(entries)
+        return sorted((n, least, tuple(sorted(zip(e.tolist(), o.tolist())))) for e, o, n, least in found)
+
+    whole = groups()
+    before = repeats._SUFFIXES
+    try:
+        repeats._SUFFIXES = 64
+        assert groups() == whole and whole
+    finally:
+        repeats._SUFFIXES = before
+
+
+def test_markers_of_equal_windows_are_equal():
+    import numpy as np
+
+    passage = " ".join(words(3, 30))
+    one, other = (np.frombuffer((words(i, 9)[0] + passage + words(i + 1, 9)[0]).encode(), np.uint8) for i in (11, 21))
+    sets = []
+    for body in (one, other):
+        places = {}
+        for low, part, sums in repeats._pieces(body):
+            for i, marker in enumerate(repeats._markers(part, sums).tolist()):
+                places[body[low + i : low + i + 50].tobytes()] = marker
+        sets.append(places)
+    both = sets[0].keys() & sets[1].keys()
+    assert len(both) >= len(passage) - 49 and all(sets[0][w] == sets[1][w] for w in both)
