@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Model, PipelineModel
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +14,7 @@ from basketlens.constants import CHURN_FEATURES, CUTOFF_DAYS, SEGMENTATION_FEATU
 from basketlens.operators import churn, metrics
 from basketlens.operators.splits import exact_split, train_test
 from basketlens.plans import newton
+from basketlens.plans.forest import fit_forest
 from basketlens.plans.scaling import VECTOR, drop_working_columns, fit_scaling, scale, scaling_stages
 from basketlens.schemas import MODEL_METRICS
 from basketlens.session import materialize, shared_root
@@ -22,28 +23,19 @@ LOGISTIC, FOREST, BOOSTING = "LogisticRegression", "RandomForest", "GradientBoos
 CANDIDATES = (LOGISTIC, FOREST, BOOSTING)
 
 # A forest or boosting fit reads at most about this many labelled rows, drawn by a
-# hash of their values; deep trees are put together on the driver and grow with
-# the rows. The logistic model reads all rows.
+# hash of their values. The logistic model reads all rows.
 TREE_ROWS = 1_000_000
 
-_COLUMNS = {"labelCol": "churn", "featuresCol": VECTOR}
 
-
-def classifier(name: str, seed: int = SPLIT_SEED):
-    """Estimator of a tree model by name."""
+def fit_trees(name: str, scaled: DataFrame, width: int, seed: int = SPLIT_SEED) -> Model:
+    """A tree model by name, on ``churn`` and the scaled vector of ``width`` features."""
     if name == FOREST:
-        return RandomForestClassifier(
-            numTrees=100,
-            maxDepth=30,
-            featureSubsetStrategy="sqrt",
-            seed=seed,
-            maxMemoryInMB=1024,
-            **_COLUMNS,
-        )
+        return fit_forest(scaled, width, trees=100, depth=30, seed=seed)
     if name == BOOSTING:
-        return GBTClassifier(
-            maxIter=100, maxDepth=3, stepSize=0.1, seed=seed, checkpointInterval=10, **_COLUMNS
+        boosting = GBTClassifier(
+            labelCol="churn", featuresCol=VECTOR, maxIter=100, maxDepth=3, stepSize=0.1, seed=seed, checkpointInterval=10
         )
+        return boosting.fit(scaled)
     raise ValueError(f"unknown model {name}")
 
 
@@ -78,7 +70,7 @@ def fit(
     if rows > tree_rows:
         place = F.pmod(F.xxhash64(*train.columns, F.lit(seed)), F.lit(1 << 30))
         drawn = train.where(place < int(tree_rows / rows * (1 << 30)))
-    model = classifier(name, seed).fit(scale(drawn, stages).select("churn", VECTOR))
+    model = fit_trees(name, scale(drawn, stages).select("churn", VECTOR), len(features), seed)
     return PipelineModel(stages=[*stages, model])
 
 
