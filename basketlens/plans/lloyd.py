@@ -28,7 +28,8 @@ DRAWN = 200  # rows that a seeding round draws, on average
 ROUNDS = 2
 _MOST_DRAWN = 20 * DRAWN  # no round returns more, whatever the draws
 
-_CHUNK = 1 << 14  # rows whose distances to all centres are held at once
+_CHUNK = 1 << 14  # rows that are worked on at once, at most
+_CELLS = 1 << 18  # distances of rows to centres that are held at once
 
 
 @dataclass
@@ -103,11 +104,16 @@ def _matrix(batch: pa.RecordBatch) -> np.ndarray:
     return np.asarray(column.flatten()).reshape(len(column), -1) if len(column) else np.zeros((0, 1))
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+def _step(centres: int) -> int:
+    """Rows whose distances to so many centres are held at once."""
+    return max(1, min(_CHUNK, _CELLS // max(1, centres)))
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], centres: int = 1) -> Iterator[np.ndarray]:
     for batch in batches:
         rows = _matrix(batch)
-        for at in range(0, len(rows), _CHUNK):
-            yield rows[at : at + _CHUNK]
+        for at in range(0, len(rows), _step(centres)):
+            yield rows[at : at + _step(centres)]
 
 
 def distances(rows: np.ndarray, centres: np.ndarray) -> np.ndarray:
@@ -118,12 +124,15 @@ def distances(rows: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return total
 
 
-def summed(rows: DataFrame, work: Callable[[np.ndarray], np.ndarray], shape: tuple[int, int]) -> np.ndarray:
-    """Sum over all rows of a matrix that ``work`` makes of a chunk of them; one matrix leaves each task."""
+def summed(rows: DataFrame, work: Callable[[np.ndarray], np.ndarray], shape: tuple[int, int], centres: int = 1) -> np.ndarray:
+    """Sum over all rows of a matrix that ``work`` makes of a chunk of them; one matrix leaves each task.
+
+    ``centres`` is how many distances ``work`` holds per row: chunks are so small that memory does not depend on it.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(shape)
-        for chunk in _chunks(batches):
+        for chunk in _chunks(batches, centres):
             total += work(chunk)
         yield pa.RecordBatch.from_pydict({"at": np.arange(shape[0]), "values": pa.array(list(total), pa.list_(pa.float64()))})
 
@@ -143,14 +152,15 @@ def _drawn(rows: DataFrame, near: np.ndarray | None, cost: float, seed: int) ->
 
     The draw is a hash of the row's values, so it is the same for any partitioning.
     """
+    step = _step(len(near))
     known = rows.withColumn("u", (F.pmod(F.xxhash64("x", F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values, draw = _matrix(batch), np.asarray(batch.column(1))
             far = np.empty(len(values))
-            for at in range(0, len(values), _CHUNK):
-                far[at : at + _CHUNK] = distances(values[at : at + _CHUNK], near).min(axis=1)
+            for at in range(0, len(values), step):
+                far[at : at + step] = distances(values[at : at + step], near).min(axis=1)
             taken = draw * cost < DRAWN * far
             yield pa.RecordBatch.from_pydict({"x": pa.array(list(values[taken]), pa.list_(pa.float64())), "u": draw[taken]})
 
@@ -166,7 +176,7 @@ def candidates(rows: DataFrame, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
     near = np.zeros((1, first["n"]))
     for number in range(ROUNDS):
         centres = near
-        cost = summed(rows, lambda chunk: np.array([[distances(chunk, centres).min(axis=1).sum()]]), (1, 1))[0, 0]
+        cost = summed(rows, lambda chunk: np.array([[distances(chunk, centres).min(axis=1).sum()]]), (1, 1), len(centres))[0, 0]
         if cost <= 0:
             break
         more = _drawn(rows, centres, cost, seed + number)
@@ -177,7 +187,7 @@ def candidates(rows: DataFrame, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
     def count(chunk: np.ndarray) -> np.ndarray:
         return np.bincount(distances(chunk, centres).argmin(axis=1), minlength=len(centres))[:, None].astype(float)
 
-    return near, summed(rows, count, (len(near), 1))[:, 0]
+    return near, summed(rows, count, (len(near), 1), len(centres))[:, 0]
 
 
 def start(near: np.ndarray, weights: np.ndarray, k: int, seed: int) -> np.ndarray:
@@ -218,7 +228,7 @@ def one_pass(rows: DataFrame, settings: Sequence[np.ndarray]) -> list[np.ndarray
             out[low:high, -1] = np.bincount(own, far[np.arange(len(chunk)), low + own], high - low)
         return out
 
-    found = summed(rows, work, (int(edges[-1]), width + 2))
+    found = summed(rows, work, (int(edges[-1]), width + 2), int(edges[-1]))
     return [found[low:high] for low, high in zip(edges[:-1], edges[1:])]
 
 
@@ -285,5 +295,5 @@ def silhouettes(rows: DataFrame, settings: Sequence[np.ndarray]) -> list[float]:
                 out[at] = np.where((size > 1) & (largest > 0), (outer - inner) / np.where(largest > 0, largest, 1), 0).sum()
         return out
 
-    totals = summed(rows, work, (len(settings), 1))[:, 0]
+    totals = summed(rows, work, (len(settings), 1), max(len(centres) for centres in settings))[:, 0]
     return [float(total / count.sum()) if (count > 0).sum() > 1 else -1.0 for total, count in zip(totals, counts)]

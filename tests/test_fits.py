@@ -1,6 +1,9 @@
 """KMeans of many settings, Newton steps, the bounded silhouette and splits by selection, against brute force."""
 
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.linalg import Vectors, VectorUDT
@@ -221,3 +224,14 @@ def test_a_split_moves_no_rows(spark):
 def test_split_of_nothing(spark):
     empty = spark.createDataFrame([], "customer_id string, churn int")
     assert splits.exact_split(empty).count() == 0 and splits.exact_split(empty, stratify="churn").count() == 0
+
+
+def test_few_distances_are_held_at_once():
+    """A batch of rows against some hundred seeding rows is cut so that the matrices stay small."""
+    batch = pa.RecordBatch.from_pydict({"x": pa.array(list(np.ones((10_000, 3))))})
+    for centres in (1, 54, 401, 4001):
+        tracemalloc.start()
+        seen = sum(len(lloyd.distances(chunk, np.zeros((centres, 3)))) for chunk in lloyd._chunks(iter([batch]), centres))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert seen == 10_000 and peak < 12 << 20
