@@ -339,10 +339,11 @@ ON o.customer_id = r.customer_id""",
 
 
 def _campaigns(spark, folder):
-    features, log = fx.features_and_churn_log(spark, folder)
-    vectors = fx.product_vectors(spark, folder)
-    catalogue = fx.catalogue(spark, folder, vectors)
-    return campaign.campaigns(_asked(spark, folder), features, fx.transactions(spark, folder), log, catalogue, vectors)
+    bought = fx.stored_transactions(spark, folder)
+    features, log = fx.features_and_churn_log(spark, folder, bought)
+    vectors = fx.product_vectors(spark, folder, bought)
+    catalogue = fx.catalogue(spark, folder, vectors, bought)
+    return campaign.campaigns(_asked(spark, folder), features, bought, log, catalogue, vectors)
 
 
 @query("j8_campaign_text", sql("SELECT customer_id, campaign_draft FROM drafts", "drafts"))

@@ -24,6 +24,11 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
     return retail_transactions(spark, folder)
 
 
+def stored_transactions(spark: SparkSession, folder: str) -> DataFrame:
+    """The join of the order tables, run once, for queries whose parts all read the transactions."""
+    return materialize(transactions(spark, folder).drop("country"), "transactions")
+
+
 def enriched(spark: SparkSession, folder: str) -> DataFrame:
     return transactions(spark, folder).transform(enrich)
 
@@ -106,16 +111,17 @@ def churn_log(spark: SparkSession, folder: str) -> DataFrame:
     return churn_log_of(rfm_wide_from(moments), moments)
 
 
-def features_and_churn_log(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+def features_and_churn_log(spark: SparkSession, folder: str, bought: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Both from one pass over the transactions, the features stored as any later stage reads them."""
-    moments = stored_moments(transactions(spark, folder))
+    moments = stored_moments(transactions(spark, folder) if bought is None else bought)
     stored = materialize(rfm_wide_from(moments).select(*RFM_COLUMNS), "features")
     return stored, churn_log_of(stored, moments)
 
 
-def product_vectors(spark: SparkSession, folder: str) -> DataFrame:
+def product_vectors(spark: SparkSession, folder: str, bought: DataFrame | None = None) -> DataFrame:
     """``description, embedding`` of every product; the r-th description by text has the vector with id r."""
-    products = product_rollup(transactions(spark, folder)).select("description").distinct()
+    bought = transactions(spark, folder) if bought is None else bought
+    products = product_rollup(bought).select("description").distinct()
     ranked = global_row_number(products, ["description"]).select("description", (F.col("rank") - 1).alias("vec_id"))
     vectors = table(spark, folder, "embeddings").select(
         "vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("embedding")
@@ -123,15 +129,20 @@ def product_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return materialize(ranked.join(vectors, "vec_id").select("description", "embedding"), "vectors")
 
 
-def catalogue_rows(spark: SparkSession, folder: str, vectors: DataFrame | None = None) -> DataFrame:
-    vectors = product_vectors(spark, folder) if vectors is None else vectors
-    products = product_catalogue(transactions(spark, folder))
+def catalogue_rows(
+    spark: SparkSession, folder: str, vectors: DataFrame | None = None, bought: DataFrame | None = None
+) -> DataFrame:
+    bought = transactions(spark, folder) if bought is None else bought
+    vectors = product_vectors(spark, folder, bought) if vectors is None else vectors
+    products = product_catalogue(bought)
     return products.join(vectors, "description", "left").select("stock_code", "description", "unit_price", "embedding")
 
 
-def catalogue(spark: SparkSession, folder: str, vectors: DataFrame | None = None) -> DataFrame:
+def catalogue(
+    spark: SparkSession, folder: str, vectors: DataFrame | None = None, bought: DataFrame | None = None
+) -> DataFrame:
     """The catalogue as a stored table, for queries that read it several times."""
-    return materialize(catalogue_rows(spark, folder, vectors), "catalogue")
+    return materialize(catalogue_rows(spark, folder, vectors, bought), "catalogue")
 
 
 def scoring_requests(spark: SparkSession, folder: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from basketlens import constants as C
 from basketlens.functions.vectors import cosine
 from basketlens.operators import campaign, similarity
+from checks import campaigns, fixtures as fx
 
 CATALOGUE = "stock_code string, description string, unit_price double, embedding array<double>"
 
@@ -156,3 +157,11 @@ def test_last_products_outside_the_catalogue_are_compared(spark, catalogue):
     found = {r.customer_id: r["items"] for r in campaign.recommend(rows, offered, catalogue).collect()}
     assert [i.description for i in found["1"]] == ["LAMP shade", "Rug"]
     assert [i.stock_code for i in found["2"]] == ["85123A", "22423", "47566"]
+
+
+def test_campaigns_join_the_order_tables_once(spark, folder, monkeypatch):
+    made, view = [], fx.retail_transactions
+    monkeypatch.setattr(fx, "retail_transactions", lambda *where: made.append(where) or view(*where))
+    drafts = campaigns._campaigns(spark, folder)
+    assert len(made) == 1
+    assert "lineitem" not in "".join(drafts.inputFiles())
