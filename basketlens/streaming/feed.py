@@ -71,18 +71,22 @@ def without_replays(
         once = _without_copies(dated).withColumns(_hashes())
         once.write.parquet(working)
         fresh = spark.read.schema(once.schema).parquet(working)
-        kept = _new_lines(spark, base, fresh, batch)
+        kept, joined = _new_lines(spark, base, fresh, batch), working_path(spark, "new")
+        if kept is not fresh:  # written twice below, so the comparison with the stored lines runs once
+            kept.write.parquet(joined)
+            kept = spark.read.schema(once.schema).parquet(joined)
         write_batch(kept.drop(*_HASHES).sortWithinPartitions(DAY), batch, f"{base}/lines")
         write_batch(kept.select(DAY, *_HASHES).sortWithinPartitions(DAY, *_HASHES), batch, f"{base}/index")
         write_batch(lines.where(F.col("invoice_date").isNull()), batch, f"{base}/quarantine")
         stored = spark.read.parquet(f"{base}/index").where(F.col(changelog.BATCH) == batch).count()
-        total, aside = lines.count(), lines.where(F.col("invoice_date").isNull()).count()
+        total, aside = lines.agg(F.count(F.lit(1)), F.count_if(F.col("invoice_date").isNull())).first()
         counts = spark.createDataFrame(
             [(total, stored, total - stored - aside, aside)], "rows long, kept long, repeated long, aside long"
         )
         write_batch(counts, batch, f"{base}/counts")
         lines.unpersist()
         remove_folder(spark, working)
+        remove_folder(spark, joined)
         if batch % compact_every == compact_every - 1:
             for table in ("lines", "index"):  # the index last: it says which batches are final
                 changelog.compact(spark, f"{base}/{table}", _by_day)

@@ -70,6 +70,21 @@ def test_replays_are_dropped_however_late(spark):
     assert spark.read.parquet(f"{folder.base}/quarantine").count() == 1
 
 
+def test_a_replay_is_compared_with_the_stored_lines_once(spark, monkeypatch):
+    """Lines and index are written from the result of the comparison, not each from a join of its own."""
+    base, written, write = working_path(spark, "once"), {}, feed.write_batch
+
+    def watched(rows, batch, path):
+        written[path.rsplit("/", 1)[1], batch] = rows._jdf.queryExecution().optimizedPlan().toString()
+        write(rows, batch, path)
+
+    monkeypatch.setattr(feed, "write_batch", watched)
+    for batch, some in enumerate(([line("1", 2), line("2", 2)], [line("2", 2), line("3", 2), line("3", 2)])):
+        feed.without_replays(base)(spark.createDataFrame(some, SCHEMA), batch)
+    assert sorted(r.invoice_no for r in feed.stored_lines(spark, base).collect()) == ["1", "2", "3"]
+    assert not any("Join" in written[table, batch] for table in ("lines", "index") for batch in (0, 1))
+
+
 def test_a_repeated_batch_keeps_the_same_lines(spark):
     base, rows = working_path(spark, "again"), spark.createDataFrame([line("1", 2), line("2", 2)], SCHEMA)
     for batch in (0, 0, 1):
