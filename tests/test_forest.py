@@ -82,3 +82,11 @@ def test_a_saved_forest_says_the_same(spark):
     loaded = churn_models.load_model(root, "forest", 1)
     assert churn_models.predict(rows, loaded).exceptAll(churn_models.predict(rows, model)).count() == 0
     assert np.allclose(loaded.stages[-1].featureImportances.toArray(), model.stages[-1].featureImportances.toArray())
+
+
+def test_candidates_are_compared_without_deep_trees_on_the_driver(spark):
+    """The comparison fits the stored forest, and its metrics and weights come from it."""
+    rows = noisy(spark, 400).withColumn("customer_id", F.col("id").cast("string"))
+    models, table, explained = churn_models.compare_candidates(rows, names=[churn_models.FOREST], features=["f0", "f1", "f2"])
+    assert isinstance(models[churn_models.FOREST].stages[-1], forest.ForestModel)
+    assert table.first().accuracy > 0.5 and explained.count() == 3
