@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Model, PipelineModel
-from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,10 +13,11 @@ from basketlens.constants import CHURN_FEATURES, CUTOFF_DAYS, SEGMENTATION_FEATU
 from basketlens.operators import churn, metrics
 from basketlens.operators.splits import exact_split, train_test
 from basketlens.plans import newton
+from basketlens.plans.boosting import fit_boosting
 from basketlens.plans.forest import fit_forest
 from basketlens.plans.scaling import VECTOR, drop_working_columns, fit_scaling, scale, scaling_stages
 from basketlens.schemas import MODEL_METRICS
-from basketlens.session import materialize, shared_root
+from basketlens.session import materialize
 
 LOGISTIC, FOREST, BOOSTING = "LogisticRegression", "RandomForest", "GradientBoosting"
 CANDIDATES = (LOGISTIC, FOREST, BOOSTING)
@@ -32,10 +32,7 @@ def fit_trees(name: str, scaled: DataFrame, width: int, seed: int = SPLIT_SEED)
     if name == FOREST:
         return fit_forest(scaled, width, trees=100, depth=30, seed=seed)
     if name == BOOSTING:
-        boosting = GBTClassifier(
-            labelCol="churn", featuresCol=VECTOR, maxIter=100, maxDepth=3, stepSize=0.1, seed=seed, checkpointInterval=10
-        )
-        return boosting.fit(scaled)
+        return fit_boosting(scaled, width, trees=100, depth=3, step=0.1)
     raise ValueError(f"unknown model {name}")
 
 
@@ -63,7 +60,6 @@ def fit(
     """Scaling over all rows and the named model; trees see ``tree_rows`` rows at most."""
     if name == LOGISTIC:
         return logistic_model(fit_logistic(train, features)[0], features)
-    shared_root(train.sparkSession)  # boosting cuts its lineage there
     stages = fit_scaling(train, features)
     rows = train.count()
     drawn = train
