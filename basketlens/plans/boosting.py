@@ -24,7 +24,7 @@ from basketlens.plans.forest import _LEAF, _OPEN, BINS, Tree, _bins, _matrix, _r
 from basketlens.plans.scaling import VECTOR
 from basketlens.session import materialize
 
-TASK_ROWS = 1 << 17  # rows of a task, about, where there are more than one for each core
+LEAST_ROWS, TASK_ROWS = 1 << 13, 1 << 17  # rows of a task, about, up to a task for each core and beyond that
 KEPT_TREES = 10  # margins are kept with the rows after so many trees
 FEW_PARTS = 64  # sums of so many tasks go straight to the driver
 
@@ -131,7 +131,8 @@ def fit_boosting(scaled: DataFrame, width: int, trees: int = 100, depth: int = 3
     known = stored.agg(F.count("n").alias("blocks"), F.sum("n").alias("rows")).first()
     if not known["rows"]:
         raise ValueError("no rows to fit")
-    tasks = max(stored.sparkSession.sparkContext.defaultParallelism, known["rows"] // TASK_ROWS)
+    cores = stored.sparkSession.sparkContext.defaultParallelism
+    tasks = max(min(cores, 1 + known["rows"] // LEAST_ROWS), known["rows"] // TASK_ROWS)
     blocks = stored.select("x", "y").repartition(min(tasks, known["blocks"])).rdd.persist(StorageLevel.MEMORY_AND_DISK)
     state, grown, later, gains = _with_margins(blocks, [], width), [], [], np.zeros(width)
     for number in range(trees):

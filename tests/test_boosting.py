@@ -47,14 +47,16 @@ def test_a_level_is_one_job_and_its_tasks_do_not_depend_on_the_files(spark, monk
         return summed(state, *rest)
 
     monkeypatch.setattr(boosting, "_summed", counted)
+    monkeypatch.setattr(boosting, "LEAST_ROWS", 100)
     rows = rows_of(spark)
     boosting.fit_boosting(scale(materialize(rows.repartition(60), "parts"), fit_scaling(rows, NAMES)), 3, trees=2)
-    assert len(jobs) == 6 and max(jobs) <= spark.sparkContext.defaultParallelism
+    assert len(jobs) == 6 and 1 < max(jobs) <= spark.sparkContext.defaultParallelism
 
 
 def test_sums_of_many_tasks_meet_on_the_executors(spark, monkeypatch):
+    monkeypatch.setattr(boosting, "LEAST_ROWS", 100)
     rows = rows_of(spark, 800)
-    scaled = scale(rows.repartition(6), fit_scaling(rows, NAMES))
+    scaled = scale(materialize(rows.repartition(6), "parts"), fit_scaling(rows, NAMES))
     wanted = boosting.fit_boosting(scaled, 3, trees=3)
     monkeypatch.setattr(boosting, "FEW_PARTS", 1)
     found = boosting.fit_boosting(scaled, 3, trees=3)
