@@ -22,10 +22,6 @@ from basketlens.session import materialize
 LOGISTIC, FOREST, BOOSTING = "LogisticRegression", "RandomForest", "GradientBoosting"
 CANDIDATES = (LOGISTIC, FOREST, BOOSTING)
 
-# A forest or boosting fit reads at most about this many labelled rows, drawn by a
-# hash of their values. The logistic model reads all rows.
-TREE_ROWS = 1_000_000
-
 
 def fit_trees(name: str, scaled: DataFrame, width: int, seed: int = SPLIT_SEED) -> Model:
     """A tree model by name, on ``churn`` and the scaled vector of ``width`` features."""
@@ -51,22 +47,13 @@ def fit_logistic(
 
 
 def fit(
-    name: str,
-    train: DataFrame,
-    features: Sequence[str] = tuple(CHURN_FEATURES),
-    seed: int = SPLIT_SEED,
-    tree_rows: int = TREE_ROWS,
+    name: str, train: DataFrame, features: Sequence[str] = tuple(CHURN_FEATURES), seed: int = SPLIT_SEED
 ) -> PipelineModel:
-    """Scaling over all rows and the named model; trees see ``tree_rows`` rows at most."""
+    """Scaling and the named model, both over all rows."""
     if name == LOGISTIC:
         return logistic_model(fit_logistic(train, features)[0], features)
     stages = fit_scaling(train, features)
-    rows = train.count()
-    drawn = train
-    if rows > tree_rows:
-        place = F.pmod(F.xxhash64(*train.columns, F.lit(seed)), F.lit(1 << 30))
-        drawn = train.where(place < int(tree_rows / rows * (1 << 30)))
-    model = fit_trees(name, scale(drawn, stages).select("churn", VECTOR), len(features), seed)
+    model = fit_trees(name, scale(train, stages).select("churn", VECTOR), len(features), seed)
     return PipelineModel(stages=[*stages, model])
 
 
