@@ -27,7 +27,7 @@ from basketlens.session import materialize
 
 BINS = 32  # values of a feature are told apart by this many quantiles
 LEAF_ROWS = 1 << 15  # rows, in the mean, of a node that one group finishes
-BLOCK_ROWS = 1 << 16  # rows that one group predicts, about
+BLOCK_ROWS = 1 << 16  # rows that one group predicts, about; a part meets more of them in blocks
 _ONE = 1 << 40  # votes are added as whole numbers, so their order does not matter
 _LEAF, _OPEN = -1, -2  # marks in place of a split's feature
 
@@ -352,6 +352,24 @@ def _routed(rows: DataFrame, grown: list[Tree], width: int, times=None, votes: b
     return rows.mapInArrow(route, schema)
 
 
+def _crowded(rows: DataFrame, grown: list[Tree], width: int) -> DataFrame:
+    """``tree, part, blocks`` of the parts that more than ``BLOCK_ROWS`` rows reach."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = [np.zeros(len(tree.feature), dtype=np.int64) for tree in grown]
+        for batch in batches:
+            x = _matrix(batch.column(0), width)
+            for number, tree in enumerate(grown):
+                sums[number] += np.bincount(_reach(tree, x), minlength=len(sums[number]))
+        for number, tree in enumerate(grown):
+            nodes = np.flatnonzero((np.array(tree.feature) == _OPEN) & (sums[number] > 0))
+            found = {"tree": pa.array(np.full(len(nodes), number), pa.int32()), "part": pa.array(nodes, pa.int32())}
+            yield pa.RecordBatch.from_pydict(found | {"n": pa.array(sums[number][nodes], pa.int64())})
+
+    reached = rows.select("x").mapInArrow(count, "tree int, part int, n bigint").groupBy("tree", "part").agg(F.sum("n").alias("n"))
+    return reached.where(F.col("n") > BLOCK_ROWS).select("tree", "part", F.ceil(F.col("n") / BLOCK_ROWS).alias("blocks"))
+
+
 # --- the model ----------------------------------------------------------------------------------------
 
 
@@ -377,13 +395,18 @@ class ForestModel(Transformer, MLWritable, MLReadable):
         )
 
     def _shares(self, distinct: DataFrame) -> DataFrame:
-        """``x, share`` of distinct rows of bins. A part meets its rows in blocks, so no group grows with the rows."""
+        """``x, share`` of distinct rows of bins. A part meets the rows that reach it in blocks, so no group grows with
+        the rows, and is copied only for as many blocks as these rows fill."""
         width = len(self.limits)
         rows = materialize(distinct.select(F.monotonically_increasing_id().alias("id"), "x"), "asked")
-        blocks = max(1, -(-rows.count() // BLOCK_ROWS))
         routed = _routed(rows, self.grown, width, votes=True)
-        asked = routed.where("part >= 0").select("tree", "part", F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block"), "id", "x")
-        known = self.parts.select("tree", "part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias("block"), "feature", "cut", "left", "vote")
+        reaching, parts, blocks = routed.where("part >= 0"), self.parts, F.lit(1).cast("bigint")
+        if rows.count() > BLOCK_ROWS:
+            crowded = F.broadcast(materialize(_crowded(rows, self.grown, width), "crowded"))  # at most a row per full block
+            reaching, parts = (frame.join(crowded, ["tree", "part"], "left") for frame in (reaching, parts))
+            blocks = F.coalesce("blocks", blocks)
+        asked = reaching.select("tree", "part", F.pmod(F.xxhash64("id"), blocks).alias("block"), "id", "x")
+        known = parts.select("tree", "part", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)).alias("block"), "feature", "cut", "left", "vote")
 
         def vote(left: pa.Table, right: pa.Table) -> pa.Table:
             if not left.num_rows or not right.num_rows:
